@@ -177,7 +177,7 @@ piece("o_ip_domain", scores_sql(f"greatest(0.01::double, {AGE})", guard=False))
 
 @query("ip_domain_scores", "select ip, normalized_company_domain, round(score, 6) as score from o_ip_domain")
 def _(i):
-    return i.ip_domain
+    return i.fresh("ip_domain")
 
 
 piece("o_ip_domain_guarded", scores_sql(AGE, guard=True))
@@ -203,7 +203,7 @@ select ip_trio, normalized_company_domain, case when total = 0 or raw is null th
 
 @query("ip_trio_scores", "select ip_trio, normalized_company_domain, round(score, 6) as score from o_trio")
 def _(i):
-    return i.trio_map
+    return i.fresh("trio_map")
 
 
 # -- devices
@@ -270,7 +270,7 @@ from o_device_ip d join o_ip_domain m on d.ip = m.ip where length(m.normalized_c
     "select bitoid, normalized_company_domain, source, round(source_confidence, 6) as source_confidence, date from o_device_obs",
 )
 def _(i):
-    return i.device_obs
+    return i.fresh("device_obs")
 
 
 piece(
@@ -288,7 +288,7 @@ select bitoid, normalized_company_domain, score from (
 
 @query("device_domain_best", "select bitoid, normalized_company_domain, round(score, 6) as score from o_device_best")
 def _(i):
-    return i.device_best
+    return i.fresh("device_best")
 
 
 # -- company activity
@@ -379,7 +379,7 @@ COMPANY = (
 
 @query("company_activity", f"select {COMPANY} from o_company")
 def _(i):
-    return i.company_activity
+    return i.fresh("company_activity")
 
 
 @query("company_activity_exclusive_tiers", f"select {COMPANY} from o_company_exclusive")

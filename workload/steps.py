@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from functools import cached_property
 
 from pyspark.sql import DataFrame
@@ -10,7 +11,8 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import incremental_slice, topics_from_json
 from tidemark.plans import bidstream, email, enrichment, pixel, vendors
-from workload.base import AS_OF
+from tidemark.sources import save_table
+from workload.base import AS_OF, shared_folder
 from workload.inputs import Inputs
 
 EARLY_END = dt.datetime(2024, 1, 20)
@@ -20,12 +22,42 @@ MARK = dt.date(2024, 1, 4)
 PIXEL_SCHEMA = "struct<userId:string,ip:string,date:string,userAgent:string,thirdPartyId:string>"
 
 
+class stored:
+    """A step kept as a written table, as the pipelines keep it between their steps.
+
+    Several later steps read it, so writing it once keeps plans short and a lost
+    executor from repeating the whole history.
+    """
+
+    def __init__(self, fn):
+        self.fn, self.name = fn, fn.__name__
+
+    def __get__(self, steps: Steps, owner) -> DataFrame:
+        if steps is None:
+            return self
+        if self.name not in steps._tables:
+            steps._tables[self.name] = save_table(self.fn(steps), f"{steps.folder}/{self.name}")
+        return steps._tables[self.name]
+
+
 class Steps(Inputs):
+    def __init__(self, spark, sf_dir):
+        super().__init__(spark, sf_dir)
+        self._tables: dict[str, DataFrame] = {}
+
+    @cached_property
+    def folder(self) -> str:
+        return f"{shared_folder(self.spark)}/steps-{uuid.uuid4().hex}"
+
+    def fresh(self, name: str) -> DataFrame:
+        """A stored step as a plan, computed by whoever asks for it."""
+        return getattr(type(self), name).fn(self)
+
     def empty(self, ddl: str) -> DataFrame:
         return self.spark.createDataFrame([], ddl)
 
     # bid stream
-    @cached_property
+    @stored
     def activity(self):
         return bidstream.user_activity_rollup(self.bid_log, ALL)
 
@@ -46,11 +78,11 @@ class Steps(Inputs):
     def ranges(self):
         return vendors.ip_range_clean(self.ip_range, AS_OF)
 
-    @cached_property
+    @stored
     def ip_domain(self):
         return bidstream.ip_domain_scores(self.ip_domain_obs, AS_OF)
 
-    @cached_property
+    @stored
     def trio_map(self):
         return bidstream.ip_trio_scores(self.ip_domain, self.isp_domains)
 
@@ -70,20 +102,20 @@ class Steps(Inputs):
             F.lit(dt.date(2024, 1, 12)).alias("date"),
         )
 
-    @cached_property
+    @stored
     def device_obs(self):
         return bidstream.device_domain_obs(self.device_obs_known, self.device_ip, self.ip_domain)
 
-    @cached_property
+    @stored
     def device_best(self):
         return bidstream.device_domain_best(self.device_obs, self.isp_domains)
 
-    @cached_property
+    @stored
     def resolvable(self):
         empty = self.empty("normalized_company_domain string, date date")
         return bidstream.ip_resolvable_domains(empty, self.activity_slice, self.ip_domain, self.isp_domains)
 
-    @cached_property
+    @stored
     def company_activity(self):
         return bidstream.company_activity(
             self.activity_slice,
@@ -114,7 +146,7 @@ class Steps(Inputs):
     def titles(self):
         return self.title_output.withColumn("topics", enrichment.title_topics_from_json(F.col("topics")))
 
-    @cached_property
+    @stored
     def enriched(self):
         return enrichment.enrich_activity(
             self.company_activity, self.topics, self.brands, self.context, self.titles, activity_distinct=True
@@ -125,32 +157,32 @@ class Steps(Inputs):
     def pixel_records(self):
         return self.pixel_raw.select(F.from_json("pixel_record", PIXEL_SCHEMA).alias("pixel_record"))
 
-    @cached_property
+    @stored
     def pixel_activity(self):
         return pixel.pixel_views(self.pixel_records)
 
-    @cached_property
+    @stored
     def pixel_company(self):
         rows = incremental_slice(
             self.pixel_activity, "date", dt.date(2024, 1, 5), pixel.SLICE_DAYS, inclusive=True
         )
         return pixel.pixel_company_rollup(rows, self.ip_domain, self.ip_location)
 
-    @cached_property
+    @stored
     def pixel_enriched(self):
         return enrichment.enrich_activity(
             self.pixel_company, self.topics, self.brands, self.context, self.titles, activity_distinct=True
         )
 
     # e-mail
-    @cached_property
+    @stored
     def click_rows(self):
         return email.company_clicks(self.clicks)
 
-    @cached_property
+    @stored
     def open_rows(self):
         return email.company_opens(self.opens)
 
-    @cached_property
+    @stored
     def topic_shares(self):
         return email.campaign_topics(email.campaign_content(self.clicks), self.topics)
