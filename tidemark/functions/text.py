@@ -44,18 +44,23 @@ def first_n_words_filtered(text: Column, n: int) -> Column:
 
 def unique_ngrams(text: Column, n: int = 3) -> Column:
     """Distinct word n-grams of length 1 to ``n``, case kept."""
-    words = _words(text)
 
-    def grams(size: int) -> Column:
+    def grams(words: Column, size: int) -> Column:
         if size == 1:
             return words
-        # a gram running over the end meets a NULL word and becomes NULL
-        parts = lambda first, i: [
-            p for k in range(1, size) for p in (F.lit(" "), F.get(words, i + k))
-        ]
-        return F.array_compact(F.transform(words, lambda first, i: F.concat(first, *parts(first, i))))
 
-    return F.array_distinct(F.concat(*[grams(size) for size in range(1, n + 1)]))
+        def gram(word: Column, i: Column) -> Column:
+            # past the end of the list the next word is NULL, and so is the n-gram
+            return F.concat(word, *[p for k in range(1, size) for p in (F.lit(" "), F.get(words, i + k))])
+
+        return F.array_compact(F.transform(words, gram))
+
+    # the word list is a lambda variable, so it is split once and not once per n-gram
+    bound = F.transform(
+        F.array(_words(text)),
+        lambda words: F.array_distinct(F.concat(*[grams(words, size) for size in range(1, n + 1)])),
+    )
+    return F.get(bound, F.lit(0))
 
 
 def arrays_intersect(a: Column, b: Column) -> Column:

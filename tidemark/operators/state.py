@@ -14,6 +14,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _SPREAD = "__spread"
 _COPIES = "__copies"
@@ -24,6 +25,15 @@ def _all_of(conds: list[Column]) -> Column:
     return reduce(lambda a, b: a & b, conds)
 
 
+def _nullable(dtype: T.DataType) -> T.DataType:
+    """The type with NULLs allowed inside, so that casts only change values."""
+    if isinstance(dtype, T.ArrayType):
+        return T.ArrayType(_nullable(dtype.elementType))
+    if isinstance(dtype, T.StructType):
+        return T.StructType([T.StructField(f.name, _nullable(f.dataType)) for f in dtype.fields])
+    return dtype
+
+
 def _key_match(left: str, right: str, keys: Sequence[str], null_safe: Sequence[str]) -> Column:
     conds = []
     for k in keys:
@@ -93,7 +103,7 @@ def upsert(
 
     out = []
     for c in columns:
-        dtype = target.schema[c].dataType
+        dtype = _nullable(target.schema[c].dataType)
         changed = update.get(c, F.col(f"t.{c}"))
         if c == columns[0] and not unique_source:
             changed = F.when(
@@ -125,7 +135,7 @@ def insert_new(
     )
     rows = fresh.select(
         *[
-            (F.col(c) if c in source.columns else F.lit(None)).cast(target.schema[c].dataType).alias(c)
+            (F.col(c) if c in source.columns else F.lit(None)).cast(_nullable(target.schema[c].dataType)).alias(c)
             for c in target.columns
         ]
     )

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -55,7 +56,7 @@ def compose(sql: str) -> str:
     return f"with {ctes}\n{sql}"
 
 
-def _text(c: Column, dtype: T.DataType) -> Column:
+def _text(dtype: T.DataType, c: Column) -> Column:
     if isinstance(dtype, T.StructType):
         return F.concat_ws(":", *[c[f.name].cast("string") for f in dtype.fields])
     return c.cast("string")
@@ -72,9 +73,9 @@ def canonical(df: DataFrame) -> DataFrame:
             c = c.cast("bigint")
         elif isinstance(f.dataType, T.ArrayType):
             element = f.dataType.elementType
-            c = F.array_join(F.array_sort(F.transform(c, lambda x, e=element: _text(x, e))), "|")
+            c = F.array_join(F.array_sort(F.transform(c, partial(_text, element))), "|")
         elif isinstance(f.dataType, T.StructType):
-            c = _text(c, f.dataType)
+            c = _text(f.dataType, c)
         out.append(c.alias(f.name))
     return df.select(*out)
 

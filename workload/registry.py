@@ -7,7 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.session import apply_defaults
-from workload import bid_queries  # noqa: F401
+from workload import (  # noqa: F401
+    bid_queries,
+    content_queries,
+    email_queries,
+    lookup_queries,
+    pixel_queries,
+    scoring_queries,
+)
 from workload.base import ORACLES, RUNNERS, canonical, compose
 from workload.steps import Steps
 

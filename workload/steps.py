@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators import incremental_slice, topics_from_json
-from tidemark.plans import bidstream, email, enrichment, pixel, vendors
+from tidemark.plans import bidstream, content, email, enrichment, pixel, scoring, vendors
 from tidemark.sources import save_table
 from workload.base import AS_OF, shared_folder
 from workload.inputs import Inputs
@@ -186,3 +186,48 @@ class Steps(Inputs):
     @stored
     def topic_shares(self):
         return email.campaign_topics(email.campaign_content(self.clicks), self.topics)
+
+    # scraped pages
+    @stored
+    def page_results(self):
+        none = self.empty(
+            "page_url string, result string, title string, content string, last_scraped date, "
+            "content_type string, image string, language string, cleaned_content string, cleaned_title string"
+        )
+        return content.scrape_results(none, self.scrape_output, AS_OF)
+
+    @stored
+    def ngrams(self):
+        return content.page_ngrams(self.empty("page_url string, ngrams array<string>"), self.page_results)
+
+    @cached_property
+    def topic_brands(self):
+        return self.brand_ref.groupBy("parent_category", "category", "original_topic").agg(
+            F.collect_set("brand").alias("brands"), F.collect_set("domain").alias("domains")
+        )
+
+    @cached_property
+    def reference_topics(self):
+        topic = F.struct(
+            F.lit("p1").alias("parentCategory"),
+            F.lit("c1").alias("category"),
+            F.col("brand_topic").alias("topic"),
+            F.lit("0.5").alias("probability"),
+        )
+        return self.brand_ref.withColumn("brand_topics", F.array(topic)).drop("brand_topic")
+
+    # scoring
+    @stored
+    def combined(self):
+        return scoring.combine_sources(
+            self.prescoring_bid,
+            self.prescoring_pixel,
+            self.prescoring_email,
+            self.prescoring_lead,
+            dt.date(2024, 1, 3),
+            AS_OF,
+        )
+
+    @stored
+    def scoring_input(self):
+        return scoring.rolling_stats(self.combined)
