@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from workload.inputs import VIEWS, names_in
 
 AS_OF = dt.date(2024, 1, 31)
-DIGITS = 6
+DIGITS, NOISE_DIGITS = 6, 10
 
 RUNNERS: dict[str, Callable] = {}
 ORACLES: dict[str, str] = {}
@@ -37,8 +37,31 @@ def query(name: str, oracle: str | None = None):
     return add
 
 
+def _decimal_rounding(sql: str) -> str:
+    """Spell ``round(x, 6)`` as decimal rounding.
+
+    Rounding a double scales it in binary, where an exact half may fall either way.
+    """
+    end = f", {DIGITS})"
+    out, rest = "", sql
+    while "round(" in rest:
+        before, rest = rest.split("round(", 1)
+        depth, k = 1, 0
+        while depth:
+            depth += {"(": 1, ")": -1}.get(rest[k], 0)
+            k += 1
+        inner, rest = _decimal_rounding(rest[: k - 1]), rest[k:]
+        if inner.endswith(end[:-1]):
+            x = inner[: -len(end) + 1]
+            out += f"{before}round(({x})::decimal(38, {NOISE_DIGITS}), {DIGITS})::double"
+        else:
+            out += f"{before}round({inner})"
+    return out + rest
+
+
 def compose(sql: str) -> str:
     """Prefix a SELECT with every input view and piece it needs."""
+    sql = _decimal_rounding(sql)
     known = {**VIEWS, **PIECES}
     order: list[str] = []
 
@@ -68,7 +91,8 @@ def canonical(df: DataFrame) -> DataFrame:
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, (T.DoubleType, T.FloatType, T.DecimalType)):
-            c = F.round(c.cast("double"), DIGITS)
+            # the first rounding takes off summation noise, so that exact halves fall alike
+            c = F.round(F.round(c.cast("double"), NOISE_DIGITS), DIGITS)
         elif isinstance(f.dataType, T.IntegralType):
             c = c.cast("bigint")
         elif isinstance(f.dataType, T.ArrayType):

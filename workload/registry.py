@@ -10,6 +10,7 @@ from tidemark.session import apply_defaults
 from workload import (  # noqa: F401
     bid_queries,
     content_queries,
+    core_queries,
     email_queries,
     lookup_queries,
     pixel_queries,
