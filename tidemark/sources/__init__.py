@@ -9,8 +9,10 @@ from tidemark.sources.files import (
     scrape_load,
 )
 from tidemark.sources.tables import load_table, save_table, table_exists
+from tidemark.sources.warehouse import Warehouse
 
 __all__ = [
+    "Warehouse",
     "email_load",
     "ip_range_load",
     "lead_load",

@@ -36,6 +36,15 @@ def load_table(spark: SparkSession, root: str, schema: StructType | str | None =
     return reader.parquet(f"{root}/version={versions[-1]}")
 
 
+def version_exists(spark: SparkSession, root: str, number: int) -> bool:
+    return number in _versions(spark, root)
+
+
+def save_version(df: DataFrame, root: str, number: int, partition_by: tuple[str, ...] = ()) -> None:
+    """Write ``df`` as the given version; an interrupted earlier attempt is written over."""
+    df.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{root}/version={number}")
+
+
 def save_table(
     df: DataFrame, root: str, mode: str = "replace", partition_by: tuple[str, ...] = ()
 ) -> DataFrame:
@@ -51,8 +60,7 @@ def save_table(
         df.write.mode("append").partitionBy(*partition_by).parquet(f"{root}/version={current}")
     elif mode in ("replace", "append", "empty"):
         out = df.limit(0) if mode == "empty" else df
-        # an interrupted earlier attempt may have left files under this number
-        out.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{root}/version={current + 1}")
+        save_version(out, root, current + 1, partition_by)
     else:
         raise ValueError(f"unknown mode {mode!r}")
     return load_table(spark, root, df.schema)
