@@ -50,8 +50,13 @@ def bid_stream(
     confidence: int = 0,
     queue_limit: int = bidstream.QUEUE_LIMIT,
     key_mode: str = "reference",
+    first_day: dt.date = bidstream.FIRST_DAY,
 ) -> None:
-    """Bid log to prescoring cache and scrape queue."""
+    """Bid log to prescoring cache and scrape queue.
+
+    ``first_day`` is the high-water mark of empty tables; a slice ends 180 days
+    past the mark, so set it near the first day of the log.
+    """
     done, rest = bidstream.consume_raw(w.read("bid/log"), cut)
     cache = w.append("bid/user_activity_cache", bidstream.user_activity_rollup(done, cut))
     w.replace("bid/log", rest)
@@ -80,7 +85,7 @@ def bid_stream(
     devices = w.replace("maps/device_domain", bidstream.device_domain_best(device_obs, isps))
     w.empty("bid/device_ip_cache")
 
-    mark = high_water_mark(w.read("bid/company_activity"), "date", bidstream.FIRST_DAY)
+    mark = high_water_mark(w.read("bid/company_activity"), "date", first_day)
     days = incremental_slice(cache, "date", mark, bidstream.SLICE_DAYS)
     resolvable = w.replace(
         "bid/ip_resolvable_domains",
@@ -96,7 +101,7 @@ def bid_stream(
     w.replace("bid/company_activity", bidstream.company_activity_merge(w.read("bid/company_activity"), company))
     w.replace("bid/user_activity_cache", bidstream.user_activity_consume(cache, company))
 
-    url_mark = high_water_mark(w.read("bid/unique_urls"), "last_seen", bidstream.FIRST_DAY)
+    url_mark = high_water_mark(w.read("bid/unique_urls"), "last_seen", first_day)
     url_days = incremental_slice(company, "date", url_mark, bidstream.SLICE_DAYS)
     urls = w.replace("bid/unique_urls_cache", bidstream.unique_urls(w.read("bid/unique_urls_cache"), url_days))
     w.replace("bid/unique_urls", bidstream.unique_urls_merge(w.read("bid/unique_urls"), urls))
@@ -119,7 +124,9 @@ def bid_stream(
     w.replace("bid/company_activity_cache", delete_matching(company, labelled, ["page_url"]))
 
 
-def pixel_records(w: Warehouse, as_of: dt.date, *, key_mode: str = "reference") -> None:
+def pixel_records(
+    w: Warehouse, as_of: dt.date, *, key_mode: str = "reference", first_day: dt.date = bidstream.FIRST_DAY
+) -> None:
     """Pixel records to prescoring cache and scrape queue."""
     activity = w.replace(
         "pixel/user_activity", pixel.pixel_user_activity(w.read("pixel/user_activity"), w.read("pixel/raw"))
@@ -133,7 +140,7 @@ def pixel_records(w: Warehouse, as_of: dt.date, *, key_mode: str = "reference")
     obs = pixel.pixel_ip_domain_obs(w.read("maps/ip_domain_obs"), activity, w.read("vendor/ip_ranges"))
     w.replace("maps/ip_domain_obs", obs)
 
-    mark = high_water_mark(w.read("pixel/company_activity"), "date", bidstream.FIRST_DAY)
+    mark = high_water_mark(w.read("pixel/company_activity"), "date", first_day)
     days = incremental_slice(activity, "date", mark, pixel.SLICE_DAYS, inclusive=True)
     company = w.replace(
         "pixel/company_activity_cache",
