@@ -14,14 +14,13 @@ IPV4 = (
 )
 
 
+# scheme, "www.", then the name up to port, path, query or fragment
+HOST_NAME = r"^(?:[a-z][a-z0-9+.-]*://)?(?:www\.)?([^/?#]*?)(?::[0-9]+)?(?:[/?#]|$)"
+
+
 def domain_normalizer(host: Column) -> Column:
     """Comparable host name: lower case, no scheme, ``www.``, port or path; NULL if empty."""
-    h = F.lower(F.trim(host))
-    h = F.regexp_replace(h, r"^[a-z][a-z0-9+.-]*://", "")
-    h = F.regexp_replace(h, r"[/?#].*$", "")
-    h = F.regexp_replace(h, r":[0-9]+$", "")
-    h = F.regexp_replace(h, r"^www\.", "")
-    return F.nullif(h, F.lit(""))
+    return F.nullif(F.regexp_extract(F.lower(F.trim(host)), HOST_NAME, 1), F.lit(""))
 
 
 def url_host(url: Column) -> Column:

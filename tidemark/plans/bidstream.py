@@ -45,6 +45,18 @@ def _known(domain: Column, shared: str) -> Column:
     return (F.length(domain) > 1) & (domain != shared)
 
 
+def page_publisher(rows: DataFrame) -> DataFrame:
+    """One publisher per page: the smallest among the given rows.
+
+    The smallest text in a wide grouping would make Spark sort all its rows
+    instead of hashing them; pages with their publishers are few, once distinct.
+    """
+    pairs = rows.select("page_url", "publisher_domain_normalized").distinct()
+    return pairs.groupBy("page_url").agg(
+        F.min("publisher_domain_normalized").alias("publisher_domain_normalized")
+    )
+
+
 # -- user activity ---------------------------------------------------------------
 
 
@@ -399,7 +411,8 @@ def company_activity(
     """Page activity per company, day and location; ``activity`` is the slice to process.
 
     The address's location is used when complete, else the bid's.  Four-digit US
-    zips get their leading zero.  Rows without a full location are dropped.
+    zips get their leading zero.  Rows without a full location are dropped.  A
+    page has one publisher throughout the slice.
     """
     rows = resolve_company(
         activity, ip_domain, device_domain, ip_trio_map, resolvable, isp_domains, as_of,
@@ -442,17 +455,17 @@ def company_activity(
     located = located.withColumn(
         "normalized_zip", F.when(short_us, F.concat(F.lit("0"), F.col("__zip"))).otherwise(F.col("__zip"))
     )
-    return (
+    rollup = (
         located.dropna(subset=LOCATION)
         .groupBy(*ACTIVITY_KEYS)
         .agg(
-            F.min("publisher_domain_normalized").alias("publisher_domain_normalized"),
             F.sum("pageviews").alias("pageviews"),
             F.sum(F.col("score") * F.col("pageviews")).alias("weighted_pageviews"),
             F.countDistinct("user_id").alias("unique_devices"),
             F.countDistinct("user_ip").alias("unique_ips"),
         )
     )
+    return rollup.join(page_publisher(activity), "page_url")
 
 
 def company_activity_replace_slice(
@@ -494,14 +507,21 @@ def _url_merge(target: DataFrame, source: DataFrame, *, unique_source: bool) ->
 
 
 def url_stats(activity: DataFrame) -> DataFrame:
-    """First and last day, row count and publisher of each page."""
-    return activity.groupBy("page_url").agg(
-        F.xxhash64("page_url").alias("page_url_hash"),
-        F.min("publisher_domain_normalized").alias("publisher_domain_normalized"),
+    """First and last day, row count and publisher of each page (a missing URL is a page too)."""
+    stats = activity.groupBy("page_url").agg(
         F.min("date").alias("first_seen"),
         F.max("date").alias("last_seen"),
         F.count(F.lit(1)).alias("frequency"),
     )
+    publisher = page_publisher(activity).withColumnRenamed("page_url", "__url")
+    return stats.join(publisher, F.col("page_url").eqNullSafe(F.col("__url"))).select(
+        "page_url",
+        F.xxhash64("page_url").alias("page_url_hash"),
+        "publisher_domain_normalized",
+        "first_seen",
+        "last_seen",
+        "frequency",
+    )
 
 
 def unique_urls(target: DataFrame, activity: DataFrame) -> DataFrame:

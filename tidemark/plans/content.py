@@ -175,16 +175,23 @@ def tag_brands(
         .join(meaning, [*label, "brand_lower"])
         .select("ngram", *label, "brand_topic")
     )
-    # the n-grams, by far the largest input, are joined once and only hits go on
-    hits = _ngram_rows(ngrams).join(known.groupBy("ngram").agg(F.collect_set(F.struct(*label, "brand_topic")).alias("k")), "ngram")
-    hits = hits.select("page_url", F.explode("k").alias("k")).select("page_url", "k.*")
-    page_topics = topics.select("page_url", F.explode("intent_topics").alias("t")).select(
-        "page_url",
-        F.col("t.parentCategory").alias("parent_category"),
-        F.col("t.category").alias("category"),
-        F.col("t.topic").alias("topic"),
+    page_topics = (
+        topics.select("page_url", F.explode("intent_topics").alias("t"))
+        .select(
+            "page_url",
+            F.col("t.parentCategory").alias("parent_category"),
+            F.col("t.category").alias("category"),
+            F.col("t.topic").alias("topic"),
+        )
+        .distinct()
+    )
+    # the n-grams, by far the largest input, meet the names once and only hits go on
+    hits = _ngram_rows(ngrams).join(known.select("ngram").distinct(), "ngram", "left_semi")
+    tags = (
+        hits.join(page_topics, "page_url")
+        .join(known, ["ngram", *label])
+        .select("page_url", "brand_topic")
     )
-    tags = hits.join(page_topics, ["page_url", *label], "left_semi").select("page_url", "brand_topic")
     return _merge_tags(target, ngrams, tags, as_of)
 
 

@@ -94,13 +94,13 @@ def pixel_company_rollup(activity: DataFrame, ip_domain: DataFrame, ip_location:
         .join(ip_location.select("ip", *LOCATION), F.col("user_ip") == F.col("ip"))
         .withColumn("page_url", F.col("site_url"))
     )
-    return rows.groupBy(*ACTIVITY_KEYS).agg(
-        F.min(_publisher("site_url")).alias("publisher_domain_normalized"),
+    rollup = rows.groupBy(*ACTIVITY_KEYS).agg(
         F.sum("pageviews").alias("pageviews"),
         F.sum(F.col("pageviews") * F.col("score")).alias("weighted_pageviews"),
         F.countDistinct("user_agent").alias("unique_devices"),
         F.countDistinct("user_ip").alias("unique_ips"),
     )
+    return rollup.withColumn("publisher_domain_normalized", _publisher("page_url"))
 
 
 def pixel_company_activity(

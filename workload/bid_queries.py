@@ -493,7 +493,7 @@ PRE = f"{KEYS9}, pageviews, " + ", ".join(
 
 @query("prescoring_rollup", f"select {PRE} from o_prescoring")
 def _(i):
-    return enrichment.prescoring_rollup(i.enriched)
+    return enrichment.prescoring_rollup(i.fresh("enriched"))
 
 
 def same_loc(a: str = "t", b: str = "s") -> str:
@@ -556,7 +556,7 @@ def _(i):
     f"a.normalized_company_domain = s.normalized_company_domain and a.date = s.date and {same_loc('a')})",
 )
 def _(i):
-    return bidstream.company_activity_consume(i.company_activity, i.enriched)
+    return bidstream.company_activity_consume(i.company_activity, i.fresh("enriched"))
 
 
 # -- URLs
