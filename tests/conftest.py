@@ -17,6 +17,8 @@ def spark(tmp_path_factory):
         SparkSession.builder.master("local[*]")
         .appName("tests")
         .config("spark.sql.shuffle.partitions", "4")
+        # compiling code costs more than it saves on a few rows
+        .config("spark.sql.codegen.wholeStage", "false")
         .config("spark.driver.memory", "4g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")

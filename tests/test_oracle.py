@@ -7,6 +7,7 @@ import pytest
 
 import __spark_entry__ as entry
 from conftest import DATA
+from workload.base import RUNNERS, canonical
 from workload.inputs import TABLES
 
 QUERIES = entry.queries()
@@ -34,8 +35,9 @@ def _bag(rows, names, order):
 
 
 @pytest.mark.parametrize("name", list(QUERIES))
-def test_query(spark, duck, name):
-    df = QUERIES[name](spark, DATA)
+def test_query(steps, duck, name):
+    # the pipeline tables are shared here; `entry` below runs a query on its own
+    df = canonical(RUNNERS[name](steps))
     got = df.collect()
     if name not in SQL:
         return
