@@ -135,3 +135,16 @@ def test_incomplete_version_is_ignored(spark, tmp_path):
 def test_dates_survive(spark, tmp_path):
     df = spark.createDataFrame([(dt.date(2024, 1, 1),)], "d date")
     assert rows(save_table(df, str(tmp_path / "d"))) == [(dt.date(2024, 1, 1),)]
+
+
+@pytest.mark.parametrize("null_safe", [(), ("g",)])
+def test_merge_shuffles_each_side_once(spark, tmp_path, null_safe):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        t = save_table(frame(spark, ("a", "x", 1), ("b", None, 2)), str(tmp_path / "t"))
+        s = save_table(frame(spark, ("a", "y", 2), ("b", None, 3)), str(tmp_path / "s"))
+        out = upsert(t, s, ["k", "g"], ["v"], null_safe=null_safe)
+        assert plan(out).count("Exchange hashpartitioning") == 2
+        assert len(out.collect()) == (3 if null_safe else 4)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -55,6 +55,28 @@ def _spread_unmatchable(df: DataFrame, keys: Sequence[str], null_safe: Sequence[
     return df.withColumn(_SPREAD, F.when(unmatchable, F.xxhash64(*df.columns)).otherwise(F.lit(0)))
 
 
+def _join_columns(df: DataFrame, keys: Sequence[str], null_safe: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    """Columns that compare plainly: a NULL-safe key becomes its text and a NULL mark.
+
+    Spark would rewrite ``<=>`` in the join alone, and then shuffle the output of
+    the key window once more.
+    """
+    df = _spread_unmatchable(df, keys, null_safe)
+    names = [_SPREAD]
+    for k in keys:
+        if k in null_safe:
+            df = df.withColumns(
+                {
+                    f"__text_{k}": F.coalesce(F.col(k).cast("string"), F.lit("")),
+                    f"__null_{k}": F.col(k).isNull(),
+                }
+            )
+            names += [f"__text_{k}", f"__null_{k}"]
+        else:
+            names.append(k)
+    return df, names
+
+
 def upsert(
     target: DataFrame,
     source: DataFrame,
@@ -79,17 +101,15 @@ def upsert(
         update = {c: F.col(f"s.{c}") for c in update}
     columns = target.columns
     # the key window below uses the partitioning and order the join needs anyway
-    t = _spread_unmatchable(target, keys, null_safe).withColumn(_SEEN, F.lit(True))
-    s = _spread_unmatchable(source, keys, null_safe).withColumn(_SEEN, F.lit(True))
+    t, on = _join_columns(target, keys, null_safe)
+    s, _ = _join_columns(source, keys, null_safe)
+    t, s = t.withColumn(_SEEN, F.lit(True)), s.withColumn(_SEEN, F.lit(True))
     if unique_source:
         s = s.withColumn(_COPIES, F.lit(1))
     else:
-        s = s.withColumn(_COPIES, F.count(F.lit(1)).over(Window.partitionBy(*keys, _SPREAD)))
-    how = "full" if insert_missing else "left"
+        s = s.withColumn(_COPIES, F.count(F.lit(1)).over(Window.partitionBy(*on)))
     both = t.alias("t").join(
-        s.alias("s"),
-        _key_match("t", "s", keys, null_safe) & (F.col(f"t.{_SPREAD}") == F.col(f"s.{_SPREAD}")),
-        how,
+        s.alias("s"), _key_match("t", "s", on, ()), "full" if insert_missing else "left"
     )
     old = F.col(f"t.{_SEEN}").isNotNull()
     matched = old & F.col(f"s.{_SEEN}").isNotNull()
