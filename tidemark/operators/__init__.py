@@ -4,6 +4,7 @@ from tidemark.operators.relational import (
     flatten_topics,
     high_water_mark,
     incremental_slice,
+    mark_shared,
     ordered_limit,
     quality_check,
     semi,
@@ -21,6 +22,7 @@ __all__ = [
     "incremental_slice",
     "insert_new",
     "ip_range_join",
+    "mark_shared",
     "ordered_limit",
     "quality_check",
     "running_mean_stddev",

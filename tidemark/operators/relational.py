@@ -48,6 +48,19 @@ def anti(
     return kept.filter((state == "empty") | ((state == "plain") & F.col(column).isNotNull()))
 
 
+def mark_shared(
+    df: DataFrame, column: str, shared: DataFrame, shared_column: str = "domain", mark: str = "Shared"
+) -> DataFrame:
+    """Replace domains on the list of shared hosts by the marker the maps leave out."""
+    listed = shared.select(F.col(shared_column).alias("__s")).distinct()
+    on_list = F.col("__s").isNotNull()
+    return (
+        df.join(listed, F.col(column) == F.col("__s"), "left")
+        .withColumn(column, F.when(on_list, mark).otherwise(F.col(column)))
+        .drop("__s")
+    )
+
+
 def topics_from_json(text: Column) -> Column:
     """JSON list of topic objects as an array of structs."""
     return F.from_json(text, TOPICS_TYPE)

@@ -102,8 +102,10 @@ def website_domain(response: Column) -> Column:
     )
 
 
-def lookup_domain_obs(target: DataFrame, success: DataFrame) -> DataFrame:
+def lookup_domain_obs(target: DataFrame, success: DataFrame, *, drop_null_keys: bool = False) -> DataFrame:
     """One company observation per address from the lookup service, merged by source."""
+    if drop_null_keys:
+        success = success.dropna(subset=["user_ip"])
     found = one_answer_per_ip(success).select(
         F.col("user_ip").alias("ip"),
         website_domain(F.col("api_response")).alias("normalized_company_domain"),
@@ -159,8 +161,12 @@ def one_location_per_ip(locations: DataFrame, fields: Sequence[str] = LOCATION)
     )
 
 
-def lookup_location_upsert(target: DataFrame, locations: DataFrame) -> DataFrame:
+def lookup_location_upsert(
+    target: DataFrame, locations: DataFrame, *, drop_null_keys: bool = False
+) -> DataFrame:
     """Looked-up locations into the cumulative map."""
+    if drop_null_keys:
+        locations = locations.dropna(subset=["ip"])
     return upsert(
         target, one_location_per_ip(locations), ["ip"], ["date_updated", *LOCATION], unique_source=True
     )

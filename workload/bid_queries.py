@@ -191,6 +191,17 @@ def _(i):
     return bidstream.ip_domain_scores(i.ip_domain_obs, AS_OF, recency_floor=None, guard_zero=True)
 
 
+@query(
+    "ip_domain_scores_by_query_date",
+    "select ip, normalized_company_domain, round(score, 6) as score from o_ip_domain_guarded",
+)
+def _(i):
+    obs = i.ip_domain_obs.withColumnRenamed("date", "last_query_date")
+    return bidstream.ip_domain_scores(
+        obs, AS_OF, recency_floor=None, guard_zero=True, date_col="last_query_date"
+    )
+
+
 piece(
     "o_trio",
     f"""

@@ -151,6 +151,15 @@ def _(i):
     return kept.select("ip", "normalized_company_domain")
 
 
+@query(
+    "mark_shared",
+    "select ip, case when normalized_company_domain in (select domain from in_isp_domains) then 'Shared' else normalized_company_domain end as normalized_company_domain from in_ip_domain_obs",
+)
+def _(i):
+    marked = op.mark_shared(i.ip_domain_obs, "normalized_company_domain", i.isp_domains)
+    return marked.select("ip", "normalized_company_domain")
+
+
 @query("flatten_topics", "select * from o_topics_flat")
 def _(i):
     return op.flatten_topics(i.topics, "intent_topics")
