@@ -10,8 +10,8 @@ from conftest import DATA
 from workload.base import RUNNERS, canonical
 from workload.inputs import TABLES
 
-QUERIES = entry.queries()
-SQL = entry.oracle_sql()
+QUERIES = {name: q for name, q in entry.queries().items() if name in RUNNERS}
+SQL = {name: sql for name, sql in entry.oracle_sql().items() if name in RUNNERS}
 
 
 @pytest.fixture(scope="module")
