@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm.bpe import Words
-from tidemark.llm.common import pick, rows_of
+from tidemark.llm.common import named, numbered, pick, position, rows_of
 
 #: Hashed features, vector length, and n-gram lengths.
 BUCKETS, DIM, GRAMS = 1 << 17, 10, (3, 4, 5)
@@ -183,3 +183,10 @@ def quality_scores(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", t
     """``doc_id, held_out, score, predicted`` of every row, by a model of the labelled rows."""
     model = fit(docs, labels, doc_id, text, **options)
     return score(docs, model, doc_id, text).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
+def accepted(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text", least: float = 0.5) -> DataFrame:
+    """The documents with a score of at least ``least``, with their own columns."""
+    flat, names = numbered(docs)
+    scored = score(flat, model, f"__in{position(docs, doc_id)}", f"__in{position(docs, text)}", keep=flat.columns)
+    return named(scored.filter(F.col("score") >= least), names)

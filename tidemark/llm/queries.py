@@ -8,7 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, exact_dedup, ngram_join, quality_classifier, quality_rules, token_counts
+from tidemark.llm import (
+    bpe,
+    exact_dedup,
+    html_extract,
+    license_scan,
+    line_dedup,
+    ngram_join,
+    quality_classifier,
+    quality_rules,
+    source_mix,
+    token_counts,
+)
 from tidemark.session import apply_defaults
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -32,11 +43,42 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query("op1_html_extract")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.html_extract(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
 @query("op2_token_counts")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
 
 
+@query(
+    "op3_line_dedup",
+    """
+with d as (
+    select distinct doc_id, text, string_split(text, chr(10)) as lines from documents
+), w as (
+    select doc_id, lines[k : k + 2] as win, k
+    from (select doc_id, lines, unnest(range(1, len(lines) - 1)) as k from d)
+), r as (
+    select doc_id, k, row_number() over (partition by win order by doc_id, k) as nth
+    from w where regexp_matches(array_to_string(win, ' '), '[^\x20\x09-\x0D]')
+), c as (
+    select distinct doc_id, unnest([k, k + 1, k + 2]) as k from r where nth > 1
+), x as (
+    select doc_id, list(k) as gone from c group by doc_id
+)
+select doc_id, coalesce(len(lines), 0)::bigint as n_lines, coalesce(len(gone), 0)::bigint as n_removed,
+       case when gone is null then text
+            else array_to_string(list_filter(lines, lambda l, i: not list_contains(gone, i)), chr(10)) end as text
+from d left join x using (doc_id)
+""",
+)
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_dedup(table(spark, sf_dir, "documents")).select("doc_id", "n_lines", "n_removed", "text")
+
+
 @query(
     "op4_exact_dedup",
     """
@@ -119,11 +161,64 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def _license_sql() -> str:
+    """Exact containment in every window, for the built-in templates."""
+    rows = ", ".join(
+        f"('{name}', '{text.replace(chr(39), chr(39) * 2)}', {license_scan.template_class(len(license_scan.Scanner({name: text}).sets[0]))})"
+        for name, text in license_scan.TEMPLATES.items()
+    )
+    lower = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return f"""
+with t as (
+    select license, regexp_extract_all({lower.format("t")}, '[a-z0-9]+') as words, j
+    from (values {rows}) as v(license, t, j)
+), s as (
+    select distinct license, j, words[k : k + 4] as gram
+    from (select *, unnest(range(1, len(words) - 3)) as k from t)
+), n as (
+    select license, count(*) as shingles from s group by license
+), d as (
+    select doc_id, regexp_extract_all({lower.format("text")}, '[a-z0-9]+') as words from documents
+), g as (
+    select doc_id, k, words[k + 1 : k + 5] as gram, len(words) - 4 as total
+    from (select *, unnest(range(0, len(words) - 4)) as k from d)
+), h as (
+    select doc_id, license, j, k, gram, total from g join s using (gram)
+), w as (
+    select doc_id, license, j, total, gram, k // (1 << j) as win from h
+    union all
+    select doc_id, license, j, total, gram, k // (1 << j) - 1 from h
+), f as (
+    select doc_id, license, win * (1 << j) as start, count(distinct gram)::double / max(shingles) as share
+    from w join n using (license)
+    -- the last window starts one step before the last step, if there are two
+    where win >= 0 and win <= greatest((total - 1) // (1 << j) - 1, 0)
+    group by doc_id, license, win, j
+)
+select doc_id, license, max(share) as contained, arg_max(start, share - start / 1e12)::bigint as first_word
+from f where share >= {license_scan.CONTAINED} group by doc_id, license
+"""
+
+
+@query("op7_license_scan", _license_sql())
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.license_scan(table(spark, sf_dir, "documents")).select(
+        "doc_id", "license", "contained", "first_word"
+    )
+
+
 @query("op8_ngram_join")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.ngram_components(table(spark, sf_dir, "documents"))
 
 
+@query("op9_source_mix")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_mix.mix_plan(table(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "source", "source_size", "target", "taken"
+    )
+
+
 @query("op10_bpe")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path(TOKENIZER)
