@@ -6,7 +6,11 @@ rare tokens come before frequent ones.  A rare token of the prefix is a signatur
 frequent tokens reach into the prefix, it is extended, and each pair of frequent tokens in it is
 a signature: sets that share no rare token of the prefix must share such a pair.  Sets with many
 frequent tokens in the prefix would have too many pairs; they use their frequent tokens one by
-one, and the others meet them there.  Sets that have a signature in common are compared whole.
+one, and the others meet them there.
+
+Sets that meet pass two tests that lose nothing before they are compared whole.  The place of
+their first common token bounds how many can follow.  And each set has a bitmap of the parity of
+its tokens by hash: two bitmaps cannot differ in more places than the sets do.
 
 Equal sets are one node.  A signature with few nodes gives all its pairs.  One with many gives
 the pairs with its smallest node first; nodes that are connected by then need no test, and the
@@ -29,14 +33,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.bpe import Words
-from tidemark.llm.common import drop_step, pick, row_key, rows_of, stored
+from tidemark.llm.common import drop_step, named, numbered, pick, position, row_key, rows_of, stored
 from tidemark.llm.components import components
 
 #: Words in a shingle, and the similarity as a fraction.
 WIDTH, SIMILARITY = 3, (9, 10)
 #: A token is frequent if more sets have it; the table of frequent tokens has this many rows at
-#: most (2 MB when sent to the tasks), the most frequent ones.
-FREQUENT, TABLE_TOKENS = 256, 1 << 18
+#: most (8 MB when sent to the tasks), the most frequent ones.
+FREQUENT, TABLE_TOKENS = 16, 1 << 20
 #: Frequent tokens of an extended prefix up to which their pairs are indexed.
 PAIRED = 24
 #: Nodes of a signature up to which all its pairs are compared at once.
@@ -175,12 +179,13 @@ def least_overlap(n: int, similarity: tuple[int, int] = SIMILARITY) -> int:
 
 def signatures(
     tokens: np.ndarray, frequent: np.ndarray, similarity: tuple[int, int] = SIMILARITY
-) -> tuple[np.ndarray, np.ndarray, bool]:
-    """Signatures of a set; those that count only beside a wide set; whether this set is wide."""
+) -> tuple[np.ndarray, int, np.ndarray, bool]:
+    """Signatures of a set; how many of them are rare tokens, in order; those that count only
+    beside a wide set; whether this set is wide."""
     num, den = similarity
     n, none = len(tokens), np.empty(0, np.uint64)
     if n * den // num == n and least_overlap(n, similarity) == n:
-        return none, none, False  # similar to equal sets only
+        return none, 0, none, False  # similar to equal sets only
     place = np.searchsorted(frequent, tokens >> np.uint64(64 - COUNT_BITS))
     often = np.zeros(n, bool)
     if len(frequent):
@@ -188,13 +193,41 @@ def signatures(
     ordered, first = np.concatenate([tokens[~often], tokens[often]]), int((~often).sum())
     size = n - least_overlap(n, similarity) + 1
     if first >= size:
-        return ordered[:size], none, False
+        return ordered[:size], size, none, False
     rare, more = ordered[:first], ordered[first : size + 1]
     alone = _mix(ordered[first:size] + np.uint64(1))
     if len(more) > PAIRED:
-        return rare, alone, True
+        return rare, first, alone, True
     a, b = np.triu_indices(len(more), 1)
-    return np.concatenate([rare, _mix(_mix(more[a] + np.uint64(2)) * _K2 + more[b])]), alone, False
+    return np.concatenate([rare, _mix(_mix(more[a] + np.uint64(2)) * _K2 + more[b])]), first, alone, False
+
+
+#: Words of the short bitmap that large groups carry: 512 bits tell sets of up to 2,000 tokens apart.
+SHORT = 8
+
+
+def short_parity(tokens: np.ndarray) -> list[int]:
+    """Parity of the tokens in 512 bits, as 64-bit integers."""
+    odd = np.bincount((tokens & np.uint64(64 * SHORT - 1)).astype(np.int64), minlength=64 * SHORT) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64).tolist()
+
+
+def parity_bits(tokens: np.ndarray) -> bytes:
+    """Bitmap of 0.3 bits a token or more: the parity of the tokens by the low bits of the hash."""
+    width = max(64, 1 << math.ceil(math.log2(max(1, 0.3 * len(tokens)))))
+    odd = np.bincount((tokens & np.uint64(width - 1)).astype(np.int64), minlength=width) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+def parity_distance(x: bytes, y: bytes) -> int:
+    """Places in which two bitmaps differ, after the longer one is folded: no more than the sets do."""
+    if len(x) < len(y):
+        x, y = y, x
+    bits, width = int.from_bytes(x, "little"), 8 * len(x)
+    while width > 8 * len(y):
+        width //= 2
+        bits = (bits >> width) ^ (bits & ((1 << width) - 1))
+    return (bits ^ int.from_bytes(y, "little")).bit_count()
 
 
 def _signed(rows: DataFrame, frequent: np.ndarray, width: int, similarity: tuple[int, int]) -> DataFrame:
@@ -204,46 +237,60 @@ def _signed(rows: DataFrame, frequent: np.ndarray, width: int, similarity: tuple
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler, often = Shingler(width), shared.value
         for batch in rows_of(batches):
-            sizes, nodes, single, beside, wide = [], [], [], [], []
+            sizes, nodes, single, rare, beside, wide, bits, short = [], [], [], [], [], [], [], []
             for text in batch.column("text").to_pylist():
                 tokens = shingler.tokens(text)
-                own, alone, is_wide = signatures(tokens, often, similarity)
+                own, first, alone, is_wide = signatures(tokens, often, similarity)
                 sizes.append(len(tokens))
                 nodes.append(node_of(tokens) if len(tokens) else None)
                 single.append(own.view(np.int64))
+                rare.append(first)
+                bits.append(parity_bits(tokens))
+                short.append(short_parity(tokens))
                 beside.append(alone.view(np.int64))
                 wide.append(is_wide)
             longs = pa.list_(pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"), batch.column("row"), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()),
-                    pa.array(single, longs), pa.array(beside, longs), pa.array(wide, pa.bool_()),
+                    pa.array(single, longs), pa.array(rare, pa.int64()), pa.array(beside, longs),
+                    pa.array(wide, pa.bool_()), pa.array(bits, pa.binary()), pa.array(short, longs),
                 ],
-                ["doc_id", "row", "n", "node", "own", "beside", "wide"],
+                ["doc_id", "row", "n", "node", "own", "rare", "beside", "wide", "bits", "short"],
             )
 
     kind = dict(rows.dtypes)["doc_id"]
-    schema = f"doc_id {kind}, row bigint, n bigint, node bigint, own array<bigint>, beside array<bigint>, wide boolean"
-    return rows.mapInArrow(work, schema)
+    return rows.mapInArrow(
+        work,
+        f"doc_id {kind}, row bigint, n bigint, node bigint, own array<bigint>, rare bigint,"
+        " beside array<bigint>, wide boolean, bits binary, short array<bigint>",
+    )
 
 
 def _groups(signed: DataFrame) -> DataFrame:
-    """Stored ``sig, node, n, c``: signatures of two or more nodes; equal groups appear once."""
-    own = signed.select(F.explode("own").alias("sig"), "node", "n")
+    """Stored ``sig, node, n, after, c``: signatures of two or more nodes.
+
+    ``after`` is the number of tokens of the node from a rare token on.  Large groups of equal
+    nodes appear once.
+    """
+    own = signed.select(F.posexplode("own").alias("k", "sig"), "node", "n", "rare")
+    own = own.select("sig", "node", "n", F.expr("n - if(k < rare, k, 0)").alias("after"))
     beside = signed.select(F.explode("beside").alias("sig"), "node", "n", "wide")
     several = own.groupBy("sig").agg(F.min("node").alias("lo"), F.max("node").alias("hi"))
     meeting = beside.groupBy("sig").agg(
         F.min("node").alias("lo"), F.max("node").alias("hi"), F.max(F.col("wide").cast("int")).alias("wide")
     )
     live = several.filter("lo <> hi").select("sig").union(meeting.filter("lo <> hi and wide = 1").select("sig"))
-    members = own.union(beside.drop("wide")).join(live, "sig").distinct()
-    members = stored(members, "members")
+    every = own.union(beside.select("sig", "node", "n", F.col("n").alias("after")))
+    members = stored(every.join(live, "sig").distinct(), "members")
     prints = members.groupBy("sig").agg(
         F.count(F.lit(1)).alias("c"),
         F.bit_xor(F.xxhash64("node")).alias("x"),
         F.bit_xor(F.xxhash64(F.lit(1), "node")).alias("y"),
     )
-    once = prints.groupBy("c", "x", "y").agg(F.min("sig").alias("sig")).select("sig", "c")
+    # small groups all stay: their pairs depend on the place of the token
+    same = F.when(F.col("c") <= SMALL_GROUP, F.col("sig")).otherwise(F.lit(0))
+    once = prints.groupBy("c", "x", "y", same).agg(F.min("sig").alias("sig")).select("sig", "c")
     groups = stored(members.join(once, "sig"), "groups")
     drop_step(members)
     return groups
@@ -252,10 +299,30 @@ def _groups(signed: DataFrame) -> DataFrame:
 # --- comparison -----------------------------------------------------------------------------
 
 
-def _sets(rows: DataFrame, signed: DataFrame, groups: DataFrame, width: int) -> DataFrame:
-    """Stored ``node, tokens`` of the nodes in groups, computed from one row of each."""
-    nodes = groups.select("node").distinct()
-    chosen = signed.join(nodes, "node").groupBy("node").agg(F.min("row").alias("row")).select("row")
+def _survivors(pairs: DataFrame, signed: DataFrame, similarity: tuple[int, int]) -> DataFrame:
+    """Stored pairs ``a, b`` whose bitmaps allow the similarity."""
+    num, den = similarity
+    bits = signed.filter("node is not null").select("node", "n", "bits").dropDuplicates(["node"])
+    met = pairs
+    for side in "ab":
+        met = met.join(bits.select(F.col("node").alias(side), F.col("n").alias(f"n{side}"), F.col("bits").alias(f"bits{side}")), side)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in rows_of(batches):
+            columns = [batch.column(c).to_pylist() for c in ("bitsa", "bitsb", "na", "nb")]
+            # similar sets differ in at most (den - num) / (den + num) of their tokens
+            good = [
+                parity_distance(x, y) * (den + num) <= (den - num) * (n + m) for x, y, n, m in zip(*columns, strict=True)
+            ]
+            kept = pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"])
+            yield kept.filter(pa.array(good, pa.bool_()))
+
+    return stored(met.select("a", "b", "na", "nb", "bitsa", "bitsb").mapInArrow(work, "a bigint, b bigint"), "survivors")
+
+
+def _sets(rows: DataFrame, signed: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
+    """Stored ``node, tokens`` of some nodes, computed from one row of each."""
+    chosen = signed.join(nodes.distinct(), "node").groupBy("node").agg(F.min("row").alias("row")).select("row")
     chosen = stored(chosen.distinct(), "chosen")
     if chosen.count() <= BROADCAST_KEYS:
         chosen = F.broadcast(chosen)
@@ -299,20 +366,44 @@ def _near(n: str, m: str, similarity: tuple[int, int]):
     return F.expr(f"{den} * least({n}, {m}) >= {num} * greatest({n}, {m})")
 
 
-def _first_pairs(groups: DataFrame, similarity: tuple[int, int]) -> DataFrame:
-    """All pairs of small groups, and the smallest node of a large one with each other node."""
+def _alike(n: str, m: str, similarity: tuple[int, int]):
+    """Sizes and short bitmaps ``p`` and ``q`` that allow the similarity."""
+    num, den = similarity
+    differ = " + ".join(f"bit_count(p{k} ^ q{k})" for k in range(SHORT))
+    return _near(n, m, similarity) & F.expr(f"({differ}) * {den + num} <= {den - num} * ({n} + {m})")
+
+
+def _large(groups: DataFrame, signed: DataFrame) -> DataFrame:
+    """Stored members of large groups with their short bitmaps."""
+    short = signed.filter("node is not null").select("node", *[F.col("short")[k].alias(f"p{k}") for k in range(SHORT)])
+    large = groups.filter(F.col("c") > SMALL_GROUP)
+    return stored(large.join(short.join(large.select("node"), "node", "left_semi").distinct(), "node"), "large")
+
+
+def _as_partner(rows: DataFrame) -> DataFrame:
+    """``node, n`` and the bitmap under the names of the other side."""
+    return rows.withColumnsRenamed({"node": "b", "n": "m", **{f"p{k}": f"q{k}" for k in range(SHORT)}})
+
+
+def _first_pairs(groups: DataFrame, large: DataFrame, similarity: tuple[int, int]) -> DataFrame:
+    """Pairs of small groups, and the smallest node of a large one with each other node.
+
+    Two sets whose first common token is followed by too few others are not similar; a pair that
+    is passed over at a later token is found at its first one.
+    """
+    num, den = similarity
     small = groups.filter(F.col("c") <= SMALL_GROUP).groupBy("sig").agg(
-        F.array_sort(F.collect_list(F.struct("node", "n"))).alias("all")  # SMALL_GROUP at most
+        F.array_sort(F.collect_list(F.struct("node", "n", "after"))).alias("all")  # SMALL_GROUP at most
     )
     left = small.select("all", F.posexplode("all").alias("k", "l"))
     right = left.select("l", F.explode(F.slice("all", F.col("k") + 2, F.lit(SMALL_GROUP))).alias("r"))
-    near = right.filter(_near("l.n", "r.n", similarity))
+    enough = F.expr(f"{num + den} * least(l.after, r.after) >= {num} * (l.n + r.n)")
+    near = right.filter(_near("l.n", "r.n", similarity) & enough)
     pairs = near.select(F.col("l.node").alias("a"), F.col("r.node").alias("b"))
-    large = groups.filter(F.col("c") > SMALL_GROUP)
-    hubs = large.groupBy("sig").agg(F.min("node").alias("a"))
-    hubs = hubs.join(large.select("sig", F.col("node").alias("a"), F.col("n").alias("m")), ["sig", "a"])
-    stars = large.join(hubs, "sig").filter(_near("n", "m", similarity) & (F.col("node") != F.col("a")))
-    return pairs.union(stars.select("a", F.col("node").alias("b"))).distinct()
+    hubs = large.groupBy("sig").agg(F.min("node").alias("node"))
+    hubs = _as_partner(large.join(hubs, ["sig", "node"]).drop("after", "c"))
+    stars = large.join(hubs, "sig").filter(_alike("n", "m", similarity) & (F.col("node") != F.col("b")))
+    return pairs.union(stars.select("b", "node")).distinct()
 
 
 def _more_pairs(large: DataFrame, labels: DataFrame, low: int, high: int, similarity: tuple[int, int]) -> DataFrame | None:
@@ -332,12 +423,11 @@ def _more_pairs(large: DataFrame, labels: DataFrame, low: int, high: int, simila
         drop_step(now)
         return None
     place = (F.pmod(F.xxhash64("node", F.lit(7)), F.lit(1 << 40)) / float(1 << 40)) * F.col("c")
-    partner = now.filter((place >= low) & (place < high)).select(
-        "sig", F.col("node").alias("b"), F.col("n").alias("m"), F.col("label").alias("other")
-    )
-    outside = now.filter("label <> main").select("sig", F.col("node").alias("a"), "n", "label")
-    met = outside.join(partner, "sig").filter((F.col("label") != F.col("other")) & _near("n", "m", similarity))
-    return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    partner = _as_partner(now.filter((place >= low) & (place < high)).drop("after", "c", "main"))
+    outside = now.filter("label <> main").drop("after", "c", "main")
+    met = outside.join(partner.withColumnRenamed("label", "other"), "sig")
+    met = met.filter((F.col("label") != F.col("other")) & _alike("n", "m", similarity))
+    return met.select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")).distinct()
 
 
 def ngram_components(
@@ -353,12 +443,7 @@ def ngram_components(
     """
     rows = pick(docs, doc_id=doc_id, text=text)
     rows = rows.select("doc_id", "text", row_key(F.col("doc_id"), F.col("text")).alias("row"))
-    frequent = frequent_tokens(rows, width)
-    signed = stored(_signed(rows, frequent, width, similarity), "signatures")
-    groups = _groups(signed)
-    labels = _labels(rows, signed, groups, width, similarity)
-    nodes = signed.select("doc_id", "n", "node").join(labels, "node", "left")
-    nodes = nodes.withColumn("label", F.coalesce("label", "node"))
+    nodes = _labelled(rows, width, similarity)
     # a stored side, so that a large component's rows can be split over tasks
     least = stored(nodes.filter("label is not null").groupBy("label").agg(F.min("doc_id").alias("first")), "components")
     return nodes.join(least, "label", "left").select(
@@ -368,19 +453,58 @@ def ngram_components(
     )
 
 
+def one_of_each(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = WIDTH,
+    similarity: tuple[int, int] = SIMILARITY,
+) -> DataFrame:
+    """The documents without near duplicates: of each component the row with the smallest id.
+
+    Null ids come last, and of rows that agree in id the text decides.  Rows that agree in both
+    are one document, of which one stays.  Rows without words all stay, as nothing links them.
+    """
+    flat, names = numbered(docs)
+    at_id, at_text = f"__in{position(docs, doc_id)}", f"__in{position(docs, text)}"
+    rows = flat.select(F.col(at_id).alias("doc_id"), F.col(at_text).alias("text"))
+    rows = rows.withColumn("row", row_key(F.col("doc_id"), F.col("text")))
+    nodes = _labelled(rows, width, similarity)
+    least = nodes.filter("label is not null").groupBy("label").agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row")).alias("keeper")
+    )
+    kept = least.select("keeper.row").union(nodes.filter("n = 0").select("row"))
+    kept = stored(kept.distinct().withColumnRenamed("row", "__row"), "kept")
+    keyed = flat.withColumn("__row", row_key(F.col(at_id), F.col(at_text)))
+    out = keyed.join(F.broadcast(kept) if kept.count() <= BROADCAST_KEYS else kept, "__row", "left_semi")
+    worded = nodes.filter("n > 0")
+    if worded.groupBy("row").count().filter("count > 1").isEmpty():
+        return named(out, names)
+    blank = ~F.coalesce(F.col(at_text), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+    return named(out.filter(~blank).dropDuplicates(["__row"]).unionByName(out.filter(blank)), names)
+
+
+def _labelled(rows: DataFrame, width: int, similarity: tuple[int, int]) -> DataFrame:
+    """``doc_id, row, n, node, label`` of every row; the label is the component's smallest node."""
+    frequent = frequent_tokens(rows, width)
+    signed = stored(_signed(rows, frequent, width, similarity), "signatures")
+    groups = _groups(signed)
+    labels = _labels(rows, signed, groups, width, similarity)
+    nodes = signed.select("doc_id", "row", "n", "node").join(labels, "node", "left")
+    return nodes.withColumn("label", F.coalesce("label", "node"))
+
+
 def _labels(rows: DataFrame, signed: DataFrame, groups: DataFrame, width: int, similarity: tuple[int, int]) -> DataFrame:
     """``node, label`` of all nodes with a link."""
     largest = groups.agg(F.max("c")).first()[0] or 0
-    sets = _sets(rows, signed, groups, width)
-    links = _linked(_first_pairs(groups, similarity), sets, similarity)
+    large = _large(groups, signed)
+    pairs = _survivors(_first_pairs(groups, large, similarity), signed, similarity)
+    sets = _sets(rows, signed, pairs.select("a").union(pairs.select("b")).union(large.select("node")).toDF("node"), width)
+    links = _linked(pairs, sets, similarity)
     labels = components(links)
-    large = groups.filter(F.col("c") > SMALL_GROUP)
     low, high = 0, FIRST_ROUND
     while low < largest and largest > SMALL_GROUP:
         pairs = _more_pairs(large, labels, low, high, similarity)
         if pairs is None:
             break
-        links = links.union(_linked(pairs, sets, similarity))
+        links = links.union(_linked(_survivors(pairs, signed, similarity), sets, similarity))
         labels = components(links)
         low, high = high, high * MORE
     return labels
