@@ -12,7 +12,7 @@ bits of hash.  All columns of the input are returned, whatever their names.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import numbered, position, row_key, stored
@@ -22,24 +22,18 @@ WINDOW = 3
 _LAST = F.lit((1 << 63) - 1)
 
 
-def _windows(lines: Column, window: int) -> Column:
-    """Two hashes for each run of ``window`` lines that are not all blank."""
-
-    def one(k: Column) -> Column:
-        run = [F.get(lines, k + j) for j in range(window)]
-        blank = ~F.exists(F.slice(lines, k + 1, F.lit(window)), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
-        return F.when(
-            ~blank, F.struct(F.xxhash64(*run).alias("h"), F.xxhash64(F.lit("second"), *reversed(run)).alias("g"))
-        )
-
-    return F.when(F.size(lines) >= window, F.transform(F.sequence(F.lit(0), F.size(lines) - window), one))
-
-
 def later_windows(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """``id, row, starts``: where windows start that occurred before, for ``id, row, text``."""
-    lines = F.split("text", "\n", -1)
-    each = docs.select("id", "row", F.posexplode(_windows(lines, window)).alias("at", "w")).filter("w is not null")
-    each = each.select(F.coalesce("id", _LAST).alias("order"), "row", "at", "w.h", "w.g")
+    """``order, row, starts``: where windows start that occurred before, for ``id, row, text``."""
+    cut = docs.select(F.coalesce("id", _LAST).alias("order"), "row", F.split("text", "\n", -1).alias("lines"))
+    beside = [F.slice("lines", k + 1, F.size("lines")) for k in range(window)]
+    runs = cut.filter(F.size("lines") >= window).select(
+        "order", "row", F.posexplode(F.arrays_zip(*[x.alias(f"l{k}") for k, x in enumerate(beside)])).alias("at", "run")
+    )
+    run = [F.col("run").getField(f"l{k}") for k in range(window)]
+    whole = F.concat(*run)  # null where the last lines are passed
+    each = runs.filter(whole.rlike(r"[^\x20\x09-\x0D]")).select(
+        "order", "row", "at", F.xxhash64(*run).alias("h"), F.xxhash64(F.lit("second"), *reversed(run)).alias("g")
+    )
     often = each.groupBy("h", "g").agg(F.count(F.lit(1)).alias("n"), F.min("order").alias("first"))
     # only windows that repeat go on
     found = stored(each.join(often.filter("n > 1").drop("n"), ["h", "g"]).distinct(), "windows")
@@ -61,22 +55,18 @@ def line_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", wind
     keyed = flat.withColumns({"__order": F.coalesce(F.col(at_id), _LAST), "__row": key})
     later = later.select(F.col("order").alias("__order"), F.col("row").alias("__row"), F.col("starts").alias("__starts"))
     joined = keyed.join(later, ["__order", "__row"], "left")
-    lines = F.split(at_text, "\n", -1)
     covered = F.flatten(F.transform("__starts", lambda s: F.sequence(s, s + (window - 1))))
-    rest = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), covered)
-    joined = joined.withColumns(
-        {
-            "__n": F.when(F.col(at_text).isNull(), 0).otherwise(F.size(lines)).cast("long"),
-            "__kept": F.when(F.col("__starts").isNotNull(), rest),
-        }
-    )
-    shorter = F.array_join(F.transform("__kept", lambda k: F.get(lines, k)), "\n")
-    joined = joined.withColumns(
-        {
-            "__removed": F.coalesce(F.col("__n") - F.size("__kept"), F.lit(0)).cast("long"),
-            at_text: F.when(F.col("__kept").isNull(), F.col(at_text)).otherwise(shorter),
-        }
+    breaks = F.length(at_text) - F.length(F.translate(at_text, "\n", ""))
+    joined = joined.withColumn("__lines", F.when(F.col("__starts").isNotNull(), F.split(at_text, "\n", -1)))
+    joined = joined.withColumn("__kept", F.array_except(F.sequence(F.lit(0), F.size("__lines") - 1), covered))
+    shorter = F.array_join(F.transform("__kept", lambda k: F.get("__lines", k)), "\n")
+    joined = joined.select(
+        "*",
+        F.coalesce(breaks + 1, F.lit(0)).cast("long").alias("__n"),
+        F.coalesce(F.size("__lines") - F.size("__kept"), F.lit(0)).cast("long").alias("__removed"),
+        F.when(F.col("__kept").isNull(), F.col(at_text)).otherwise(shorter).alias("__text"),
     )
     kept = [k for k, n in enumerate(names) if n not in ("n_lines", "n_removed")]
-    out = joined.select(*[f"__in{k}" for k in kept], "__n", "__removed")
+    own = ["__text" if f"__in{k}" == at_text else f"__in{k}" for k in kept]
+    out = joined.select(*own, "__n", "__removed")
     return out.toDF(*[names[k] for k in kept], "n_lines", "n_removed")
