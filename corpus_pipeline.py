@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import bpe, line_dedup, ngram_join, quality_classifier, source_mix
-from tidemark.llm.common import stored
+from tidemark.llm.common import small_batches, stored
 from tidemark.session import apply_defaults
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -21,7 +21,7 @@ TOKENIZER = "byte_bpe_50k.json"
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops the documents that the classifier rejects; it learns from the labelled rows."""
-    model = quality_classifier.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    model = quality_classifier.fit(docs, small_batches(spark).read.parquet(f"{sf_dir}/labels.parquet"))
     return quality_classifier.accepted(docs, model)
 
 
@@ -33,6 +33,7 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each group of near duplicates."""
+    small_batches(spark)
     return ngram_join.one_of_each(docs)
 
 
@@ -43,6 +44,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document of the mix, and the digest of the text they decode to."""
+    small_batches(spark)
     path = public_tokenizers.path(TOKENIZER)
     decoded = bpe.decode(bpe.encode(docs, path), path)
     return decoded.select("doc_id", "n_tokens", "ids", bpe.digest(F.col("decoded")).alias("decoded_sha256"))

@@ -13,6 +13,7 @@ the input that has the name of a result column is replaced by the result.
 
 from __future__ import annotations
 
+import functools
 import json
 import re
 import struct
@@ -33,9 +34,9 @@ from tidemark.llm.common import pick, rows_of
 PRE_TOKEN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 #: Words a worker keeps, in each of two generations.
-CACHE_WORDS = 150_000
+CACHE_WORDS = 60_000
 #: Pair tests a worker keeps.
-CACHE_PAIRS = 1_000_000
+CACHE_PAIRS = 200_000
 
 
 def read_tokenizer(path: str) -> str:
@@ -44,6 +45,13 @@ def read_tokenizer(path: str) -> str:
         return f.read()
 
 
+@functools.lru_cache(maxsize=8)
+def load_tokenizer(path: str) -> tuple[str, str]:
+    """Tokenizer file as text, and its odd characters."""
+    spec = read_tokenizer(path)
+    return spec, odd_characters(spec)
+
+
 def byte_characters() -> str:
     """The character that stands for each byte: itself if printable, else one from U+0100 on."""
     plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
@@ -52,6 +60,19 @@ def byte_characters() -> str:
     return "".join(chr(b) if b in shown else chr(next(others)) for b in range(256))
 
 
+def odd_characters(spec: str) -> str:
+    """Letters, digits and spaces that the library takes for other characters."""
+    pre_tokenizer = Tokenizer.from_str(spec).pre_tokenizer
+    classed = regex.compile(r"[\p{L}\p{N}\s]")
+    chars = [chr(c) for c in range(0x80, 0x110000) if not 0xD800 <= c < 0xE000 and classed.match(chr(c))]
+    odd = []
+    for k in range(0, len(chars), 20_000):
+        part = chars[k : k + 20_000]
+        starts = {start for _, (start, _) in pre_tokenizer.pre_tokenize_str("".join("!" + c for c in part))}
+        odd += [c for j, c in enumerate(part) if 2 * j + 1 not in starts]
+    return "".join(odd)
+
+
 class PreTokens:
     """Splits texts into special strings and pre-tokens exactly as the library does.
 
@@ -59,7 +80,7 @@ class PreTokens:
     digits or spaces are found by asking the library, and split as it splits them.
     """
 
-    def __init__(self, spec: str):
+    def __init__(self, spec: str, odd: str | None = None):
         conf = json.loads(spec)
         pre = conf.get("pre_tokenizer") or {}
         if (
@@ -77,21 +98,10 @@ class PreTokens:
         ordered = sorted(self.special, key=len, reverse=True)
         self._special = re.compile("(" + "|".join(map(re.escape, ordered)) + ")") if ordered else None
         self._find = regex.compile(PRE_TOKEN)
-        self._odd = self._odd_characters(Tokenizer.from_str(spec).pre_tokenizer)
+        self._odd = frozenset(odd_characters(spec) if odd is None else odd)
         self._least_odd = min(self._odd, default="")
         self._some = re.compile(f"[{self._least_odd}-\U0010ffff]") if self._odd else None
 
-    @staticmethod
-    def _odd_characters(pre_tokenizer) -> frozenset[str]:
-        classed = regex.compile(r"[\p{L}\p{N}\s]")
-        chars = [chr(c) for c in range(0x80, 0x110000) if not 0xD800 <= c < 0xE000 and classed.match(chr(c))]
-        odd = []
-        for k in range(0, len(chars), 20_000):
-            part = chars[k : k + 20_000]
-            starts = {start for _, (start, _) in pre_tokenizer.pre_tokenize_str("".join("!" + c for c in part))}
-            odd += [c for j, c in enumerate(part) if 2 * j + 1 not in starts]
-        return frozenset(odd)
-
     def words(self, text: str) -> list[str]:
         """Pre-tokens of a text without special strings."""
         if self._some and self._some.search(text) and not self._odd.isdisjoint(text):
@@ -106,19 +116,18 @@ class PreTokens:
 
 
 class Codec:
-    """Encoder and decoder of one byte-level BPE vocabulary."""
+    """Encoder of one byte-level BPE vocabulary."""
 
-    def __init__(self, spec: str):
+    def __init__(self, spec: str, odd: str | None = None):
         conf = json.loads(spec)
         model = conf["model"]
         if model["type"] != "BPE" or any(
             model.get(k) for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "ignore_merges")
         ):
             raise ValueError("only plain byte-level BPE models are supported")
-        self.pre = PreTokens(spec)
+        self.pre = PreTokens(spec, odd)
         shown = byte_characters()
         self._shown = {b: c for b, c in enumerate(shown)}
-        plain = {ord(c): b for b, c in enumerate(shown)}
         vocab = model["vocab"]
         # tokens by order of their merge; single bytes come first
         order = {c: k for k, c in enumerate(shown)}
@@ -136,8 +145,6 @@ class Codec:
         for token, k in order.items():
             self.match.add_word(token, (len(token), k))
         self.match.make_automaton()
-        self.bytes_of = {vocab[token]: bytes(plain[ord(c)] for c in token) for token in order}
-        self.bytes_of |= {i: content.encode() for content, i in self.pre.special.items()}
         self._tested: dict[tuple[int, int], bool] = {}
         self._cache = Words(self.encode_word, CACHE_WORDS)
 
@@ -203,6 +210,16 @@ class Codec:
                 out.extend(map(get, self.pre.words(part)))
         return b"".join(out)
 
+
+class Decoder:
+    """The bytes of each id of a byte-level vocabulary."""
+
+    def __init__(self, spec: str, odd: str | None = None):
+        conf = json.loads(spec)
+        plain = {c: b for b, c in enumerate(byte_characters())}
+        self.bytes_of = {i: bytes(plain[c] for c in token) for token, i in conf["model"]["vocab"].items()}
+        self.bytes_of |= {token["id"]: token["content"].encode() for token in conf.get("added_tokens", [])}
+
     def decode(self, packed: bytes) -> str:
         """Text of packed ids, special tokens included; broken UTF-8 gives U+FFFD."""
         ids = array("I")
@@ -235,11 +252,11 @@ class Words(dict):
 _BUILT: dict = {}
 
 
-def built(kind, spec: str):
+def built(kind, shared: tuple[str, str]):
     """One object of ``kind`` per worker process and tokenizer."""
-    key = (kind, hash(spec), len(spec))
+    key = (kind, hash(shared))
     if key not in _BUILT:
-        _BUILT[key] = kind(spec)
+        _BUILT[key] = kind(*shared)
     return _BUILT[key]
 
 
@@ -283,7 +300,7 @@ def decode(encoded: DataFrame, tokenizer: str, ids: str = "ids", out: str = "dec
     place = rest.columns.index(ids)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = built(Codec, spec.value)
+        codec = built(Decoder, spec.value)
         for batch in rows_of(batches):
             texts = [None if p is None else codec.decode(p) for p in batch.column(place).to_pylist()]
             yield pa.RecordBatch.from_arrays(
@@ -295,7 +312,7 @@ def decode(encoded: DataFrame, tokenizer: str, ids: str = "ids", out: str = "dec
 
 def _shared(spark: SparkSession, path: str):
     """Broadcast of the tokenizer file: its size is the vocabulary's, whatever the data."""
-    return spark.sparkContext.broadcast(read_tokenizer(path))
+    return spark.sparkContext.broadcast(load_tokenizer(path))
 
 
 def digest(packed) -> F.Column:

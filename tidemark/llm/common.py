@@ -13,6 +13,16 @@ from pyspark.sql import functions as F
 _STEPS: list[str] = []
 
 
+#: Rows that Spark hands to Python at a time.
+BATCH_ROWS = 2_000
+
+
+def small_batches(spark: SparkSession) -> SparkSession:
+    """Keeps the batches that go to Python small, as texts may be long; returns the session."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    return spark
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder that the driver and all executors see.
 
@@ -89,7 +99,7 @@ def row_key(doc_id: Column, text: Column) -> Column:
     return F.xxhash64(doc_id.isNull(), doc_id, text.isNull(), text)
 
 
-def rows_of(batches: Iterator[pa.RecordBatch], most: int = 2048) -> Iterator[pa.RecordBatch]:
+def rows_of(batches: Iterator[pa.RecordBatch], most: int = 1024) -> Iterator[pa.RecordBatch]:
     """Batches cut into pieces, so that a task holds few rows at a time as Python objects."""
     for batch in batches:
         for k in range(0, batch.num_rows, most):

@@ -51,7 +51,7 @@ FIRST_ROUND, MORE = 64, 16
 BROADCAST_KEYS = 2_000_000
 #: Tokens that a map task counts at a time, and bits of a token's hash that counting looks at.
 CHUNK_TOKENS, COUNT_BITS = 4_000_000, 40
-CACHE_WORDS = 300_000
+CACHE_WORDS = 100_000
 
 _K1, _K2, _K3 = (np.uint64(k) for k in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xBF58476D1CE4E5B9))
 

@@ -37,16 +37,14 @@ BUCKETS, DIM, GRAMS = 1 << 17, 10, (3, 4, 5)
 #: Training rows at most, and the length of their texts in characters at most.
 SAMPLE_ROWS, SAMPLE_CHARS = 2_500, 50_000
 EPOCHS, RATE, SEED = 4, 1.0, 13
-CACHE_WORDS = 200_000
+CACHE_WORDS = 100_000
 
 
 def features(word: str) -> list[int]:
     """Hashed ids of a word and of its character n-grams."""
     marked = f"<{word}>"
-    ids = [zlib.crc32(b"w" + word.encode()) % BUCKETS]
-    for n in GRAMS:
-        ids += [zlib.crc32(marked[k : k + n].encode()) % BUCKETS for k in range(len(marked) - n + 1)]
-    return ids
+    parts = [marked[k : k + n] for n in GRAMS for k in range(len(marked) - n + 1)]
+    return [zlib.crc32(part.encode()) % BUCKETS for part in ("w" + word, *parts)]
 
 
 def repeats(words: list[str]) -> tuple[int, int]:
@@ -64,20 +62,20 @@ PATTERNS = [zlib.crc32(b"p1") % BUCKETS, zlib.crc32(b"p2") % BUCKETS]
 class Model:
     """What each feature adds to the log odds of label 1, and the odds without features."""
 
-    weight: np.ndarray
+    weight: list[float]
     bias: float
 
     def contribution(self, word: str) -> complex:
         """Sum of the word's features, and their number as imaginary part."""
         ids = features(word)
-        return complex(float(self.weight[ids].sum()), len(ids))
+        return complex(sum(map(self.weight.__getitem__, ids)), len(ids))
 
     def odds(self, text: str | None, get) -> float:
         """Log odds of label 1 of a whole text; ``get`` gives a word's contribution."""
         words = text.split() if text else []
         total = sum(map(get, words), 0j)
         same = repeats(words)
-        value = total.real + sum(n * PATTERN_WEIGHT * float(self.weight[i]) for n, i in zip(same, PATTERNS, strict=True))
+        value = total.real + sum(n * PATTERN_WEIGHT * self.weight[i] for n, i in zip(same, PATTERNS, strict=True))
         return value / max(total.imag + PATTERN_WEIGHT * sum(same), 1.0) + self.bias
 
 
@@ -87,7 +85,7 @@ def train(texts: list[str], labels: list[int], epochs: int = EPOCHS, rate: float
     if not labels or ones in (0, len(labels)):
         share = ones / len(labels) if labels else 0.5
         odds = math.log(max(share, 1e-6) / max(1 - share, 1e-6))
-        return Model(np.zeros(BUCKETS), odds)
+        return Model([0.0] * BUCKETS, odds)
     rng = np.random.default_rng(seed)
     known: dict[str, list[int]] = {}
     docs = []
@@ -120,9 +118,8 @@ def train(texts: list[str], labels: list[int], epochs: int = EPOCHS, rate: float
             bias -= step * 0.1 * error
             # a mean over many features moves each by little, so the table takes larger steps
             table[ids] -= np.float32(step * 10) * share[:, None] * back
-    return Model(
-        (table.astype(np.float64) @ (layer[:, 1] - layer[:, 0]).astype(np.float64)), float(bias[1] - bias[0])
-    )
+    weight = table.astype(np.float64) @ (layer[:, 1] - layer[:, 0]).astype(np.float64)
+    return Model(weight.tolist(), float(bias[1] - bias[0]))
 
 
 def held_out(doc_id: Column) -> Column:

@@ -20,6 +20,7 @@ from tidemark.llm import (
     source_mix,
     token_counts,
 )
+from tidemark.llm.common import small_batches
 from tidemark.session import apply_defaults
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -31,7 +32,7 @@ TOKENIZER = "byte_bpe_50k.json"
 
 def query(name: str, oracle: str | None = None):
     def add(fn):
-        QUERIES[name] = lambda spark, sf_dir: fn(apply_defaults(spark), sf_dir)
+        QUERIES[name] = lambda spark, sf_dir: fn(small_batches(apply_defaults(spark)), sf_dir)
         if oracle:
             ORACLES[name] = oracle
         return fn

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
-from tidemark.llm.bpe import PreTokens, Words, built, read_tokenizer
+from tidemark.llm.bpe import PreTokens, Words, load_tokenizer
 from tidemark.llm.common import pick, rows_of
 
 #: Pre-tokens in the broadcast table, at most.
@@ -30,14 +30,14 @@ TABLE_WORDS = 50_000
 #: Texts the table is taken from, at most, and their length in characters, at most.
 SAMPLE_TEXTS, SAMPLE_CHARS = 2_000, 20_000
 #: Lengths a worker keeps for other pre-tokens, in each of two generations.
-CACHE_WORDS = 200_000
+CACHE_WORDS = 100_000
 
 
 class TokenCounter:
     """Token count of a text by the two tiers."""
 
-    def __init__(self, spec: str, table: dict[str, int]):
-        self.pre = built(PreTokens, spec)
+    def __init__(self, spec: str, odd: str, table: dict[str, int]):
+        self.pre = PreTokens(spec, odd)
         self._library = Tokenizer.from_str(spec)
         self._library.no_truncation()
         self._library.no_padding()
@@ -63,12 +63,12 @@ class _Tiers(dict):
         return self._others[word]
 
 
-def frequent_lengths(docs: DataFrame, spec: str, words: int = TABLE_WORDS) -> tuple[bytes, bytes]:
+def frequent_lengths(docs: DataFrame, spec: str, odd: str, words: int = TABLE_WORDS) -> tuple[bytes, bytes]:
     """Packed table of frequent pre-tokens: texts joined by NUL, and one length byte each."""
     texts = (
         docs.filter(F.length("text").between(1, SAMPLE_CHARS)).select("text").limit(SAMPLE_TEXTS).collect()
     )
-    pre, counts = PreTokens(spec), Counter()
+    pre, counts = PreTokens(spec, odd), Counter()
     for row in texts:
         for part in pre.parts(row.text)[::2]:
             counts.update(pre.words(part))
@@ -93,16 +93,16 @@ def token_counts(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text:
     """
     spark = docs.sparkSession
     rows = pick(docs, doc_id=doc_id, text=text)
-    spec = read_tokenizer(tokenizer)
+    spec, odd = load_tokenizer(tokenizer)
     key = uuid.uuid4().hex
-    shared = spark.sparkContext.broadcast((spec, frequent_lengths(rows, spec)))
+    shared = spark.sparkContext.broadcast((spec, odd, frequent_lengths(rows, spec, odd)))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = _COUNTERS.get(key)
         if counter is None:
-            text, table = shared.value
+            text, unusual, table = shared.value
             _COUNTERS.clear()
-            counter = _COUNTERS[key] = TokenCounter(text, unpack(table))
+            counter = _COUNTERS[key] = TokenCounter(text, unusual, unpack(table))
         for batch in rows_of(batches):
             counts = [counter.count(t) if t else 0 for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
