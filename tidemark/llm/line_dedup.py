@@ -19,12 +19,13 @@ from tidemark.llm.common import numbered, position, row_key, stored
 
 #: Lines in a window.
 WINDOW = 3
-_LAST = F.lit((1 << 63) - 1)
+#: Order of rows without id.
+_LAST = (1 << 63) - 1
 
 
 def later_windows(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """``order, row, starts``: where windows start that occurred before, for ``id, row, text``."""
-    cut = docs.select(F.coalesce("id", _LAST).alias("order"), "row", F.split("text", "\n", -1).alias("lines"))
+    cut = docs.select(F.coalesce("id", F.lit(_LAST)).alias("order"), "row", F.split("text", "\n", -1).alias("lines"))
     beside = [F.slice("lines", k + 1, F.size("lines")) for k in range(window)]
     runs = cut.filter(F.size("lines") >= window).select(
         "order", "row", F.posexplode(F.arrays_zip(*[x.alias(f"l{k}") for k, x in enumerate(beside)])).alias("at", "run")
@@ -52,7 +53,7 @@ def line_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", wind
     at_id, at_text = f"__in{position(docs, doc_id)}", f"__in{position(docs, text)}"
     key = row_key(F.col(at_id), F.col(at_text))
     later = later_windows(flat.select(F.col(at_id).alias("id"), key.alias("row"), F.col(at_text).alias("text")), window)
-    keyed = flat.withColumns({"__order": F.coalesce(F.col(at_id), _LAST), "__row": key})
+    keyed = flat.withColumns({"__order": F.coalesce(F.col(at_id), F.lit(_LAST)), "__row": key})
     later = later.select(F.col("order").alias("__order"), F.col("row").alias("__row"), F.col("starts").alias("__starts"))
     joined = keyed.join(later, ["__order", "__row"], "left")
     covered = F.flatten(F.transform("__starts", lambda s: F.sequence(s, s + (window - 1))))
