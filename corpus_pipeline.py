@@ -46,8 +46,7 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document of the mix, and the digest of the text they decode to."""
     small_batches(spark)
     path = public_tokenizers.path(TOKENIZER)
-    decoded = bpe.decode(bpe.encode(docs, path), path)
-    return decoded.select("doc_id", "n_tokens", "ids", bpe.digest(F.col("decoded")).alias("decoded_sha256"))
+    return bpe.encode(docs, path, decoded=True).select("doc_id", "n_tokens", "ids", bpe.digest(F.col("decoded")).alias("decoded_sha256"))
 
 
 STAGES = [

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
-from tidemark.llm.common import pick, rows_of
+from tidemark.llm.common import pick, rows_of, worker_state
 
 #: Split of texts before the merges, as the byte-level pre-tokenizer defines it (fixed value).
 PRE_TOKEN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -248,45 +248,33 @@ class Words(dict):
         return value
 
 
-#: What a worker has built, by tokenizer text.
-_BUILT: dict = {}
-
-
-def built(kind, shared: tuple[str, str]):
-    """One object of ``kind`` per worker process and tokenizer."""
-    key = (kind, hash(shared))
-    if key not in _BUILT:
-        _BUILT[key] = kind(*shared)
-    return _BUILT[key]
-
-
 def encode(
-    docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str = "text"
+    docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str = "text", decoded: bool = False
 ) -> DataFrame:
-    """Token ids of every text: ``doc_id, ids, n_tokens``.
+    """Token ids of every text: ``doc_id, ids, n_tokens``, and ``decoded`` if asked for.
 
     ``ids`` is binary, little-endian unsigned 32-bit integers, the layout of training shards;
-    ``tokenizer`` is the path of the tokenizer file on the driver.
+    ``tokenizer`` is the path of the tokenizer file on the driver.  ``decoded`` is the text that
+    the ids give, as by ``decode``, but in the same pass.
     """
-    spark = docs.sparkSession
     rows = pick(docs, doc_id=doc_id, text=text)
-    spec = _shared(spark, tokenizer)
+    spec = _shared(docs.sparkSession, tokenizer)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = built(Codec, spec.value)
+        codec, decoder = worker_state(("codec", hash(spec.value)), lambda: (Codec(*spec.value), Decoder(*spec.value)))
         for batch in rows_of(batches):
             packed = [codec.encode(t) if t else b"" for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc_id"),
-                    pa.array(packed, pa.binary()),
-                    pa.array([len(p) // 4 for p in packed], pa.int64()),
-                ],
-                ["doc_id", "ids", "n_tokens"],
-            )
+            arrays = [
+                batch.column("doc_id"), pa.array(packed, pa.binary()), pa.array([len(p) // 4 for p in packed], pa.int64()),
+            ]
+            if decoded:
+                arrays.append(pa.array(map(decoder.decode, packed), pa.string()))
+            yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "ids", "n_tokens", "decoded"][: len(arrays)])
 
-    schema = T.StructType([rows.schema["doc_id"], T.StructField("ids", T.BinaryType()), T.StructField("n_tokens", T.LongType())])
-    return rows.mapInArrow(work, schema)
+    fields = [T.StructField("ids", T.BinaryType()), T.StructField("n_tokens", T.LongType())]
+    if decoded:
+        fields.append(T.StructField("decoded", T.StringType()))
+    return rows.mapInArrow(work, T.StructType([rows.schema["doc_id"], *fields]))
 
 
 def decode(encoded: DataFrame, tokenizer: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
@@ -300,7 +288,7 @@ def decode(encoded: DataFrame, tokenizer: str, ids: str = "ids", out: str = "dec
     place = rest.columns.index(ids)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = built(Decoder, spec.value)
+        codec = worker_state(("decoder", hash(spec.value)), lambda: Decoder(*spec.value))
         for batch in rows_of(batches):
             texts = [None if p is None else codec.decode(p) for p in batch.column(place).to_pylist()]
             yield pa.RecordBatch.from_arrays(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Iterator
 
@@ -99,8 +100,28 @@ def row_key(doc_id: Column, text: Column) -> Column:
     return F.xxhash64(doc_id.isNull(), doc_id, text.isNull(), text)
 
 
+#: What this worker process has built for the operator it runs, by key.
+_STATE: dict = {}
+
+
+def worker_state(key, make):
+    """``make()``, kept by the worker until another key is asked for: tables and caches of one
+    operator at a time."""
+    if key not in _STATE:
+        _STATE.clear()
+        _STATE[key] = make()
+    return _STATE[key]
+
+
 def rows_of(batches: Iterator[pa.RecordBatch], most: int = 1024) -> Iterator[pa.RecordBatch]:
-    """Batches cut into pieces, so that a task holds few rows at a time as Python objects."""
+    """Batches cut into pieces, so that a task holds few rows at a time as Python objects.
+
+    Workers live on after a task; what it has freed goes back to the system at its end.
+    """
+    pa.set_memory_pool(pa.system_memory_pool())
     for batch in batches:
         for k in range(0, batch.num_rows, most):
             yield batch.slice(k, most)
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+    if trim:
+        trim(0)

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.bpe import Words
-from tidemark.llm.common import drop_step, named, numbered, pick, position, row_key, rows_of, stored
+from tidemark.llm.common import drop_step, named, numbered, pick, position, row_key, rows_of, stored, worker_state
 from tidemark.llm.components import components
 
 #: Words in a shingle, and the similarity as a fraction.
@@ -50,8 +50,8 @@ FIRST_ROUND, MORE = 64, 16
 #: Node keys up to which a side is sent to all tasks (8 bytes each).
 BROADCAST_KEYS = 2_000_000
 #: Tokens that a map task counts at a time, and bits of a token's hash that counting looks at.
-CHUNK_TOKENS, COUNT_BITS = 4_000_000, 40
-CACHE_WORDS = 100_000
+CHUNK_TOKENS, COUNT_BITS = 1_000_000, 40
+CACHE_WORDS = 50_000
 
 _K1, _K2, _K3 = (np.uint64(k) for k in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xBF58476D1CE4E5B9))
 
@@ -122,7 +122,8 @@ def frequent_tokens(rows: DataFrame, width: int, more_than: int = FREQUENT, most
     low = np.uint64(COUNT_BITS - bits)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler, held, size, seen = Shingler(width), [], 0, set()
+        shingler = worker_state(("shingler", width), lambda: Shingler(width))
+        held, size, seen = [], 0, set()
 
         def flush() -> pa.RecordBatch:
             values, counts = np.unique(np.concatenate(held), return_counts=True)
@@ -235,7 +236,7 @@ def _signed(rows: DataFrame, frequent: np.ndarray, width: int, similarity: tuple
     shared = rows.sparkSession.sparkContext.broadcast(frequent)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler, often = Shingler(width), shared.value
+        shingler, often = worker_state(("shingler", width), lambda: Shingler(width)), shared.value
         for batch in rows_of(batches):
             sizes, nodes, single, rare, beside, wide, bits, short = [], [], [], [], [], [], [], []
             for text in batch.column("text").to_pylist():
@@ -328,7 +329,7 @@ def _sets(rows: DataFrame, signed: DataFrame, nodes: DataFrame, width: int) -> D
         chosen = F.broadcast(chosen)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler = Shingler(width)
+        shingler = worker_state(("shingler", width), lambda: Shingler(width))
         for batch in rows_of(batches):
             sets = [shingler.tokens(t) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm.bpe import Words
-from tidemark.llm.common import named, numbered, pick, position, rows_of
+from tidemark.llm.common import named, numbered, pick, position, rows_of, worker_state
 
 #: Hashed features, vector length, and n-gram lengths.
 BUCKETS, DIM, GRAMS = 1 << 17, 10, (3, 4, 5)
@@ -87,19 +87,21 @@ def train(texts: list[str], labels: list[int], epochs: int = EPOCHS, rate: float
         odds = math.log(max(share, 1e-6) / max(1 - share, 1e-6))
         return Model([0.0] * BUCKETS, odds)
     rng = np.random.default_rng(seed)
-    known: dict[str, list[int]] = {}
+    known: dict[str, np.ndarray] = {}
     docs = []
     for text in texts:
         words = text.split()
-        counts: Counter = Counter({i: PATTERN_WEIGHT * n for i, n in zip(PATTERNS, repeats(words), strict=True)})
-        for word, n in Counter(words).items():
-            if word not in known:
-                known[word] = features(word)
-            for i in known[word]:
-                counts[i] += n
-        ids = np.fromiter(counts.keys(), np.int64, len(counts))
-        share = np.fromiter(counts.values(), np.float64, len(counts))
+        counts = Counter(words)
+        for word in counts.keys() - known.keys():
+            known[word] = np.array(features(word), np.int32)
+        parts = [known[w] for w in counts]
+        same = [PATTERN_WEIGHT * n for n in repeats(words)]
+        every = np.concatenate([*parts, np.array(PATTERNS, np.int32)])
+        times = np.concatenate([np.repeat(list(counts.values()), [len(p) for p in parts]), same])
+        ids, at = np.unique(every, return_inverse=True)
+        share = np.bincount(at, weights=times)
         docs.append((ids, (share / max(share.sum(), 1)).astype(np.float32)))
+    known.clear()
     table = rng.uniform(-1 / DIM, 1 / DIM, (BUCKETS, DIM)).astype(np.float32)
     layer, bias = np.zeros((DIM, 2), np.float32), np.zeros(2, np.float32)
     steps, done = epochs * len(docs), 0
@@ -144,9 +146,6 @@ def fit(
     return train([r.text for r in ordered], [int(r.label) for r in ordered])
 
 
-_MODELS: dict = {}
-
-
 def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text", keep: list[str] | None = None) -> DataFrame:
     """``score`` (0 to 1, of label 1) and ``predicted`` of every row, after ``doc_id`` or ``keep``.
 
@@ -159,10 +158,8 @@ def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "te
     key, shared = uuid.uuid4().hex, docs.sparkSession.sparkContext.broadcast(model)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if key not in _MODELS:
-            _MODELS.clear()
-            _MODELS[key] = Words(shared.value.contribution, CACHE_WORDS)
-        get, odds_of = _MODELS[key].__getitem__, shared.value.odds
+        odds_of = shared.value.odds
+        get = worker_state(key, lambda: Words(shared.value.contribution, CACHE_WORDS)).__getitem__
         for batch in rows_of(batches):
             odds = [odds_of(t, get) for t in batch.column(place).to_pylist()]
             values = 1 / (1 + np.exp(-np.clip(np.array(odds, np.float64), -500, 500)))

@@ -223,8 +223,7 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_bpe")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path(TOKENIZER)
-    encoded = bpe.encode(table(spark, sf_dir, "documents"), path)
-    hashed = encoded.withColumn("ids_sha256", bpe.digest(F.col("ids")))
-    return bpe.decode(hashed, path).select(
-        "doc_id", "n_tokens", "ids_sha256", bpe.digest(F.col("decoded")).alias("decoded_sha256")
+    out = bpe.encode(table(spark, sf_dir, "documents"), path, decoded=True)
+    return out.select(
+        "doc_id", "n_tokens", bpe.digest(F.col("ids")).alias("ids_sha256"), bpe.digest(F.col("decoded")).alias("decoded_sha256")
     )

@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
 from tidemark.llm.bpe import PreTokens, Words, load_tokenizer
-from tidemark.llm.common import pick, rows_of
+from tidemark.llm.common import pick, rows_of, worker_state
 
 #: Pre-tokens in the broadcast table, at most.
 TABLE_WORDS = 50_000
@@ -82,10 +82,6 @@ def unpack(table: tuple[bytes, bytes]) -> dict[str, int]:
     return dict(zip(table[0].decode().split("\0"), table[1], strict=True)) if table[1] else {}
 
 
-#: The counter of this worker, by the call that made its table.
-_COUNTERS: dict = {}
-
-
 def token_counts(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str = "text", limit: int = 1024) -> DataFrame:
     """``doc_id, n_bytes, n_tokens, over_limit`` of every whole text.
 
@@ -98,11 +94,8 @@ def token_counts(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text:
     shared = spark.sparkContext.broadcast((spec, odd, frequent_lengths(rows, spec, odd)))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = _COUNTERS.get(key)
-        if counter is None:
-            text, unusual, table = shared.value
-            _COUNTERS.clear()
-            counter = _COUNTERS[key] = TokenCounter(text, unusual, unpack(table))
+        spec, unusual, table = shared.value
+        counter = worker_state(key, lambda: TokenCounter(spec, unusual, unpack(table)))
         for batch in rows_of(batches):
             counts = [counter.count(t) if t else 0 for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
