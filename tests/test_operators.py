@@ -182,3 +182,25 @@ def test_text_functions(spark):
     assert one(spark, fn.arrays_intersect(a, b)) == ["b"]
     assert one(spark, fn.arrays_intersect_case_insensitive(a, b)) == ["a", "b"]
     assert one(spark, fn.is_integer(F.lit("012"))) and not one(spark, fn.is_integer(F.lit("1a")))
+
+
+def test_running_deviation_far_from_zero(spark):
+    for centre in (0.0, 1e6, 1e9):
+        data = [("s", k, centre + 10 * (k % 3)) for k in range(9)]
+        df = spark.createDataFrame(data, "series string, day int, value double")
+        from tidemark.operators.running import running_mean_stddev
+
+        out = running_mean_stddev(df, ["series"], "day", "value", ["day"], "m", "sd").orderBy("day").collect()
+        for k, row in enumerate(out):
+            seen = [v for _, _, v in data[: k + 1]]
+            mean = sum(seen) / len(seen)
+            want = (sum((v - mean) ** 2 for v in seen) / k) ** 0.5 if k else 0.0
+            assert abs(row.sd - want) < 1e-6 and abs(row.m - mean) < 1e-6 * max(1, abs(mean))
+
+
+def test_ordered_limit_keeps_null_keys(spark):
+    from tidemark.operators import ordered_limit
+
+    df = spark.createDataFrame([(1, None), (1, "a"), (2, None)], "day int, key string")
+    assert ordered_limit(df, 3, "day", "key").count() == 3
+    assert ordered_limit(df, 2, "day", "key").count() == 2

@@ -173,7 +173,8 @@ def ordered_limit(
     per (rank, key-hash prefix); whole cells are kept until ``n`` is reached and
     only the one cell on the border is numbered.  ``key`` should be unique.
     """
-    digest = F.md5(F.col(key))
+    # a NULL key is hashed as an empty one, so that its rows find their cell
+    digest = F.md5(F.coalesce(F.col(key).cast("string"), F.lit("")))
     cells = df.withColumn("__b", F.substring(digest, 1, 3))
     counts = cells.groupBy(F.col(rank).alias("__r"), "__b").agg(F.count(F.lit(1)).alias("__n"))
     order = F.col("__r").desc_nulls_last() if descending else F.col("__r").asc_nulls_last()

@@ -41,7 +41,11 @@ def running_mean_stddev(
     columns = df.columns
     rows = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("__n"))
     rows = rows.withColumn("__b", tie_bucket(ties))
-    n, v = F.col("__n"), F.col(value)
+    # sums of squares lose the deviation of values far from 0, so sums run over the distance
+    # from the series' smallest value
+    low = rows.groupBy(*[F.col(k).alias(f"{k}__l") for k in series]).agg(F.min(value).alias("__low"))
+    rows = rows.join(low, _same(series, "__l")).drop(*[f"{k}__l" for k in series])
+    n, v = F.col("__n"), F.col(value) - F.col("__low")
     sums = {"0": n, "1": n * v, "2": n * v * v}
 
     cell = [*series, day, "__b"]
@@ -62,9 +66,7 @@ def running_mean_stddev(
     count = F.col("__q0") + F.col("__i")
     s1 = F.col("__q1") + F.col("__i") * v
     s2 = F.col("__q2") + F.col("__i") * v * v
-    mean = s1 / count
-    spread = s2 - s1 * mean
-    # what is left of the subtraction when all values are equal is rounding noise
-    spread = F.when(spread <= s2 * F.lit(1e-14), F.lit(0.0)).otherwise(spread)
+    mean = F.col("__low") + s1 / count
+    spread = F.greatest(F.lit(0.0), s2 - s1 * s1 / count)
     deviation = F.when(count > 1, F.sqrt(spread / (count - 1))).otherwise(F.lit(0.0))
     return copies.select(*columns, mean.alias(mean_out), deviation.alias(stddev_out))

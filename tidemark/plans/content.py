@@ -83,9 +83,10 @@ def mark_pushed(queue: DataFrame, batch: DataFrame, as_of: dt.date) -> DataFrame
 def scrape_increment(queue: DataFrame, path: str, as_of: dt.date, limit: int = PUSH_LIMIT) -> DataFrame:
     """Export the next batch to ``path`` and return the queue with it marked.
 
-    The marks come from the written files, so export and queue always agree.
+    The marks come from the written files, so export and queue always agree.  ``path`` is a new
+    folder for each run: one that exists is an error, as its batch may not be scraped yet.
     """
-    push_batch(queue, limit).write.mode("overwrite").parquet(path)
+    push_batch(queue, limit).write.mode("errorifexists").parquet(path)
     return mark_pushed(queue, queue.sparkSession.read.parquet(path), as_of)
 
 

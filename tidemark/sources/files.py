@@ -1,6 +1,7 @@
 """Readers for the incoming files and the writer for model batches.
 
-Schemas are declared; nothing is inferred at read time.
+Schemas are declared; nothing is inferred at read time.  A broken record stops a load; only
+lead files are left out whole instead.
 """
 
 from __future__ import annotations
@@ -43,23 +44,23 @@ TOPIC_OUTPUT = (
 
 def pixel_load(spark: SparkSession, path: str) -> DataFrame:
     """Web-pixel JSON lines as one struct column."""
-    raw = spark.read.schema(PIXEL_RECORD).json(path)
+    raw = spark.read.schema(PIXEL_RECORD).option("mode", "FAILFAST").json(path)
     return raw.select(F.struct(*raw.columns).alias("pixel_record"))
 
 
 def scrape_load(spark: SparkSession, path: str) -> DataFrame:
     """Scraper JSON records from the ``.json`` files of a directory."""
-    return spark.read.schema(SCRAPE_RESULT).option("pathGlobFilter", "*.json").json(path)
+    return spark.read.schema(SCRAPE_RESULT).option("mode", "FAILFAST").option("pathGlobFilter", "*.json").json(path)
 
 
 def model_output_load(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """Result records of the title or topic model."""
-    return spark.read.schema(schema).json(path)
+    return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
 
 
 def email_load(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """Campaign clicks or opens."""
-    return spark.read.schema(schema).option("header", "true").csv(path)
+    return spark.read.schema(schema).option("mode", "FAILFAST").option("header", "true").csv(path)
 
 
 def lead_load(spark: SparkSession, path: str, schema: str = LEADS) -> DataFrame:
@@ -87,7 +88,7 @@ def lead_load(spark: SparkSession, path: str, schema: str = LEADS) -> DataFrame:
 
 def ip_range_load(spark: SparkSession, path: str, partitions: int | None = None) -> DataFrame:
     """The IP-range file.  A gzip file is read by one task, so spread the rows after it."""
-    rows = spark.read.schema(IP_RANGES).option("header", "true").csv(path)
+    rows = spark.read.schema(IP_RANGES).option("mode", "FAILFAST").option("header", "true").csv(path)
     return rows.repartition(partitions) if partitions else rows
 
 
