@@ -128,29 +128,57 @@ class Scanner:
             total ^= total >> np.uint64(29)
         return total, words
 
-    def scan(self, text: str | None) -> list[tuple[str, float, int, int]]:
-        """``template, share found, first word, words`` of the best window of each template found."""
-        tokens, _ = self.shingles(text) if text else (np.empty(0, np.uint64), [])
-        if not len(tokens):
-            return []
-        candidates: set[tuple[int, int]] = set()
-        for j in self.classes:
-            step = 1 << j
-            starts = np.arange(0, len(tokens), step)
-            for band in range(self.bands[j]):
-                mins = []
-                for h in self._hashes(band):
-                    low = np.minimum.reduceat(self._minhash(tokens, h), starts)
-                    if len(low) > 1:
-                        low = np.minimum(low[:-1], low[1:])
-                    mins.append(low)
-                keys, wanted = self._key(mins), self._keys.get((j, band))
+    def candidates(self, tokens: list[np.ndarray]) -> list[set[tuple[int, int]]]:
+        """``(template, first shingle of the window)`` of the windows of each text that share a band.
+
+        The texts lie one after another, filled up to whole blocks, so that a hash is computed
+        once for all texts and classes.
+        """
+        out: list[set[tuple[int, int]]] = [set() for _ in tokens]
+        some = [k for k, t in enumerate(tokens) if len(t)]
+        if not some or not self.classes:
+            return out
+        most, top = 1 << self.classes[-1], np.uint64(0xFFFFFFFFFFFFFFFF)
+        lengths = np.array([len(tokens[k]) for k in some])
+        room = -(-lengths // most) * most
+        ends = np.cumsum(room)
+        flat, blank = np.zeros(ends[-1], np.uint64), np.ones(ends[-1], bool)
+        for k, start, n in zip(some, ends - room, lengths, strict=True):
+            flat[start : start + n] = tokens[k]
+            blank[start : start + n] = False
+        for band in range(max(self.bands.values())):
+            lows, step = [], 1
+            for h in self._hashes(band):
+                values = self._minhash(flat, h)
+                values[blank] = top
+                lows.append(values)
+            for j in self.classes:
+                lows = [np.minimum.reduceat(v, np.arange(0, len(v), (1 << j) // step)) for v in lows]
+                step = 1 << j
+                wanted = self._keys.get((j, band))
                 if wanted is None:
                     continue
+                mins = []
+                for low in lows:
+                    after = np.append(low[1:], top)
+                    after[ends // step - 1] = top  # the next block is another text's
+                    mins.append(np.minimum(low, after))
+                keys = self._key(mins)
                 at = np.minimum(np.searchsorted(wanted, keys), len(wanted) - 1)
                 for w in np.flatnonzero(wanted[at] == keys):
-                    for k in self.index[j, band][int(keys[w])]:
-                        candidates.add((k, int(w) * step))
+                    text = int(np.searchsorted(ends, w * step, side="right"))
+                    start = int(w * step - (ends[text] - room[text]))
+                    # a last half window lies within the one before it
+                    start = min(start, max(0, (-(-int(lengths[text]) // step) - 2) * step))
+                    out[some[text]].update((k, start) for k in self.index[j, band][int(keys[w])])
+        return out
+
+    def scan(self, texts: list[str | None]) -> list[list[tuple[str, float, int, int]]]:
+        """``template, share found, first word, words`` of the best window of each template found."""
+        tokens = [self.shingles(t)[0] if t else np.empty(0, np.uint64) for t in texts]
+        return [self._verified(t, c) for t, c in zip(tokens, self.candidates(tokens), strict=True)]
+
+    def _verified(self, tokens: np.ndarray, candidates: set[tuple[int, int]]) -> list[tuple[str, float, int, int]]:
         best: dict[int, tuple[float, int]] = {}
         for k, start in sorted(candidates):
             template = self.sets[k]
@@ -158,7 +186,9 @@ class Scanner:
             found = np.isin(template, window).sum() / len(template)
             if found >= self.contained and (k not in best or found > best[k][0]):
                 best[k] = (float(found), start)
-        return [(self.names[k], found, start, 2 << template_class(len(self.sets[k]))) for k, (found, start) in sorted(best.items())]
+        return [
+            (self.names[k], found, start, 2 << template_class(len(self.sets[k]))) for k, (found, start) in sorted(best.items())
+        ]
 
 
 def license_scan(
@@ -175,8 +205,8 @@ def license_scan(
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scanner = Scanner(shared.value)
-        for batch in rows_of(batches):
-            hits = [scanner.scan(t) for t in batch.column("text").to_pylist()]
+        for batch in rows_of(batches, 256):
+            hits = scanner.scan(batch.column("text").to_pylist())
             rows_hit = np.repeat(np.arange(len(hits)), [len(h) for h in hits])
             flat = [h for hit in hits for h in hit]
             columns = list(zip(*flat, strict=True)) if flat else [(), (), (), ()]
