@@ -12,7 +12,7 @@ from conftest import plan, rows
 from tidemark import functions as fn
 from tidemark.operators import (
     anti, flatten_topics, high_water_mark, incremental_slice, ip_range_join, ordered_limit,
-    quality_check, running_mean_stddev, semi, share_of_total,
+    quality_check, running_mean_stddev, semi, share_of_total, slice_start,
 )
 
 DAY = dt.date(2024, 1, 1)
@@ -130,9 +130,22 @@ def test_slice_and_mark(spark):
     assert incremental_slice(days, "d", mark, 2, inclusive=True).count() == 3
 
 
+def test_slice_start_passes_a_gap(spark):
+    days = spark.createDataFrame([(DAY + dt.timedelta(i),) for i in (0, 300, 301)], "d date")
+    assert slice_start(days, "d", DAY, 180) == DAY + dt.timedelta(299)
+    assert slice_start(days, "d", DAY, 180, inclusive=True) == DAY
+    assert slice_start(days, "d", DAY, 300) == DAY
+    assert slice_start(days, "d", DAY + dt.timedelta(301), 180) == DAY + dt.timedelta(301)
+    assert slice_start(days.limit(0), "d", DAY, 180) == DAY
+    assert incremental_slice(days, "d", slice_start(days, "d", DAY, 180), 180).count() == 2
+
+
 def test_quality_check(spark):
     df = spark.createDataFrame([("a",), ("a",), ("b",), (None,), (None,)], "x string")
     assert rows(quality_check(df, ["x"], ["x"])) == [("not_null", "x", 2), ("unique", "x", 1)]
+    two = df.withColumn("y", F.lit(1))
+    assert rows(quality_check(two, not_null=["x", "y"])) == [("not_null", "x", 2), ("not_null", "y", 0)]
+    assert plan(quality_check(two, not_null=["x", "y"])).count("Scan") <= 1
 
 
 def one(spark, col):
@@ -174,6 +187,9 @@ def test_text_functions(spark):
     assert one(spark, fn.clean_string(F.lit("<b>Hi</b>\n\tyou  there"), 2)) == "Hi you"
     assert one(spark, fn.clean_string(F.lit(""), 5)) == ""
     assert one(spark, fn.first_n_words(F.lit(" a  b c"), 2)) == "a b"
+    assert one(spark, fn.first_n_words(F.lit(" a  b c"), None)) == "a b c"
+    assert one(spark, fn.clean_string(F.lit("<i>a</i>  b"), None)) == "a b"
+    assert one(spark, fn.first_n_words_filtered(F.lit("big-cat! 7 xx"), None)) == "big cat xx"
     assert one(spark, fn.first_n_words_filtered(F.lit("a, big-cat! 7 xx"), 2)) == "big cat"
     assert sorted(one(spark, fn.unique_ngrams(F.lit("a b a b")))) == ["a", "a b", "a b a", "b", "b a", "b a b"]
     assert one(spark, fn.unique_ngrams(F.lit(""))) == []
@@ -204,3 +220,22 @@ def test_ordered_limit_keeps_null_keys(spark):
     df = spark.createDataFrame([(1, None), (1, "a"), (2, None)], "day int, key string")
     assert ordered_limit(df, 3, "day", "key").count() == 3
     assert ordered_limit(df, 2, "day", "key").count() == 2
+
+
+def test_pages_without_a_domain_are_merged_once_and_queued(spark):
+    from tidemark.plans import bidstream
+
+    log = spark.createDataFrame(
+        [("u/1", None, "d", "1.1.1.1"), ("u/1", "", "d", "1.1.1.1"), ("u/2", "a.com", "d", "1.1.1.1"), ("u/2", "", "d", "1.1.1.1")],
+        "page_url string, domain string, user_id string, ip_address string",
+    ).selectExpr("*", "timestamp'2024-01-01 10:00:00' as bid_time", "'DE' as geo_country", "'DE/BE' as geo_region", "'1' as geo_zip")
+    cache = bidstream.user_activity_rollup(log, dt.datetime(2024, 1, 2))
+    assert rows(cache.select("page_url", "publisher_domain_normalized", "pageviews")) == [("u/1", "", 2), ("u/2", "a.com", 2)]
+    once = bidstream.user_activity_merge(cache.limit(0), cache)
+    assert bidstream.user_activity_merge(once, cache).count() == 2
+    urls = bidstream.url_stats(cache)
+    queue = spark.createDataFrame([], "page_url string, date_inserted date, date_pushed date")
+    results = spark.createDataFrame([], "page_url string, last_scraped date")
+    bad = spark.createDataFrame([("b.com",)], "publisher_domain_normalized string")
+    queued = bidstream.scrape_queue(queue, urls, results, bad, DAY)
+    assert [r[0] for r in rows(queued.select("page_url"))] == ["u/1", "u/2"]

@@ -46,6 +46,15 @@ def test_upsert_ambiguous_source_fails_only_on_a_match(spark):
     assert len(upsert(frame(spark, ("b", "x", 1)), s, ["k"], ["v"]).collect()) == 3
 
 
+@pytest.mark.parametrize("insert_missing", [True, False])
+def test_upsert_ambiguity_shows_in_any_use(spark, insert_missing):
+    s = frame(spark, ("a", "x", 5), ("a", "y", 6))
+    out = upsert(frame(spark, ("a", "x", 1)), s, ["k"], ["v"], insert_missing=insert_missing)
+    for use in (out.select("v"), out.select("g"), out.select("k"), out.groupBy().count()):
+        with pytest.raises(Exception, match="several source rows"):
+            use.collect()
+
+
 def test_upsert_changes_every_matching_target_row(spark):
     t = frame(spark, ("a", "x", 1), ("a", "y", 2))
     assert rows(upsert(t, frame(spark, ("a", "z", 9)), ["k"], ["v"])) == [("a", "x", 9), ("a", "y", 9)]

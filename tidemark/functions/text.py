@@ -22,22 +22,22 @@ def _words(text: Column) -> Column:
     return F.when(flat == "", F.array().cast("array<string>")).otherwise(F.split(flat, " "))
 
 
-def _head(words: Column, n: int) -> Column:
-    return F.array_join(F.slice(words, 1, n), " ")
+def _head(words: Column, n: int | None) -> Column:
+    return F.array_join(words if n is None else F.slice(words, 1, n), " ")
 
 
-def clean_string(text: Column, max_words: int) -> Column:
-    """Drop markup and control characters, collapse blanks, keep ``max_words`` words."""
+def clean_string(text: Column, max_words: int | None) -> Column:
+    """Drop markup and control characters, collapse blanks, keep ``max_words`` words (None: all)."""
     return _head(_words(F.regexp_replace(text, MARKUP, " ")), max_words)
 
 
-def first_n_words(text: Column, n: int) -> Column:
-    """First ``n`` blank-separated words."""
+def first_n_words(text: Column, n: int | None) -> Column:
+    """First ``n`` blank-separated words (None: all)."""
     return _head(_words(text), n)
 
 
-def first_n_words_filtered(text: Column, n: int) -> Column:
-    """First ``n`` words made of letters and digits, one-character words left out."""
+def first_n_words_filtered(text: Column, n: int | None) -> Column:
+    """First ``n`` words made of letters and digits, one-character words left out (None: all)."""
     words = F.split(F.trim(F.regexp_replace(text, NOT_ALNUM, " ")), " ")
     return _head(F.filter(words, lambda w: F.length(w) > 1), n)
 

@@ -9,6 +9,7 @@ from tidemark.operators.relational import (
     quality_check,
     semi,
     share_of_total,
+    slice_start,
     topics_from_json,
 )
 from tidemark.operators.running import running_mean_stddev
@@ -28,6 +29,7 @@ __all__ = [
     "running_mean_stddev",
     "semi",
     "share_of_total",
+    "slice_start",
     "topics_from_json",
     "upsert",
 ]

@@ -122,6 +122,21 @@ def high_water_mark(target: DataFrame, date_col: str, default: dt.date) -> dt.da
     return target.agg(F.max(date_col).cast("date").alias("m")).first()["m"] or default
 
 
+def slice_start(
+    source: DataFrame, date_col: str, mark: dt.date, days: int, *, inclusive: bool = False
+) -> dt.date:
+    """The mark, or one day before the next row if the slice from the mark would be empty.
+
+    A gap in the data longer than a slice would otherwise never be passed (a one-row job).
+    """
+    day = F.col(date_col)
+    later = day >= F.lit(mark) if inclusive else day > F.lit(mark)
+    first = source.filter(later).agg(F.min(date_col).cast("date").alias("m")).first()["m"]
+    if first is None or first <= mark + dt.timedelta(days=days):
+        return mark
+    return first - dt.timedelta(days=1)
+
+
 def incremental_slice(
     source: DataFrame,
     date_col: str,
@@ -151,12 +166,16 @@ def quality_check(
                 F.lit("unique").alias("check"), F.lit(c).alias("column_name"), "failures"
             )
         )
-    for c in not_null:
-        parts.append(
-            df.agg(F.count(F.when(F.col(c).isNull(), 1)).alias("failures")).select(
-                F.lit("not_null").alias("check"), F.lit(c).alias("column_name"), "failures"
+    if not_null:
+        # all NULL counts come from one scan
+        counts = df.agg(*[F.count(F.when(F.col(c).isNull(), 1)).alias(f"n{k}") for k, c in enumerate(not_null)])
+        found = [
+            F.struct(
+                F.lit("not_null").alias("check"), F.lit(c).alias("column_name"), F.col(f"n{k}").alias("failures")
             )
-        )
+            for k, c in enumerate(not_null)
+        ]
+        parts.append(counts.select(F.inline(F.array(*found))))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

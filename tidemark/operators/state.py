@@ -94,8 +94,9 @@ def upsert(
     ``t.<col>`` and ``s.<col>``.  ``insert`` gives expressions over ``s.<col>``
     for new rows; columns it does not name come from the source column of the
     same name, or are NULL.  A target row matched by several source rows is an
-    error, raised when the row is computed.  ``unique_source=True`` skips that
-    check where the source is grouped by the keys already.
+    error, whichever columns are used: the check is a filter that passes every
+    row or fails.  ``unique_source=True`` skips it where the source is grouped by
+    the keys already.
     """
     if not isinstance(update, Mapping):
         update = {c: F.col(f"s.{c}") for c in update}
@@ -113,7 +114,10 @@ def upsert(
     )
     old = F.col(f"t.{_SEEN}").isNotNull()
     matched = old & F.col(f"s.{_SEEN}").isNotNull()
-    ambiguous = matched & (F.col(f"s.{_COPIES}") > 1)
+    if not unique_source:
+        several = F.raise_error(F.lit("merge: several source rows match one target row"))
+        ambiguous = matched & (F.col(f"s.{_COPIES}") > 1)
+        both = both.filter(F.when(ambiguous, several.cast("boolean")).otherwise(F.lit(True)))
     insert = insert or {}
 
     def fresh(c: str) -> Column:
@@ -125,10 +129,6 @@ def upsert(
     for c in columns:
         dtype = _nullable(target.schema[c].dataType)
         changed = update.get(c, F.col(f"t.{c}"))
-        if c == columns[0] and not unique_source:
-            changed = F.when(
-                ambiguous, F.raise_error(F.lit("merge: several source rows match one target row"))
-            ).otherwise(changed)
         value = F.when(matched, changed.cast(dtype)).when(old, F.col(f"t.{c}"))
         if insert_missing:
             value = value.otherwise(fresh(c).cast(dtype))

@@ -46,14 +46,15 @@ def _known(domain: Column, shared: str) -> Column:
 
 
 def page_publisher(rows: DataFrame) -> DataFrame:
-    """One publisher per page: the smallest among the given rows.
+    """One publisher per page: the smallest among the given rows, the empty one last.
 
     The smallest text in a wide grouping would make Spark sort all its rows
     instead of hashing them; pages with their publishers are few, once distinct.
     """
-    pairs = rows.select("page_url", "publisher_domain_normalized").distinct()
+    publisher = F.col("publisher_domain_normalized")
+    pairs = rows.select("page_url", publisher).distinct()
     return pairs.groupBy("page_url").agg(
-        F.min("publisher_domain_normalized").alias("publisher_domain_normalized")
+        F.coalesce(F.min(F.nullif(publisher, F.lit(""))), F.min(publisher)).alias("publisher_domain_normalized")
     )
 
 
@@ -67,7 +68,11 @@ def consume_raw(bid_log: DataFrame, cut: dt.datetime) -> tuple[DataFrame, DataFr
 
 
 def user_activity_rollup(bid_log: DataFrame, cut: dt.datetime) -> DataFrame:
-    """Page views per page, user, address, day and bid location."""
+    """Page views per page, user, address, day and bid location.
+
+    A page without a domain has an empty publisher, not a missing one: it is a key
+    of later merges and of ``NOT IN`` lists.
+    """
     done, _ = consume_raw(bid_log, cut)
     rows = done.select(
         F.trim("page_url").alias("page_url"),
@@ -99,7 +104,7 @@ def user_activity_rollup(bid_log: DataFrame, cut: dt.datetime) -> DataFrame:
         "bw_zip_normalized",
     ]
     return rows.groupBy(*keys).agg(
-        F.min("publisher_domain_normalized").alias("publisher_domain_normalized"),
+        F.coalesce(F.min("publisher_domain_normalized"), F.lit("")).alias("publisher_domain_normalized"),
         F.count(F.lit(1)).alias("pageviews"),
     )
 
@@ -355,13 +360,15 @@ def resolve_company(
     as_of: dt.date,
     *,
     exclusive_tiers: bool = False,
+    resolvable_days: int = RESOLVABLE_DAYS,
 ) -> DataFrame:
     """Activity rows with company and score from the address, else device, else trio map.
 
     Device and trio tiers both start from the rows the address left open, so a
     row may get a company from each; ``exclusive_tiers`` keeps the trio tier for
-    rows without a device match.  ``ip_domain`` holds one row per address and
-    company.
+    rows without a device match.  The trio tier leaves out companies that an address
+    led to in the last ``resolvable_days``.  ``ip_domain`` holds one row per address
+    and company.
     """
     company = F.col("normalized_company_domain")
     by_ip = anti(
@@ -381,7 +388,7 @@ def resolve_company(
     via_device = open_rows.join(by_device, F.col("user_id") == F.col("bitoid")).drop("bitoid")
 
     recent = resolvable.filter(
-        F.col("date").between(F.lit(as_of - dt.timedelta(days=RESOLVABLE_DAYS)), F.lit(as_of))
+        F.col("date").between(F.lit(as_of - dt.timedelta(days=resolvable_days)), F.lit(as_of))
     )
     by_trio = anti(
         ip_trio_map.filter(_known(company, "shared")), recent, "normalized_company_domain"
@@ -407,6 +414,7 @@ def company_activity(
     as_of: dt.date,
     *,
     exclusive_tiers: bool = False,
+    resolvable_days: int = RESOLVABLE_DAYS,
 ) -> DataFrame:
     """Page activity per company, day and location; ``activity`` is the slice to process.
 
@@ -416,7 +424,7 @@ def company_activity(
     """
     rows = resolve_company(
         activity, ip_domain, device_domain, ip_trio_map, resolvable, isp_domains, as_of,
-        exclusive_tiers=exclusive_tiers,
+        exclusive_tiers=exclusive_tiers, resolvable_days=resolvable_days,
     )
     by_ip = ip_location.select(F.col("ip").alias("__ip"), F.struct(*LOCATION).alias("ip_loc"))
     by_geo = geos.select(

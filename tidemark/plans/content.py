@@ -32,8 +32,17 @@ def one_scrape_per_url(scrape_output: DataFrame) -> DataFrame:
     return scrape_output.groupBy("url").agg(F.min(F.struct(*fields)).alias("r")).select("url", "r.*")
 
 
-def scrape_results(target: DataFrame, scrape_output: DataFrame, as_of: dt.date) -> DataFrame:
-    """Scraped pages merged into the results, with cleaned title and body."""
+def scrape_results(
+    target: DataFrame,
+    scrape_output: DataFrame,
+    as_of: dt.date,
+    content_words: int | None = CLEAN_CONTENT_WORDS,
+    title_words: int | None = CLEAN_TITLE_WORDS,
+) -> DataFrame:
+    """Scraped pages merged into the results, with cleaned title and body.
+
+    N-grams and brands are found in the cleaned words only; None keeps all words.
+    """
     source = one_scrape_per_url(scrape_output).select(
         F.col("url").alias("page_url"),
         F.col("statuscode").alias("result"),
@@ -43,8 +52,8 @@ def scrape_results(target: DataFrame, scrape_output: DataFrame, as_of: dt.date)
         F.col("contenttype").alias("content_type"),
         "image",
         F.col("lang").alias("language"),
-        clean_string(F.col("body"), CLEAN_CONTENT_WORDS).alias("cleaned_content"),
-        clean_string(F.col("title"), CLEAN_TITLE_WORDS).alias("cleaned_title"),
+        clean_string(F.col("body"), content_words).alias("cleaned_content"),
+        clean_string(F.col("title"), title_words).alias("cleaned_title"),
     )
     return upsert(target, source, ["page_url"], RESULT_COLUMNS, unique_source=True)
 
@@ -232,7 +241,7 @@ def brand_cleanup(ngrams: DataFrame, topics: DataFrame) -> DataFrame:
 
 
 def _model_text(
-    scrape_output: DataFrame, done: DataFrame, body_words: int, out: str
+    scrape_output: DataFrame, done: DataFrame, title_words: int | None, body_words: int | None, out: str
 ) -> DataFrame:
     """Filtered title and body words of successful pages the model has not seen.
 
@@ -241,16 +250,23 @@ def _model_text(
     seen = done.filter(F.col("date_classified").isNotNull()).select(F.col("page_url").alias("url"))
     pages = one_scrape_per_url(scrape_output.filter(F.col("statuscode") == OK)).join(seen, "url", "left_anti")
     text = F.concat(
-        first_n_words_filtered(F.col("title"), TITLE_WORDS),
+        first_n_words_filtered(F.col("title"), title_words),
         F.lit(" "),
         first_n_words_filtered(F.col("body"), body_words),
     )
     return pages.select(F.col("url").alias("page_url"), text.alias(out)).filter(F.length(F.trim(out)) > 1)
 
 
-def title_input(target: DataFrame, scrape_output: DataFrame, titles: DataFrame, as_of: dt.date) -> DataFrame:
-    """Title-model input: 50 title words and 25 body words of unclassified pages."""
-    source = _model_text(scrape_output, titles, TITLE_BODY_WORDS, "page_title")
+def title_input(
+    target: DataFrame,
+    scrape_output: DataFrame,
+    titles: DataFrame,
+    as_of: dt.date,
+    title_words: int | None = TITLE_WORDS,
+    body_words: int | None = TITLE_BODY_WORDS,
+) -> DataFrame:
+    """Title-model input: first words of title and body of unclassified pages (None: all words)."""
+    source = _model_text(scrape_output, titles, title_words, body_words, "page_title")
     return upsert(
         target,
         source.withColumn("date_inserted", F.lit(as_of)),
@@ -260,9 +276,16 @@ def title_input(target: DataFrame, scrape_output: DataFrame, titles: DataFrame,
     )
 
 
-def topic_input(target: DataFrame, scrape_output: DataFrame, topics: DataFrame, as_of: dt.date) -> DataFrame:
-    """Topic-model input: 50 title words and 1000 body words of unclassified pages."""
-    source = _model_text(scrape_output, topics, TOPIC_BODY_WORDS, "title_plus_content")
+def topic_input(
+    target: DataFrame,
+    scrape_output: DataFrame,
+    topics: DataFrame,
+    as_of: dt.date,
+    title_words: int | None = TITLE_WORDS,
+    body_words: int | None = TOPIC_BODY_WORDS,
+) -> DataFrame:
+    """Topic-model input: first words of title and body of unclassified pages (None: all words)."""
+    source = _model_text(scrape_output, topics, title_words, body_words, "title_plus_content")
     return upsert(
         target,
         source.withColumn("date_inserted", F.lit(as_of)),
@@ -312,10 +335,12 @@ def review_label(text: Column) -> Column:
     return F.when(text.rlike("(?i)(" + "|".join(REVIEW_PATTERNS) + ")"), 1).otherwise(0)
 
 
-def label_context(target: DataFrame, scrape_output: DataFrame, as_of: dt.date) -> DataFrame:
-    """Review/comparison label of title plus 25 body words, merged by URL."""
+def label_context(
+    target: DataFrame, scrape_output: DataFrame, as_of: dt.date, body_words: int | None = CONTEXT_BODY_WORDS
+) -> DataFrame:
+    """Review/comparison label of title plus first body words (None: all), merged by URL."""
     pages = one_scrape_per_url(scrape_output.filter(F.col("statuscode") == OK))
-    text = F.concat(F.col("title"), F.lit(" "), first_n_words(F.col("body"), CONTEXT_BODY_WORDS))
+    text = F.concat(F.col("title"), F.lit(" "), first_n_words(F.col("body"), body_words))
     source = (
         pages.select(F.col("url").alias("page_url"), text.alias("page_title"))
         .filter(F.length("page_title") > 1)

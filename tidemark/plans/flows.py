@@ -11,7 +11,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators import delete_matching, high_water_mark, incremental_slice, quality_check
+from tidemark.operators import delete_matching, high_water_mark, incremental_slice, quality_check, slice_start
 from tidemark.plans import bidstream, content, email, enrichment, lookup, pixel, scoring, vendors
 from tidemark.sources.files import model_batch_export
 from tidemark.sources.warehouse import Warehouse
@@ -51,11 +51,13 @@ def bid_stream(
     queue_limit: int = bidstream.QUEUE_LIMIT,
     key_mode: str = "reference",
     first_day: dt.date = bidstream.FIRST_DAY,
+    slice_days: int = bidstream.SLICE_DAYS,
+    resolvable_days: int = bidstream.RESOLVABLE_DAYS,
 ) -> None:
     """Bid log to prescoring cache and scrape queue.
 
-    ``first_day`` is the high-water mark of empty tables; a slice ends 180 days
-    past the mark, so set it near the first day of the log.
+    ``first_day`` is the high-water mark of empty tables; a slice ends ``slice_days``
+    past the mark.  Where no row lies that near, the mark moves to the next row.
     """
     done, rest = bidstream.consume_raw(w.read("bid/log"), cut)
     cache = w.append("bid/user_activity_cache", bidstream.user_activity_rollup(done, cut))
@@ -86,23 +88,26 @@ def bid_stream(
     w.empty("bid/device_ip_cache")
 
     mark = high_water_mark(w.read("bid/company_activity"), "date", first_day)
-    days = incremental_slice(cache, "date", mark, bidstream.SLICE_DAYS)
+    mark = slice_start(cache, "date", mark, slice_days)
+    days = incremental_slice(cache, "date", mark, slice_days)
     resolvable = w.replace(
         "bid/ip_resolvable_domains",
         bidstream.ip_resolvable_domains(w.read("bid/ip_resolvable_domains"), days, ip_domain, isps),
     )
     fresh = bidstream.company_activity(
-        days, ip_domain, devices, trio, resolvable, locations, w.read("maps/geos"), isps, as_of
+        days, ip_domain, devices, trio, resolvable, locations, w.read("maps/geos"), isps, as_of,
+        resolvable_days=resolvable_days,
     )
     company = w.replace(
         "bid/company_activity_cache",
-        bidstream.company_activity_replace_slice(w.read("bid/company_activity_cache"), fresh, mark),
+        bidstream.company_activity_replace_slice(w.read("bid/company_activity_cache"), fresh, mark, slice_days),
     )
     w.replace("bid/company_activity", bidstream.company_activity_merge(w.read("bid/company_activity"), company))
     w.replace("bid/user_activity_cache", bidstream.user_activity_consume(cache, company))
 
     url_mark = high_water_mark(w.read("bid/unique_urls"), "last_seen", first_day)
-    url_days = incremental_slice(company, "date", url_mark, bidstream.SLICE_DAYS)
+    url_mark = slice_start(company, "date", url_mark, slice_days)
+    url_days = incremental_slice(company, "date", url_mark, slice_days)
     urls = w.replace("bid/unique_urls_cache", bidstream.unique_urls(w.read("bid/unique_urls_cache"), url_days))
     w.replace("bid/unique_urls", bidstream.unique_urls_merge(w.read("bid/unique_urls"), urls))
     results = w.read("page/results")
@@ -125,9 +130,14 @@ def bid_stream(
 
 
 def pixel_records(
-    w: Warehouse, as_of: dt.date, *, key_mode: str = "reference", first_day: dt.date = bidstream.FIRST_DAY
+    w: Warehouse,
+    as_of: dt.date,
+    *,
+    key_mode: str = "reference",
+    first_day: dt.date = bidstream.FIRST_DAY,
+    slice_days: int = pixel.SLICE_DAYS,
 ) -> None:
-    """Pixel records to prescoring cache and scrape queue."""
+    """Pixel records to prescoring cache and scrape queue; slices as in ``bid_stream``."""
     activity = w.replace(
         "pixel/user_activity", pixel.pixel_user_activity(w.read("pixel/user_activity"), w.read("pixel/raw"))
     )
@@ -141,7 +151,8 @@ def pixel_records(
     w.replace("maps/ip_domain_obs", obs)
 
     mark = high_water_mark(w.read("pixel/company_activity"), "date", first_day)
-    days = incremental_slice(activity, "date", mark, pixel.SLICE_DAYS, inclusive=True)
+    mark = slice_start(activity, "date", mark, slice_days, inclusive=True)
+    days = incremental_slice(activity, "date", mark, slice_days, inclusive=True)
     company = w.replace(
         "pixel/company_activity_cache",
         pixel.pixel_company_activity(

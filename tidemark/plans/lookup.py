@@ -33,13 +33,14 @@ def lookup_candidates(
     lookup_output: DataFrame,
     as_of: dt.date,
     limit: int = CANDIDATE_LIMIT,
+    retry_days: int = RETRY_DAYS,
 ) -> DataFrame:
     """Addresses to look up: unmapped, not lately answered "no content", most frequent first.
 
     The vendor file, answered addresses and recent misses are all exclusion
     lists, so one anti join serves for the three.  The list is short (top-k).
     """
-    recent = F.col("last_query_date") >= F.lit(as_of - dt.timedelta(days=RETRY_DAYS))
+    recent = F.col("last_query_date") >= F.lit(as_of - dt.timedelta(days=retry_days))
     answered = lookup_output.filter(
         (F.col("last_response_code") == FOUND) | (recent & (F.col("last_response_code") == NO_CONTENT))
     )

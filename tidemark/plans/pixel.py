@@ -21,7 +21,8 @@ MERGE_NULL_SAFE = ["normalized_region_code", "normalized_city_name", "normalized
 
 
 def _publisher(url: str) -> Column:
-    return domain_normalizer(F.coalesce(url_host(F.col(url)), F.lit("")))
+    """Publisher of a URL, empty where it has none: a missing one would fall out of ``NOT IN``."""
+    return F.coalesce(domain_normalizer(url_host(F.col(url))), F.lit(""))
 
 
 def pixel_views(pixel_raw: DataFrame) -> DataFrame:
