@@ -113,6 +113,13 @@ def worker_state(key, make):
     return _STATE[key]
 
 
+def give_back() -> None:
+    """Hand memory that this process has freed back to the system, where its C library can."""
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def rows_of(batches: Iterator[pa.RecordBatch], most: int = 1024) -> Iterator[pa.RecordBatch]:
     """Batches cut into pieces, so that a task holds few rows at a time as Python objects.
 
@@ -122,6 +129,4 @@ def rows_of(batches: Iterator[pa.RecordBatch], most: int = 1024) -> Iterator[pa.
     for batch in batches:
         for k in range(0, batch.num_rows, most):
             yield batch.slice(k, most)
-    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
-    if trim:
-        trim(0)
+    give_back()

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm.bpe import Words
-from tidemark.llm.common import named, numbered, pick, position, rows_of, worker_state
+from tidemark.llm.common import give_back, named, numbered, pick, position, rows_of, worker_state
 
 #: Hashed features, vector length, and n-gram lengths.
 BUCKETS, DIM, GRAMS = 1 << 17, 10, (3, 4, 5)
@@ -143,7 +143,11 @@ def fit(
     # the chosen ids are at most sample_rows
     sample = rows.join(F.broadcast(chosen), "doc_id").limit(2 * sample_rows).collect()
     ordered = sorted(sample, key=lambda r: (zlib.crc32(str(r.doc_id).encode()), r.doc_id, r.text))[:sample_rows]
-    return train([r.text for r in ordered], [int(r.label) for r in ordered])
+    model = train([r.text for r in ordered], [int(r.label) for r in ordered])
+    del sample, ordered
+    # the driver lives on, so what training has used must not stay with it
+    give_back()
+    return model
 
 
 def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text", keep: list[str] | None = None) -> DataFrame:
