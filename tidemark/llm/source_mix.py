@@ -20,7 +20,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -121,12 +120,12 @@ def _fill(size: np.ndarray, order: np.ndarray, rest: float) -> np.ndarray:
 
 
 def _draws_of(seed: int):
-    def draw(blocks: pd.DataFrame) -> pd.DataFrame:
+    def draw(blocks: pa.Table) -> pa.Table:
         """Draws of one source, in order: whole passes, then blocks that fill up the target."""
-        no = int(blocks["no"].iloc[0])
-        blocks = blocks.sort_values("block")
+        no, target = blocks["no"][0].as_py(), blocks["target"][0].as_py()
+        blocks = blocks.sort_by("block")
         block, size = blocks["block"].to_numpy(), blocks["words"].to_numpy()
-        target, total = float(blocks["target"].iloc[0]), int(size.sum())
+        total = int(size.sum())
         rng = np.random.default_rng([seed, no])
         passes = int(target // total) if total else 0
         rest, drawn, number = target - passes * total, [], []
@@ -138,9 +137,9 @@ def _draws_of(seed: int):
             drawn.append(block[chosen])
             number.append(np.full(len(chosen), passes))
         blocks_drawn = np.concatenate(drawn) if drawn else np.empty(0, np.int64)
-        return pd.DataFrame(
+        return pa.table(
             {
-                "no": np.full(len(blocks_drawn), no),
+                "no": np.full(len(blocks_drawn), no, np.int32),
                 "place": np.arange(len(blocks_drawn)),
                 "block": blocks_drawn,
                 "pass": np.concatenate(number) if number else np.empty(0, np.int64),
@@ -168,7 +167,7 @@ def plan(
     placed = in_blocks(rows, sources)
     sums = placed.groupBy("no", "block", "target").agg(F.sum("size").alias("words"))
     # a source has at most ``blocks`` rows here
-    drawn = sums.groupBy("no").applyInPandas(_draws_of(seed), "no int, place bigint, block bigint, pass bigint")
+    drawn = sums.groupBy("no").applyInArrow(_draws_of(seed), "no int, place bigint, block bigint, pass bigint")
     drawn = stored(drawn, "draws")
     counts = dict(drawn.groupBy("no").agg(F.count(F.lit(1))).collect())
     split = split_tree(np.array([counts.get(k, 0) for k in range(len(found))], np.int64), shards, seed)
