@@ -23,22 +23,27 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return others.union(least.select("a", F.col("m").alias("b")))
 
 
+def _unfinished(edges: DataFrame) -> bool:
+    """Whether a node has two larger-to-smaller edges, or edges both ways: then it is no star yet."""
+    ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("down"), F.lit(0).alias("up"))
+    ends = ends.union(edges.select("b", F.lit(0), F.lit(1)))
+    ways = ends.groupBy("node").agg(F.sum("down").alias("down"), F.max("up").alias("up"))
+    return not ways.filter("down > 1 or (down = 1 and up = 1)").isEmpty()
+
+
 def components(links: DataFrame) -> DataFrame:
     """``node, label`` for every node of the links ``(a, b)``; the label is the smallest node.
 
     Links of a node with itself are ignored.  Each round is stored, so a lost executor costs one
-    round; the loop ends when a round changes nothing.
+    round; the loop ends when every component is a star around its smallest node.
     """
     edges, before = links.filter("a <> b").select("a", "b"), None
     while True:
         done = stored(_small_star(_large_star(edges)).distinct(), "components")
-        mark = done.agg(
-            F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b")), F.bit_xor(F.xxhash64(F.lit(1), "a", "b"))
-        ).first()
         if before is not None:
-            drop_step(edges)
-        if mark == before:
+            drop_step(before)
+        if not _unfinished(done):
             return done.select(F.col("a").alias("node"), F.col("b").alias("label")).union(
                 done.select(F.col("b").alias("node"), F.col("b").alias("label")).distinct()
             )
-        edges, before = done, mark
+        edges = before = done

@@ -165,8 +165,8 @@ def frequent_tokens(rows: DataFrame, width: int, more_than: int = FREQUENT, most
 
     packed = rows.select("text").mapInArrow(count, "part int, blob binary")
     counted = packed.groupBy("part").applyInArrow(add_up, "head bigint, sets bigint")
-    top = counted.orderBy(F.desc("sets"), "head").limit(most).toPandas()
-    return np.sort(top["head"].to_numpy(np.uint64))
+    top = counted.orderBy(F.desc("sets"), "head").limit(most).select("head").toArrow()
+    return np.sort(top.column("head").to_numpy().astype(np.uint64))
 
 
 # --- signatures -----------------------------------------------------------------------------
@@ -498,14 +498,16 @@ def _labels(rows: DataFrame, signed: DataFrame, groups: DataFrame, width: int, s
     large = _large(groups, signed)
     pairs = _survivors(_first_pairs(groups, large, similarity), signed, similarity)
     sets = _sets(rows, signed, pairs.select("a").union(pairs.select("b")).union(large.select("node")).toDF("node"), width)
-    links = _linked(pairs, sets, similarity)
-    labels = components(links)
+    labels = components(_linked(pairs, sets, similarity))
     low, high = 0, FIRST_ROUND
     while low < largest and largest > SMALL_GROUP:
         pairs = _more_pairs(large, labels, low, high, similarity)
         if pairs is None:
             break
-        links = links.union(_linked(_survivors(pairs, signed, similarity), sets, similarity))
-        labels = components(links)
+        more = _linked(_survivors(pairs, signed, similarity), sets, similarity)
+        if not more.isEmpty():
+            # what is connected goes on as stars, so a round does not repeat the ones before
+            stars = labels.filter("node <> label").select(F.col("node").alias("a"), F.col("label").alias("b"))
+            labels = components(stars.union(more))
         low, high = high, high * MORE
     return labels
