@@ -5,16 +5,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Cell sizes tried for an address: 2^0, 2^4, ... 2^32.
+# Cell sizes tried for an address: 2^0, 2^4, ... 2^16.
 STEP = 4
-LEVELS = tuple(range(0, 33, STEP))
+LEVELS = tuple(range(0, 17, STEP))
 
 
 def _level(lo: Column, hi: Column) -> Column:
-    """Smallest level whose cell is at least as wide as the range."""
+    """Smallest level whose cell is at least as wide as the range, or the largest level."""
     span = hi - lo
     bits = F.when(span == 0, F.lit(0)).otherwise(F.length(F.bin(span)))
-    return (F.ceil(bits / STEP) * STEP).cast("int")
+    return F.least(F.ceil(bits / STEP) * STEP, F.lit(LEVELS[-1])).cast("int")
 
 
 def ip_range_join(
@@ -28,8 +28,10 @@ def ip_range_join(
 
     Each range is filed at the one grid level where it touches at most two
     cells, and each address is looked up once per level, so the join is a plain
-    equi-join.  In a cell an address only meets ranges of about the cell's own
-    width: disjoint ranges give a small constant number of candidates whatever
+    equi-join.  Wider ranges are filed in all their cells of the largest level, at
+    most 65,536 of them for IPv4 numbers; so no cell has more than 65,536
+    addresses.  In a cell an address only meets ranges of about the cell's own
+    width or wider: disjoint ranges give a small constant number of candidates whatever
     the size of the file, and nested or overlapping ranges are all kept.
     Pass distinct addresses where possible; rows are repeated once per level.
     """

@@ -143,9 +143,12 @@ def insert_new(
     *,
     null_safe: Sequence[str] = (),
     target_filter: Column | None = None,
+    only_new: bool = False,
 ) -> DataFrame:
     """Insert-only merge: add every source row whose key the target lacks.
 
+    ``only_new`` returns the added rows alone, to be appended to the stored target.
+
     ``target_filter`` narrows the target rows that count as present (a merge
     condition on a constant).  Target columns the source lacks become NULL.
     """
@@ -159,7 +162,7 @@ def insert_new(
             for c in target.columns
         ]
     )
-    return target.unionByName(rows)
+    return rows if only_new else target.unionByName(rows)
 
 
 def delete_matching(

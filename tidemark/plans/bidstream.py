@@ -109,10 +109,10 @@ def user_activity_rollup(bid_log: DataFrame, cut: dt.datetime) -> DataFrame:
     )
 
 
-def user_activity_merge(target: DataFrame, cache: DataFrame) -> DataFrame:
+def user_activity_merge(target: DataFrame, cache: DataFrame, *, only_new: bool = False) -> DataFrame:
     """Cache into the cumulative table; location is not part of the key."""
     keys = ["page_url", "date", "publisher_domain_normalized", "pageviews", "user_id", "user_ip"]
-    return insert_new(target, cache, keys, null_safe=["user_id", "user_ip"])
+    return insert_new(target, cache, keys, null_safe=["user_id", "user_ip"], only_new=only_new)
 
 
 def user_activity_consume(user_activity: DataFrame, company_activity: DataFrame) -> DataFrame:
@@ -275,17 +275,22 @@ def device_ip_obs(target: DataFrame, user_activity: DataFrame) -> DataFrame:
     return insert_new(target, seen, ["ip", "bitoid", "date"])
 
 
-def device_ip_obs_publish(target: DataFrame, cache: DataFrame, source: str = BID_SOURCE) -> DataFrame:
+def device_ip_obs_publish(
+    target: DataFrame, cache: DataFrame, source: str = BID_SOURCE, *, only_new: bool = False
+) -> DataFrame:
     """Cached sightings into the cumulative table under a source name."""
     return insert_new(
         target,
         cache.withColumn("source", F.lit(source)),
         ["ip", "bitoid", "date"],
         target_filter=F.col("source") == source,
+        only_new=only_new,
     )
 
 
-def device_domain_obs(target: DataFrame, device_ip: DataFrame, ip_domain: DataFrame) -> DataFrame:
+def device_domain_obs(
+    target: DataFrame, device_ip: DataFrame, ip_domain: DataFrame, *, only_new: bool = False
+) -> DataFrame:
     """Device sightings joined to the company map.
 
     Several addresses may lead a device to one company on one day; the largest
@@ -298,7 +303,7 @@ def device_domain_obs(target: DataFrame, device_ip: DataFrame, ip_domain: DataFr
         .agg(F.max("score").alias("source_confidence"))
         .withColumn("source", F.lit(BID_VIA_IP_SOURCE))
     )
-    return insert_new(target, found, ["bitoid", "normalized_company_domain", "source", "date"])
+    return insert_new(target, found, ["bitoid", "normalized_company_domain", "source", "date"], only_new=only_new)
 
 
 def device_domain_best(observations: DataFrame, isp_domains: DataFrame) -> DataFrame:
@@ -485,9 +490,9 @@ def company_activity_replace_slice(
     return cache.filter(~inside | day.isNull()).unionByName(fresh)
 
 
-def company_activity_merge(target: DataFrame, cache: DataFrame) -> DataFrame:
+def company_activity_merge(target: DataFrame, cache: DataFrame, *, only_new: bool = False) -> DataFrame:
     """Cache into the cumulative table, new keys only."""
-    return insert_new(target, cache, ACTIVITY_KEYS)
+    return insert_new(target, cache, ACTIVITY_KEYS, only_new=only_new)
 
 
 def company_activity_consume(cache: DataFrame, enriched: DataFrame) -> DataFrame:

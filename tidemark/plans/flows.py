@@ -60,9 +60,11 @@ def bid_stream(
     past the mark.  Where no row lies that near, the mark moves to the next row.
     """
     done, rest = bidstream.consume_raw(w.read("bid/log"), cut)
-    cache = w.append("bid/user_activity_cache", bidstream.user_activity_rollup(done, cut))
+    # a run that stopped before the log was replaced does not add the same bids again
+    run = ("bid_stream", f"{w.version('bid/log')} {cut.isoformat()}")
+    cache = w.append("bid/user_activity_cache", bidstream.user_activity_rollup(done, cut), run)
     w.replace("bid/log", rest)
-    w.replace("bid/user_activity", bidstream.user_activity_merge(w.read("bid/user_activity"), cache))
+    w.insert("bid/user_activity", bidstream.user_activity_merge, cache)
 
     ranges = w.read("vendor/ip_ranges")
     latest = w.replace("bid/ip_location_cache", bidstream.ip_location_latest(cache))
@@ -79,11 +81,8 @@ def bid_stream(
     trio = w.replace("maps/ip_trio", bidstream.ip_trio_scores(ip_domain, isps))
 
     seen = w.replace("bid/device_ip_cache", bidstream.device_ip_obs(w.read("bid/device_ip_cache"), cache))
-    w.replace("maps/device_ip_obs", bidstream.device_ip_obs_publish(w.read("maps/device_ip_obs"), seen))
-    device_obs = w.replace(
-        "maps/device_domain_obs",
-        bidstream.device_domain_obs(w.read("maps/device_domain_obs"), seen, ip_domain),
-    )
+    w.insert("maps/device_ip_obs", bidstream.device_ip_obs_publish, seen)
+    device_obs = w.insert("maps/device_domain_obs", bidstream.device_domain_obs, seen, ip_domain)
     devices = w.replace("maps/device_domain", bidstream.device_domain_best(device_obs, isps))
     w.empty("bid/device_ip_cache")
 
@@ -102,7 +101,7 @@ def bid_stream(
         "bid/company_activity_cache",
         bidstream.company_activity_replace_slice(w.read("bid/company_activity_cache"), fresh, mark, slice_days),
     )
-    w.replace("bid/company_activity", bidstream.company_activity_merge(w.read("bid/company_activity"), company))
+    w.insert("bid/company_activity", bidstream.company_activity_merge, company)
     w.replace("bid/user_activity_cache", bidstream.user_activity_consume(cache, company))
 
     url_mark = high_water_mark(w.read("bid/unique_urls"), "last_seen", first_day)

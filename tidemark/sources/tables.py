@@ -1,66 +1,195 @@
-"""Parquet tables that can be replaced while they are being read.
+"""Parquet tables that can be replaced, and added to, while they are being read.
 
-A table is a directory of numbered versions.  A replacement is written as the
-next version and becomes visible with its ``_SUCCESS`` marker, so the version a
-running query reads is never touched and a failed write is simply ignored.
+A table is a set of folders with Parquet files and a log of numbered commits.  A commit lists the
+folders that make up the table, so the version a running query reads is never touched, a failed
+write is ignored, and an append, or a change of some partitions, writes only new folders.  A commit
+is published by a rename that fails if its number is taken: of two writers that start from one
+version the second gets ``ConcurrentWrite`` and nothing is lost.
 """
 
 from __future__ import annotations
 
+import json
+import uuid
+from dataclasses import asdict, dataclass, field
+
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+_LOG = "_commits"
+
+
+class ConcurrentWrite(RuntimeError):
+    """Another writer has changed the table since it was read."""
+
+
+@dataclass(frozen=True)
+class Commit:
+    """One version: its folders below the root, its schema, and the last run of each named writer."""
+
+    number: int = 0
+    folders: tuple[str, ...] = ()
+    schema: str = ""
+    runs: dict[str, str] = field(default_factory=dict)
+
+
+def _fs(spark: SparkSession, name: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(name)
+    return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _names(spark: SparkSession, folder: str) -> list[str]:
+    path, fs = _fs(spark, folder)
+    return [s.getPath().getName() for s in fs.listStatus(path)] if fs.exists(path) else []
+
+
+def _file(root: str, number: int) -> str:
+    return f"{root}/{_LOG}/{number:012d}"
+
+
+def _commits(spark: SparkSession, root: str) -> list[int]:
+    """Numbers of the commits, oldest first."""
+    return sorted(int(n) for n in _names(spark, f"{root}/{_LOG}") if n.isdigit())
+
+
+def _commit(spark: SparkSession, root: str, number: int) -> Commit:
+    path, fs = _fs(spark, _file(root, number))
+    stream = fs.open(path)
+    try:
+        found = json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+    finally:
+        stream.close()
+    return Commit(**(found | {"folders": tuple(found["folders"])}))
+
+
+def current(spark: SparkSession, root: str) -> Commit:
+    """The newest commit; number 0 and no folders before the first write."""
+    numbers = _commits(spark, root)
+    return _commit(spark, root, numbers[-1]) if numbers else Commit()
 
-def _versions(spark: SparkSession, root: str) -> list[int]:
-    """Numbers of the complete versions, oldest first."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(root)
-    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(path):
-        return []
-    done = fs.globStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{root}/version=*/_SUCCESS"))
-    return sorted(int(s.getPath().getParent().getName().split("=")[1]) for s in done)
+
+def _publish(spark: SparkSession, root: str, commit: Commit) -> bool:
+    """Whether the commit's number was still free; if so it is the newest version now."""
+    draft, fs = _fs(spark, f"{root}/{_LOG}/draft-{uuid.uuid4().hex}")
+    stream = fs.create(draft, True)
+    stream.write(json.dumps(asdict(commit)).encode())
+    stream.close()
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    how = spark.sparkContext._gateway.new_array(hadoop.Options.Rename, 1)
+    how[0] = hadoop.Options.Rename.NONE
+    target = hadoop.Path(_file(root, commit.number))
+    try:
+        conf = spark._jsc.hadoopConfiguration()
+        hadoop.FileContext.getFileContext(fs.getUri(), conf).rename(draft, target, how)
+    except Py4JJavaError as e:
+        fs.delete(draft, False)
+        if "FileAlreadyExists" in e.java_exception.getClass().getName():
+            return False
+        raise
+    return True
 
 
 def table_exists(spark: SparkSession, root: str) -> bool:
-    return bool(_versions(spark, root))
+    return bool(_commits(spark, root))
+
+
+def read_commit(spark: SparkSession, root: str, commit: Commit, schema: StructType | str | None = None) -> DataFrame:
+    """The table as of a commit, with the columns of ``schema`` (its own if there is none)."""
+    if schema is None:
+        schema = StructType.fromJson(json.loads(commit.schema))
+    if not commit.folders:
+        return spark.createDataFrame([], schema)
+    names = schema.names if isinstance(schema, StructType) else spark.createDataFrame([], schema).columns
+    found = spark.read.schema(schema).option("basePath", root).parquet(*[f"{root}/{f}" for f in commit.folders])
+    return found.select(*[f"`{c}`" for c in names])
 
 
 def load_table(spark: SparkSession, root: str, schema: StructType | str | None = None) -> DataFrame:
     """Current version of the table; an empty frame of ``schema`` if there is none."""
-    versions = _versions(spark, root)
-    if not versions:
+    now = current(spark, root)
+    if not now.number:
         if schema is None:
             raise FileNotFoundError(f"no complete version of {root}")
         return spark.createDataFrame([], schema)
-    reader = spark.read if schema is None else spark.read.schema(schema)
-    return reader.parquet(f"{root}/version={versions[-1]}")
-
-
-def version_exists(spark: SparkSession, root: str, number: int) -> bool:
-    return number in _versions(spark, root)
-
+    return read_commit(spark, root, now, schema)
+
+
+def _write(df: DataFrame, root: str, partition_by: tuple[str, ...]) -> tuple[str, ...]:
+    """Folders of a new batch: one, or one for each partition."""
+    batch = f"__batch=b{uuid.uuid4().hex}"
+    # few files for each partition, a large one split over tasks
+    rows = df.hint("rebalance", *partition_by) if partition_by else df
+    rows.write.partitionBy(*partition_by).parquet(f"{root}/{batch}")
+    folders = [batch]
+    for _ in partition_by:
+        folders = [f"{f}/{n}" for f in folders for n in _names(df.sparkSession, f"{root}/{f}") if "=" in n]
+    return tuple(folders)
+
+
+def commit_table(
+    df: DataFrame,
+    root: str,
+    mode: str = "replace",
+    partition_by: tuple[str, ...] = (),
+    *,
+    base: int | None = None,
+    run: tuple[str, str] | None = None,
+) -> Commit:
+    """Write ``df`` as in ``save_table`` and return the commit.
+
+    ``base`` is the version that ``df`` was made from (the one found at the start if None); a
+    table that has moved on since raises ``ConcurrentWrite``.  Appends without a ``base`` go on top
+    of whatever is there.  ``run`` is a writer's name and the id of its run: if that is the last
+    run of this writer that the table holds, nothing is written, so a repeated run changes nothing.
+    """
+    if mode not in ("replace", "append", "partitions", "empty"):
+        raise ValueError(f"unknown mode {mode!r}")
+    spark = df.sparkSession
+    now = current(spark, root)
+    if run and now.runs.get(run[0]) == run[1]:
+        return now
+    if base is not None and base != now.number:
+        raise ConcurrentWrite(f"{root}: version {now.number} has replaced version {base}")
+    fresh = () if mode == "empty" else _write(df, root, partition_by)
+    touched = {f.partition("/")[2] for f in fresh}
+    while True:
+        kept = ()
+        if mode == "append":
+            kept = now.folders
+        elif mode == "partitions":
+            kept = tuple(f for f in now.folders if f.partition("/")[2] not in touched)
+        schema = now.schema if kept else df.schema.json()
+        done = Commit(now.number + 1, kept + fresh, schema, now.runs | dict([run] if run else []))
+        if _publish(spark, root, done):
+            return done
+        if mode != "append" or base is not None:
+            raise ConcurrentWrite(f"{root}: another writer has published version {done.number}")
+        now = current(spark, root)
+
+
+def save_table(df: DataFrame, root: str, mode: str = "replace", partition_by: tuple[str, ...] = (), **options) -> DataFrame:
+    """Write ``df`` as the table's content and return the stored table.
 
-def save_version(df: DataFrame, root: str, number: int, partition_by: tuple[str, ...] = ()) -> None:
-    """Write ``df`` as the given version; an interrupted earlier attempt is written over."""
-    df.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{root}/version={number}")
+    ``replace`` writes the next version, ``append`` adds files to the current
+    one, ``partitions`` replaces the partitions that ``df`` has rows of and leaves
+    the files of the others, ``empty`` replaces the content by no rows of the same
+    schema.  ``options`` are those of ``commit_table``.
+    """
+    done = commit_table(df, root, mode, partition_by, **options)
+    return read_commit(df.sparkSession, root, done, df.schema)
 
 
-def save_table(
-    df: DataFrame, root: str, mode: str = "replace", partition_by: tuple[str, ...] = ()
-) -> DataFrame:
-    """Write ``df`` as the table's content and return the stored table.
+def drop_versions(spark: SparkSession, root: str, keep: int = 1) -> int:
+    """Remove all but the newest ``keep`` versions and the folders that only those used.
 
-    ``replace`` writes the next version, ``append`` adds files to the current
-    one, ``empty`` replaces the content by no rows of the same schema.
+    Call it when no query reads them any more; returns the number of folders removed.
     """
-    spark = df.sparkSession
-    versions = _versions(spark, root)
-    current = versions[-1] if versions else 0
-    if mode == "append" and versions:
-        df.write.mode("append").partitionBy(*partition_by).parquet(f"{root}/version={current}")
-    elif mode in ("replace", "append", "empty"):
-        out = df.limit(0) if mode == "empty" else df
-        save_version(out, root, current + 1, partition_by)
-    else:
-        raise ValueError(f"unknown mode {mode!r}")
-    return load_table(spark, root, df.schema)
+    numbers = _commits(spark, root)
+    old, new = numbers[: -max(keep, 1)], numbers[-max(keep, 1) :]
+    used = {f for n in new for f in _commit(spark, root, n).folders}
+    gone = {f for n in old for f in _commit(spark, root, n).folders} - used
+    for name in [*(f"{root}/{f}" for f in sorted(gone)), *(_file(root, n) for n in old)]:
+        path, fs = _fs(spark, name)
+        fs.delete(path, True)
+    return len(gone)

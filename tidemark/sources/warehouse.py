@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.sources.tables import load_table, save_table
+from tidemark.sources.tables import Commit, commit_table, current, read_commit
 
 _LOCATION = (
     "normalized_country_code string, normalized_region_code string, normalized_city_name string, normalized_zip string"
@@ -140,30 +143,69 @@ SCHEMAS: dict[str, str] = {
 }
 
 
+#: Cumulative tables stored by day: a run reads and writes the days it touches.
+BY_DAY = ("bid/user_activity_cache", "bid/user_activity", "bid/company_activity", "maps/device_ip_obs", "maps/device_domain_obs")
+
+
 class Warehouse:
-    """Tables under one root folder.  One writer per table at a time."""
+    """Tables under one root folder.
+
+    A table is replaced only if no other writer has changed it since this warehouse last read or
+    wrote it; otherwise ``ConcurrentWrite`` is raised, and the run is to be repeated.
+    """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
+        self._seen: dict[str, int] = {}
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
+    def version(self, name: str) -> int:
+        """Number of the current version, 0 before the first write."""
+        return current(self.spark, self.path(name)).number
+
     def read(self, name: str) -> DataFrame:
         """Current content, empty before the first write."""
-        return load_table(self.spark, self.path(name), SCHEMAS[name])
+        return self._at(name, current(self.spark, self.path(name)))
+
+    def _at(self, name: str, commit: Commit) -> DataFrame:
+        self._seen[name] = commit.number
+        return read_commit(self.spark, self.path(name), commit, SCHEMAS[name])
 
     def shaped(self, name: str, df: DataFrame) -> DataFrame:
         """Columns in the declared order and types."""
         declared = self.spark.createDataFrame([], SCHEMAS[name])
         return df.select(*[df[c].cast(declared.schema[c].dataType).alias(c) for c in declared.columns])
 
-    def replace(self, name: str, df: DataFrame) -> DataFrame:
-        return save_table(self.shaped(name, df), self.path(name))
+    def _save(self, name: str, df: DataFrame, mode: str, **options) -> DataFrame:
+        by = ("date",) if name in BY_DAY else ()
+        return self._at(name, commit_table(self.shaped(name, df), self.path(name), mode, by, **options))
+
+    def replace(self, name: str, df: DataFrame, run: tuple[str, str] | None = None) -> DataFrame:
+        """``df`` as the next version; ``run`` as in ``commit_table``."""
+        return self._save(name, df, "replace", base=self._seen.get(name), run=run)
+
+    def append(self, name: str, df: DataFrame, run: tuple[str, str] | None = None) -> DataFrame:
+        """The table and ``df``; ``run`` as in ``commit_table``."""
+        return self._save(name, df, "append", run=run)
+
+    def days_of(self, name: str, source: DataFrame) -> DataFrame:
+        """The table's rows of the days that ``source`` has, read from these days' files only."""
+        days = [r[0] for r in source.select("date").distinct().collect() if r[0] is not None]
+        return self.read(name).filter(F.col("date").isin(days))
+
+    def insert(self, name: str, merge: Callable[..., DataFrame], source: DataFrame, *more: DataFrame) -> DataFrame:
+        """An insert-only merge whose key holds the source's ``date``: only new rows are written.
 
-    def append(self, name: str, df: DataFrame) -> DataFrame:
-        return save_table(self.shaped(name, df), self.path(name), "append")
+        ``merge`` is called with the table, ``source``, ``more`` and ``only_new=True``.  A NULL day
+        never matches, so such rows are new.
+        """
+        fresh = merge(self.days_of(name, source), source, *more, only_new=True)
+        return self._save(name, fresh, "append", base=self._seen[name])
 
     def empty(self, *names: str) -> None:
+        """No rows left; rows that another writer has added since the last read are an error."""
         for name in names:
-            save_table(self.read(name), self.path(name), "empty")
+            nothing = self.spark.createDataFrame([], SCHEMAS[name])
+            self._save(name, nothing, "empty", base=self._seen.get(name))

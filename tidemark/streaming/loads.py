@@ -8,6 +8,7 @@ changed in ``foreachBatch``.
 from __future__ import annotations
 
 import datetime as dt
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,7 +17,6 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.plans import bidstream, pixel
 from tidemark.sources.files import PIXEL_RECORD
-from tidemark.sources.tables import save_version, version_exists
 from tidemark.sources.warehouse import SCHEMAS, Warehouse
 
 
@@ -33,27 +33,30 @@ def load_new_files(
 
 
 def _fold(
-    w: Warehouse, table: str, batch_id: int, change: Callable[[DataFrame], DataFrame]
+    w: Warehouse, table: str, batch_id: int, change: Callable[[DataFrame], DataFrame], stream: str = "stream"
 ) -> None:
-    """Store the table after this batch as version ``batch_id + 1``.
+    """Store the table after this batch, with the batch's number in the commit.
 
     A batch is repeated when the run stops between the table write and the
-    stream's own commit.  Its version is complete then, and nothing is done.
+    stream's own commit.  The table names it as this stream's last one then, and nothing is done.
     """
-    number = batch_id + 1
-    if not version_exists(w.spark, w.path(table), number):
-        save_version(w.shaped(table, change(w.read(table))), w.path(table), number)
+    w.replace(table, change(w.read(table)), run=(stream, str(batch_id)))
+
+
+def _stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """Id that a stream keeps as long as its checkpoint."""
+    return json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
 
 
 def stream_bid_log(
     spark: SparkSession, path: str, w: Warehouse, checkpoint: str, cut: dt.datetime, table: str = "bid/user_activity"
 ) -> StreamingQuery:
-    """New bid-log files rolled up and merged into the user activity, which this stream owns."""
+    """New bid-log files rolled up and merged into the user activity."""
     files = spark.readStream.schema(SCHEMAS["bid/log"]).parquet(path)
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         rollup = bidstream.user_activity_rollup(batch, cut)
-        _fold(w, table, batch_id, lambda current: bidstream.user_activity_merge(current, rollup))
+        _fold(w, table, batch_id, lambda current: bidstream.user_activity_merge(current, rollup), _stream_id(spark, checkpoint))
 
     return load_new_files(files, checkpoint, apply)
 
@@ -61,11 +64,11 @@ def stream_bid_log(
 def stream_pixel(
     spark: SparkSession, path: str, w: Warehouse, checkpoint: str, table: str = "pixel/user_activity"
 ) -> StreamingQuery:
-    """New pixel files added to the view counts, which this stream owns."""
+    """New pixel files added to the view counts."""
     files = spark.readStream.schema(PIXEL_RECORD).json(path)
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         raw = batch.select(F.struct(*batch.columns).alias("pixel_record"))
-        _fold(w, table, batch_id, lambda current: pixel.pixel_user_activity(current, raw))
+        _fold(w, table, batch_id, lambda current: pixel.pixel_user_activity(current, raw), _stream_id(spark, checkpoint))
 
     return load_new_files(files, checkpoint, apply)
