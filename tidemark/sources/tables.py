@@ -116,7 +116,7 @@ def load_table(spark: SparkSession, root: str, schema: StructType | str | None =
 
 
 def _write(df: DataFrame, root: str, partition_by: tuple[str, ...]) -> tuple[str, ...]:
-    """Folders of a new batch: one, or one for each partition."""
+    """Folder of a new batch, then those of its partitions if it has any."""
     batch = f"__batch=b{uuid.uuid4().hex}"
     # few files for each partition, a large one split over tasks
     rows = df.hint("rebalance", *partition_by) if partition_by else df
@@ -124,7 +124,7 @@ def _write(df: DataFrame, root: str, partition_by: tuple[str, ...]) -> tuple[str
     folders = [batch]
     for _ in partition_by:
         folders = [f"{f}/{n}" for f in folders for n in _names(df.sparkSession, f"{root}/{f}") if "=" in n]
-    return tuple(folders)
+    return (batch, *folders) if partition_by else (batch,)
 
 
 def commit_table(
@@ -151,7 +151,8 @@ def commit_table(
         return now
     if base is not None and base != now.number:
         raise ConcurrentWrite(f"{root}: version {now.number} has replaced version {base}")
-    fresh = () if mode == "empty" else _write(df, root, partition_by)
+    written = () if mode == "empty" else _write(df, root, partition_by)
+    fresh = written[1:] if partition_by else written
     touched = {f.partition("/")[2] for f in fresh}
     while True:
         kept = ()
@@ -160,7 +161,8 @@ def commit_table(
         elif mode == "partitions":
             kept = tuple(f for f in now.folders if f.partition("/")[2] not in touched)
         schema = now.schema if kept else df.schema.json()
-        done = Commit(now.number + 1, kept + fresh, schema, now.runs | dict([run] if run else []))
+        # without any partition the empty batch stands for the table
+        done = Commit(now.number + 1, kept + fresh or written, schema, now.runs | dict([run] if run else []))
         if _publish(spark, root, done):
             return done
         if mode != "append" or base is not None:
