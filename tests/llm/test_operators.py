@@ -205,6 +205,24 @@ def test_ngram_components(spark, odd, none, docs):
     assert ngram_join.ngram_components(none).count() == 0
 
 
+def _bridged(seed, small=81, large=119):
+    """Two groups of near copies with one passage in common; only the first text of each is like the other's."""
+    rng = random.Random(seed)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    base, other = [word() for _ in range(120)], [word() for _ in range(3)]
+    cores = [base] * small + [[*base[:60], *other, *base[63:]]] * large
+    return [" ".join([*core, *(word() for _ in range(1 if k in (0, small) else 2))]) for k, core in enumerate(cores)]
+
+
+def test_link_between_large_groups(spark):
+    """The only link is found though another component becomes the largest before its partners meet."""
+    rows = list(enumerate(_bridged(89)))
+    want = _plain_components(*zip(*rows, strict=True))
+    assert {c for _, _, c in want} == {0}
+    got = ngram_join.ngram_components(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert sorted((tuple(r) for r in got), key=key) == want
+
+
 def test_one_of_each(odd, docs):
     got = ngram_join.one_of_each(odd)
     assert got.columns == odd.columns

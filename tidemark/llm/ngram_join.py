@@ -407,28 +407,41 @@ def _first_pairs(groups: DataFrame, large: DataFrame, similarity: tuple[int, int
     return pairs.union(stars.select("b", "node")).distinct()
 
 
-def _more_pairs(large: DataFrame, labels: DataFrame, low: int, high: int, similarity: tuple[int, int]) -> DataFrame | None:
-    """Pairs of unconnected nodes with a common signature, each with some of its partners.
+def _more_pairs(
+    large: DataFrame, labels: DataFrame, before: DataFrame | None, low: int, high: int, similarity: tuple[int, int]
+) -> tuple[DataFrame, DataFrame] | None:
+    """Pairs of unconnected nodes with a common signature, each with some of its partners; and
+    ``sig, was``: a node of each group's largest component.
 
     Partners are taken by their hash: those between ``low`` and ``high`` of the group's size.
     One of the two lies outside the group's largest component, as nodes inside it are connected.
+    ``before`` is the ``sig, was`` of the round before.  If another component has become the largest
+    since, the nodes of the former one have met no partners yet, and meet all below ``high`` now.
     """
     now = large.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     sizes = now.groupBy("sig", "label").agg(F.count(F.lit(1)).alias("k"))
+    if before is None:
+        sizes = sizes.withColumn("was", F.lit(None).cast("bigint"))
+    else:
+        # the former largest component under its present label
+        moved = before.join(labels.withColumnsRenamed({"node": "was", "label": "at"}), "was", "left")
+        sizes = sizes.join(moved.select("sig", F.coalesce("at", "was").alias("was")), "sig", "left")
     main = sizes.groupBy("sig").agg(
-        F.max(F.struct("k", "label")).alias("main"), F.min("label").alias("lo"), F.max("label").alias("hi")
+        F.max(F.struct("k", F.expr("label <=> was").alias("same"), "label")).alias("main"),
+        F.min("label").alias("lo"), F.max("label").alias("hi"), F.max("was").alias("was"),
     )
-    main = main.filter("lo <> hi").select("sig", F.col("main.label").alias("main"))
+    main = main.filter("lo <> hi").select("sig", F.col("main.label").alias("main"), "was")
     now = stored(now.join(main, "sig"), "unconnected")
     if now.isEmpty():
         drop_step(now)
         return None
     place = (F.pmod(F.xxhash64("node", F.lit(7)), F.lit(1 << 40)) / float(1 << 40)) * F.col("c")
-    partner = _as_partner(now.filter((place >= low) & (place < high)).drop("after", "c", "main"))
-    outside = now.filter("label <> main").drop("after", "c", "main")
-    met = outside.join(partner.withColumnRenamed("label", "other"), "sig")
-    met = met.filter((F.col("label") != F.col("other")) & _alike("n", "m", similarity))
-    return met.select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")).distinct()
+    partner = _as_partner(now.withColumn("place", place).filter(F.col("place") < high).drop("after", "c", "main", "was"))
+    outside = now.filter("label <> main").withColumn("start", F.when(F.expr("label <=> was"), 0).otherwise(low))
+    met = outside.drop("after", "c", "main", "was").join(partner.withColumnRenamed("label", "other"), "sig")
+    met = met.filter((F.col("label") != F.col("other")) & (F.col("place") >= F.col("start")) & _alike("n", "m", similarity))
+    pairs = met.select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")).distinct()
+    return pairs, now.select("sig", F.col("main").alias("was")).distinct()
 
 
 def ngram_components(
@@ -499,11 +512,12 @@ def _labels(rows: DataFrame, signed: DataFrame, groups: DataFrame, width: int, s
     pairs = _survivors(_first_pairs(groups, large, similarity), signed, similarity)
     sets = _sets(rows, signed, pairs.select("a").union(pairs.select("b")).union(large.select("node")).toDF("node"), width)
     labels = components(_linked(pairs, sets, similarity))
-    low, high = 0, FIRST_ROUND
+    low, high, before = 0, FIRST_ROUND, None
     while low < largest and largest > SMALL_GROUP:
-        pairs = _more_pairs(large, labels, low, high, similarity)
-        if pairs is None:
+        found = _more_pairs(large, labels, before, low, high, similarity)
+        if found is None:
             break
+        pairs, before = found
         more = _linked(_survivors(pairs, signed, similarity), sets, similarity)
         if not more.isEmpty():
             # what is connected goes on as stars, so a round does not repeat the ones before
