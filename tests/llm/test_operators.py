@@ -374,6 +374,18 @@ def test_html_extract(spark):
     assert html_extract.html_extract(pages.limit(0)).count() == 0
 
 
+def test_page_without_end_of_head(spark):
+    pages = [r.html for r in spark.read.parquet(f"{DATA}/pages.parquet").collect()]
+    model = html_extract.trained()
+    for page in pages:
+        assert "</head>" in page
+        assert html_extract.extract(page.replace("</head>", ""), model) == _article(page)
+    head = "<html><head><meta charset=x><title>t</title><script>s</script><style>y</style><noscript><p>n</p></noscript>"
+    for rest in ("<body><p>a</p><p>b", "<p>a</p><p>b", "a<p>b", "<head><body>a<p>b", "</head><body>a<p>b", "</head>a<p>b"):
+        assert [b.text for b in html_extract.blocks(head + rest)] == ["a", "b"]
+    assert html_extract.blocks(head) == html_extract.blocks(head + " \n</head> </html>") == []
+
+
 def test_labeller_on_other_layouts():
     made = training_pages(200, 77)
     found = html_extract.trained().main([p for p, _ in made])

@@ -47,6 +47,8 @@ BLOCKS = frozenset(
 )
 #: Elements without text of the page, and elements without content.
 SILENT = frozenset("head iframe math noframes noscript object script style svg template title".split())
+#: Elements that may stand in the head; others, and text, end one whose end tag is left out.
+HEAD = frozenset("base basefont bgsound head link meta noframes noscript script style template title".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements that cannot contain a block of their own kind: opening one closes the other.
 SINGLE = frozenset("p li dt dd option tr td th h1 h2 h3 h4 h5 h6".split())
@@ -81,7 +83,13 @@ class Blocks(HTMLParser):
             self.found.append(Block(text, path, min(1.0, self._linked / len(text))))
         self._text, self._linked = [], 0
 
+    def _end_head(self) -> None:
+        while self._open and self._open[-1][0] == "head":
+            self._cut(len(self._open) - 1)
+
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        if tag not in HEAD:
+            self._end_head()
         if tag in BLOCKS:
             self.end_block()
             # a block ends an open paragraph; items, cells and headings end their like
@@ -126,6 +134,8 @@ class Blocks(HTMLParser):
                 return
 
     def handle_data(self, data: str) -> None:
+        if self._silent and data.strip():
+            self._end_head()
         if not self._silent:
             self._text.append(data)
             if self._links:
