@@ -32,7 +32,7 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each group of near duplicates."""
+    """Keeps one document of each group of near duplicates: 0.9 of three-word shingles, as op 8."""
     small_batches(spark)
     return ngram_join.one_of_each(docs)
 
