@@ -106,6 +106,47 @@ def test_token_counts(odd, none, docs, library):
     assert token_counts.token_counts(none, PATH).count() == 0
 
 
+def test_long_words_of_wide_characters(spark, library):
+    wide = "\U00020000" * 64
+    df = spark.createDataFrame([(1, wide), (2, wide + " " + wide)], "doc_id bigint, text string")
+    out = {r.doc_id: r.n_tokens for r in token_counts.token_counts(df, PATH).collect()}
+    assert out == {k: len(library.encode(t, add_special_tokens=False).ids) for k, t in ((1, wide), (2, wide + " " + wide))}
+
+
+def test_bpe_blanks_beside_white_space(library):
+    codec = bpe.Codec(*bpe.load_tokenizer(PATH))
+    for text in ("a  b", "a \n b", "a\n b", " a", "a ", "a\u2003 b", "a \u200b b", "a b c", "x\x1c y", "a\u180e b", "", " ", "a \ufeff b"):
+        assert struct.unpack(f"<{len(codec.encode(text)) // 4}I", codec.encode(text)) == tuple(library.encode(text, add_special_tokens=False).ids), text
+
+
+def test_line_dedup_by_text_ids(spark):
+    lines = "a b\nc d\ne f"
+    rows = [("x", "1\n" + lines), ("b", lines + "\n2"), (None, lines)]
+    df = spark.createDataFrame(rows, "doc_id string, text string")
+    out = {r.doc_id: r.text for r in line_dedup.line_dedup(df).collect()}
+    assert out == {"b": lines + "\n2", "x": "1", None: ""}
+    large = spark.createDataFrame([((1 << 63) - 1, lines), (None, lines)], "doc_id bigint, text string")
+    assert {r.doc_id: r.text for r in line_dedup.line_dedup(large).collect()} == {(1 << 63) - 1: lines, None: ""}
+
+
+def test_foreign_elements():
+    def texts(page):
+        return [b.text for b in html_extract.blocks(page)]
+
+    assert texts("<body><svg/><p>a</p><p>b</p></body>") == ["a", "b"]
+    assert texts("<div><svg class='i'/>x</div><div>y</div>") == ["x", "y"]
+    assert texts("<p>a<svg><path/><text>t</text></svg>b</p>") == ["ab"]
+    assert texts("<p>a<template><p>b</template><p>c") == ["a", "c"]
+
+
+def test_classifier_sample_does_not_depend_on_order(spark, docs):
+    labels = spark.read.parquet(f"{DATA}/labels.parquet")
+    twice = docs.union(docs.withColumn("text", F.concat(F.lit("another "), "text")))
+    one = quality_classifier.fit(twice.repartition(7), labels)
+    two = quality_classifier.fit(twice.repartition(3, "text"), labels.union(labels))
+    assert one == two
+
+
 # --- duplicates -----------------------------------------------------------------------------
 
 

@@ -33,8 +33,8 @@ from tidemark.llm.common import pick, rows_of, worker_state
 #: Split of texts before the merges, as the byte-level pre-tokenizer defines it (fixed value).
 PRE_TOKEN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
-#: Words a worker keeps, in each of two generations.
-CACHE_WORDS = 60_000
+#: Bytes that a worker keeps of encoded chunks and of words, in each of two generations.
+CHUNK_BYTES, WORD_BYTES = 64 << 20, 32 << 20
 #: Pair tests a worker keeps.
 CACHE_PAIRS = 200_000
 
@@ -101,6 +101,8 @@ class PreTokens:
         self._odd = frozenset(odd_characters(spec) if odd is None else odd)
         self._least_odd = min(self._odd, default="")
         self._some = re.compile(f"[{self._least_odd}-\U0010ffff]") if self._odd else None
+        # a blank at an end or beside white space, by any reading of white space
+        self._joined = re.compile(r"\A | \Z|[\s\x1c-\x1f\x85\u180e\u200b\ufeff] | [\s\x1c-\x1f\x85\u180e\u200b\ufeff]")
 
     def words(self, text: str) -> list[str]:
         """Pre-tokens of a text without special strings."""
@@ -110,6 +112,12 @@ class PreTokens:
             return [text[m.start() : m.end()] for m in self._find.finditer(shown)]
         return self._find.findall(text)
 
+    def plain(self, text: str) -> bool:
+        """Whether every blank stands alone and no character is odd."""
+        if self._joined.search(text):
+            return False
+        return not (self._some and self._some.search(text) and not self._odd.isdisjoint(text))
+
     def parts(self, text: str) -> list[str]:
         """The text cut at special strings, which have the odd places."""
         return self._special.split(text) if self._special else [text]
@@ -146,7 +154,8 @@ class Codec:
             self.match.add_word(token, (len(token), k))
         self.match.make_automaton()
         self._tested: dict[tuple[int, int], bool] = {}
-        self._cache = Words(self.encode_word, CACHE_WORDS)
+        self._words = Words(self.encode_word, WORD_BYTES)
+        self._chunks = Words(self._encode_chunk, CHUNK_BYTES)
 
     def compatible(self, a: int, b: int) -> bool:
         """Whether BPE leaves tokens ``a`` and ``b`` side by side.
@@ -200,14 +209,28 @@ class Codec:
         out.reverse()
         return struct.pack(f"<{len(out)}I", *out)
 
+    def _encode_whole(self, part: str) -> bytes:
+        return b"".join(map(self._words.__getitem__, self.pre.words(part)))
+
+    def _encode_chunk(self, chunk: str) -> bytes:
+        return self._encode_whole(" " + chunk)
+
     def encode(self, text: str) -> bytes:
-        """Ids of a text as little-endian 32-bit integers."""
-        get, out = self._cache.__getitem__, []
+        """Ids of a text as little-endian 32-bit integers.
+
+        Where each blank stands alone between other characters than white space, no pre-token
+        reaches over the place before a blank, so the chunks between blanks are looked up whole.
+        """
+        get, out = self._chunks.__getitem__, []
         for k, part in enumerate(self.pre.parts(text)):
             if k % 2:
                 out.append(struct.pack("<I", self.pre.special[part]))
+            elif part and self.pre.plain(part):
+                first, *rest = part.split(" ")
+                out.append(self._encode_whole(first))
+                out.extend(map(get, rest))
             elif part:
-                out.extend(map(get, self.pre.words(part)))
+                out.append(self._encode_whole(part))
         return b"".join(out)
 
 
@@ -230,21 +253,26 @@ class Decoder:
 
 
 class Words(dict):
-    """Results by word, kept in two generations of bounded size."""
+    """Results by word, kept in two generations, each of at most ``most`` bytes (by estimate)."""
+
+    #: Bytes of an entry beside its characters: dictionary slot, object heads, a small result.
+    ENTRY = 180
 
     def __init__(self, make, most: int):
         super().__init__()
-        self._make, self._most, self._older = make, most, {}
+        self._make, self._most, self._held, self._older = make, most, 0, {}
 
     def __missing__(self, word: str):
         value = self._older.get(word)
         if value is None:
             value = self._make(word)
-        if len(self) >= self._most:
-            self._older = dict(self)
-            self.clear()
         if len(word) <= 256:
+            if self._held >= self._most:
+                self._older = dict(self)
+                self.clear()
+                self._held = 0
             self[word] = value
+            self._held += self.ENTRY + 2 * len(word)
         return value
 
 

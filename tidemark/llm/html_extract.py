@@ -45,7 +45,8 @@ BLOCKS = frozenset(
     "figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol option p pre section select "
     "summary table tbody td textarea tfoot th thead title tr ul".split()
 )
-#: Elements without text of the page, and elements without content.
+#: Elements of other vocabularies; elements without text of the page, and without content.
+FOREIGN = frozenset(("svg", "math"))
 SILENT = frozenset("head iframe math noframes noscript object script style svg template title".split())
 #: Elements that may stand in the head; others, and text, end one whose end tag is left out.
 HEAD = frozenset("base basefont bgsound head link meta noframes noscript script style template title".split())
@@ -53,7 +54,7 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 #: Elements that cannot contain a block of their own kind: opening one closes the other.
 SINGLE = frozenset("p li dt dd option tr td th h1 h2 h3 h4 h5 h6".split())
 #: Elements beyond which the search for an open element does not go.
-SCOPES = frozenset("table ul ol dl select article section div body html aside nav header footer form main".split())
+SCOPES = frozenset("table ul ol dl select article section div body html aside nav header footer form main template svg math object".split())
 _NAME = re.compile(r"[a-z]+|[0-9]+")
 
 
@@ -110,6 +111,10 @@ class Blocks(HTMLParser):
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)
+        # only foreign elements end by their slash; HTML elements stay open as without it
+        if tag in FOREIGN or any(name in FOREIGN for name, _ in self._open[:-1]):
+            if self._open and self._open[-1][0] == tag:
+                self._cut(len(self._open) - 1)
 
     def _close_within(self, tag: str) -> None:
         for k in range(len(self._open) - 1, -1, -1):

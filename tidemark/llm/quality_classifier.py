@@ -37,7 +37,8 @@ BUCKETS, DIM, GRAMS = 1 << 17, 10, (3, 4, 5)
 #: Training rows at most, and the length of their texts in characters at most.
 SAMPLE_ROWS, SAMPLE_CHARS = 2_500, 50_000
 EPOCHS, RATE, SEED = 4, 1.0, 13
-CACHE_WORDS = 100_000
+#: Bytes that a worker keeps of the sums of words, in each of two generations.
+CACHE_BYTES = 96 << 20
 
 
 def features(word: str) -> list[int]:
@@ -138,11 +139,11 @@ def fit(
         F.col("label").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))
     )
     order = F.xxhash64("doc_id")
-    chosen = known.dropDuplicates(["doc_id"]).orderBy(order, "doc_id").limit(sample_rows)
+    chosen = known.groupBy("doc_id").agg(F.max("label").alias("label")).orderBy(order, "doc_id").limit(sample_rows)
     rows = pick(docs, doc_id=doc_id, text=text).filter(F.length("text").between(1, sample_chars))
-    # the chosen ids are at most sample_rows
-    sample = rows.join(F.broadcast(chosen), "doc_id").limit(2 * sample_rows).collect()
-    ordered = sorted(sample, key=lambda r: (zlib.crc32(str(r.doc_id).encode()), r.doc_id, r.text))[:sample_rows]
+    # the chosen ids are at most sample_rows; of rows that share an id, the smallest text counts
+    sample = rows.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text")).collect()
+    ordered = sorted(sample, key=lambda r: (zlib.crc32(str(r.doc_id).encode()), r.doc_id, r.text))
     model = train([r.text for r in ordered], [int(r.label) for r in ordered])
     del sample, ordered
     # the driver lives on, so what training has used must not stay with it
@@ -163,7 +164,7 @@ def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "te
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         odds_of = shared.value.odds
-        get = worker_state(key, lambda: Words(shared.value.contribution, CACHE_WORDS)).__getitem__
+        get = worker_state(key, lambda: Words(shared.value.contribution, CACHE_BYTES)).__getitem__
         for batch in rows_of(batches):
             odds = [odds_of(t, get) for t in batch.column(place).to_pylist()]
             values = 1 / (1 + np.exp(-np.clip(np.array(odds, np.float64), -500, 500)))

@@ -29,8 +29,8 @@ from tidemark.llm.common import pick, rows_of, worker_state
 TABLE_WORDS = 50_000
 #: Texts the table is taken from, at most, and their length in characters, at most.
 SAMPLE_TEXTS, SAMPLE_CHARS = 2_000, 20_000
-#: Lengths a worker keeps for other pre-tokens, in each of two generations.
-CACHE_WORDS = 100_000
+#: Bytes that a worker keeps of other pre-tokens, in each of two generations.
+CACHE_BYTES = 64 << 20
 
 
 class TokenCounter:
@@ -41,7 +41,7 @@ class TokenCounter:
         self._library = Tokenizer.from_str(spec)
         self._library.no_truncation()
         self._library.no_padding()
-        self._frequent = _Tiers(table, Words(self._encode, CACHE_WORDS))
+        self._frequent = _Tiers(table, Words(self._encode, CACHE_BYTES))
 
     def _encode(self, word: str) -> int:
         return len(self._library.encode(word, add_special_tokens=False).ids)
@@ -64,7 +64,7 @@ class _Tiers(dict):
 
 
 def frequent_lengths(docs: DataFrame, spec: str, odd: str, words: int = TABLE_WORDS) -> tuple[bytes, bytes]:
-    """Packed table of frequent pre-tokens: texts joined by NUL, and one length byte each."""
+    """Packed table of frequent pre-tokens: texts joined by NUL, and 16 bits of length each."""
     texts = (
         docs.filter(F.length("text").between(1, SAMPLE_CHARS)).select("text").limit(SAMPLE_TEXTS).collect()
     )
@@ -75,11 +75,11 @@ def frequent_lengths(docs: DataFrame, spec: str, odd: str, words: int = TABLE_WO
     library = Tokenizer.from_str(spec)
     chosen = [w for w, _ in counts.most_common(words) if "\0" not in w and len(w) <= 64]
     lengths = [len(e.ids) for e in library.encode_batch(chosen, add_special_tokens=False)] if chosen else []
-    return "\0".join(chosen).encode(), np.array(lengths, np.uint8).tobytes()
+    return "\0".join(chosen).encode(), np.array(lengths, "<u2").tobytes()
 
 
 def unpack(table: tuple[bytes, bytes]) -> dict[str, int]:
-    return dict(zip(table[0].decode().split("\0"), table[1], strict=True)) if table[1] else {}
+    return dict(zip(table[0].decode().split("\0"), np.frombuffer(table[1], "<u2").tolist(), strict=True)) if table[1] else {}
 
 
 def token_counts(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str = "text", limit: int = 1024) -> DataFrame:
