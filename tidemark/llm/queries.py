@@ -16,12 +16,13 @@ from tidemark.llm import (
     line_dedup,
     merkle,
     ngram_join,
+    prefix_trie,
     quality_classifier,
     quality_rules,
     source_mix,
     token_counts,
 )
-from tidemark.llm.common import small_batches
+from tidemark.llm.common import small_batches, stored
 from tidemark.session import apply_defaults
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -237,6 +238,52 @@ def crc32_sql(value: str) -> str:
     return f"xor(4294967295, list_reduce(list_prepend(4294967295::bigint, {codes}), lambda a, b: {shifted}))"
 
 
+@query(
+    "op11_prefix_trie",
+    f"""
+with t as (
+    select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations where conv_id is not null
+), c as (
+    select conv_id, list({{'role': role, 'text': text}} order by turn nulls first, role, sha256(octet_length(encode(role)) || ':' || role || text)) as own,
+           {crc32_sql('conv_id::varchar')} % 4 as h
+    from t group by conv_id
+), r as (
+    select c.conv_id, list_concat(coalesce(b.own[1 : c.h], []), c.own[c.h + 1 :]) as turns
+    from c left join c as b on b.conv_id = c.conv_id - c.conv_id % 20
+), p as (
+    select conv_id, d, turns[1 : d] as prefix, len(turns) as n,
+           case when d = 0 then 0 else len(regexp_extract_all(turns[d].text, '[^\\x20\\x09-\\x0D]+')) end as words
+    from (select *, unnest(range(0, len(turns) + 1)) as d from r)
+), m as (
+    -- a node is known by its smallest member and its depth
+    select conv_id, d, n, words, min(conv_id) over (partition by d, prefix) as m from p
+), g as (
+    select m, d, count(*) as n_convs, max(words) as words,
+           coalesce(string_agg(conv_id::varchar, ',' order by conv_id) filter (where n = d), '') as ends
+    from m group by m, d
+), e as (
+    select distinct a.m as pm, a.d as pd, b.m, b.d from m a join m b on b.conv_id = a.conv_id and b.d >= a.d
+), k as (
+    select pm, pd, count(*) as n from e where d = pd + 1 group by pm, pd
+)
+select g.m as conv_id, g.d as depth, any_value(up.pm) as parent_conv_id, any_value(g.n_convs)::bigint as n_convs,
+       coalesce(any_value(own.n), 0)::bigint as n_children,
+       count(*) filter (where below.n is null)::bigint as n_leaves,
+       sum((x.n_convs - 1) * x.words)::bigint as saved_tokens, sha256(any_value(g.ends)) as ends_sha256
+from g
+join e on e.pm = g.m and e.pd = g.d
+join g as x on x.m = e.m and x.d = e.d
+left join k as below on below.pm = e.m and below.pd = e.d
+left join k as own on own.pm = g.m and own.pd = g.d
+left join e as up on up.m = g.m and up.d = g.d and up.pd = g.d - 1
+group by g.m, g.d
+""",
+)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = stored(prefix_trie.sequences(table(spark, sf_dir, "conversations")), "turns")
+    return prefix_trie.prefix_trie(prefix_trie.spliced(turns))
+
+
 def _merkle_sql() -> str:
     """Levels and foldings by recursion."""
     lower = f"case when {crc32_sql('doc_id::varchar')} % 3 = 0 then translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') else text end"
@@ -247,7 +294,7 @@ def _merkle_sql() -> str:
 
     return f"""
 with recursive t as (
-    select doc_id, lang, {leaf(text)} as leaf, {leaf("lowered")} as given
+    select doc_id, lang, {leaf("text")} as leaf, {leaf("lowered")} as given
     from (select *, {lower} as lowered from documents)
 ), l as (
     select *, row_number() over (partition by lang order by doc_id nulls first, leaf) - 1 as rank,
