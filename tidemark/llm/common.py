@@ -14,13 +14,14 @@ from pyspark.sql import functions as F
 _STEPS: list[str] = []
 
 
-#: Rows that Spark hands to Python at a time.
-BATCH_ROWS = 2_000
+#: Rows that Spark hands to Python at a time, and their bytes, about.
+BATCH_ROWS, BATCH_BYTES = 2_000, 32 << 20
 
 
 def small_batches(spark: SparkSession) -> SparkSession:
     """Keeps the batches that go to Python small, as texts may be long; returns the session."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     return spark
 
 

@@ -20,6 +20,7 @@ from tidemark.llm import (
     quality_classifier,
     quality_rules,
     source_mix,
+    suffix_dedup,
     token_counts,
 )
 from tidemark.llm.common import small_batches, stored
@@ -284,6 +285,39 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.prefix_trie(prefix_trie.spliced(turns))
 
 
+@query(
+    "op12_suffix_dedup",
+    f"""
+with d as (
+    select doc_id, hex(encode(coalesce(text, ''))) as t from documents
+), w as (
+    select doc_id, k, md5_number(substr(t, 2 * k + 1, 2 * {suffix_dedup.SPAN})) as string
+    from (select *, unnest(range(0, len(t) // 2 - {suffix_dedup.SPAN} + 1)) as k from d)
+), r as (
+    select doc_id, k from w qualify count(*) over (partition by string) > 1
+), s as (
+    -- a run begins where no repeated string starts within reach
+    select doc_id, k, sum(fresh) over (partition by doc_id order by k) as run
+    from (select *, (k - coalesce(lag(k) over (partition by doc_id order by k), -1000000) > {suffix_dedup.SPAN})::int as fresh from r)
+), u as (
+    select doc_id, run, min(k) as start, max(k) + {suffix_dedup.SPAN} as stop from s group by doc_id, run
+), g as (
+    select doc_id, run, stop, lag(stop, 1, 0) over (partition by doc_id order by run) as after, start, t from u join d using (doc_id)
+), p as (
+    select doc_id, count(*) as n_spans, sum(stop - start) as n_removed, max(stop) as stop,
+           string_agg(substr(t, 2 * after + 1, 2 * (start - after)), '' order by run) as before
+    from g group by doc_id
+)
+select doc_id, (len(t) // 2)::bigint as n_bytes, coalesce(n_removed, 0)::bigint as n_removed, coalesce(n_spans, 0)::bigint as n_spans,
+       sha256(unhex(coalesce(before || substr(t, 2 * stop + 1), t))) as kept_sha256
+from d left join p using (doc_id)
+""",
+)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffix_dedup.suffix_dedup(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", bpe.digest(F.col("kept")).alias("kept_sha256"))
+
+
 def _merkle_sql() -> str:
     """Levels and foldings by recursion."""
     lower = f"case when {crc32_sql('doc_id::varchar')} % 3 = 0 then translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') else text end"
