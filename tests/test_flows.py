@@ -19,7 +19,7 @@ FIRST_CUT, LAST_CUT = dt.datetime(2024, 1, 15), dt.datetime(2024, 1, 31)
 @pytest.fixture(scope="module")
 def w(spark, tmp_path_factory):
     i = Steps(spark, DATA)
-    wh = Warehouse(spark, str(tmp_path_factory.mktemp("warehouse")))
+    wh = Warehouse(spark, str(tmp_path_factory.mktemp("warehouse")), slots=4, buckets=4)
     wh.replace("bid/log", i.bid_log)
     wh.replace("maps/geos", i.geos)
     wh.replace("maps/isp_domains", i.isp_domains)
@@ -160,6 +160,67 @@ def test_backfill_equals_single_days(spark):
         assert all(abs(single[c] - many[d][c]) < 1e-9 for c in scoring.SCORES)
 
 
+def test_days_equal_single_days(spark):
+    rows = _input(spark, [(None, a, float(a % 5 + 1), a % 3) for a in range(1, 60)])
+    days = [AS_OF, AS_OF - dt.timedelta(10), AS_OF - dt.timedelta(30), dt.date(2020, 1, 1)]
+    frame = spark.createDataFrame([(d,) for d in [*days, AS_OF]], "score_date date")
+    many = sorted(map(tuple, scoring.score_days(rows, frame).collect()))
+    assert many == sorted(map(tuple, scoring.score_backfill(rows, days).collect())) and len(many) == 3
+    assert scoring.score_days(rows, frame.limit(0)).count() == 0
+
+
+def test_backfill_days(spark):
+    cache = spark.createDataFrame([(dt.date(2024, 1, 5),), (None,), (dt.date(2024, 1, 9),)], "date date")
+
+    def days(df, first):
+        return [r[0].day for r in scoring.backfill_days(df, first, dt.date(2024, 1, 8)).orderBy("score_date").collect()]
+
+    assert days(cache, dt.date(2023, 1, 1)) == [6, 7, 8]
+    assert days(cache, dt.date(2024, 1, 7)) == [8] and days(cache, dt.date(2024, 2, 7)) == []
+    assert days(cache.limit(0), dt.date(2024, 1, 6)) == [7, 8]
+
+
+def test_flow_of_several_days(spark, tmp_path):
+    """All days in one run give the history that single runs give."""
+    i = Steps(spark, DATA)
+    histories = []
+    first = AS_OF - dt.timedelta(4)
+    for mode in ("one", "many"):
+        wh = Warehouse(spark, str(tmp_path / mode), slots=2, buckets=2)
+        wh.replace("bid/prescoring_cache", i.prescoring_bid)
+        wh.replace("email/prescoring", i.prescoring_email)
+        if mode == "many":
+            flows.backfill_scores(wh, AS_OF, first)
+        else:
+            for k in range(3, -1, -1):
+                day = AS_OF - dt.timedelta(k)
+                flows.weekly_scores(wh, AS_OF, days=spark.createDataFrame([(day,)], "score_date date"))
+        history = wh.read("score/history")
+        histories.append(sorted(str([round(v, 9) if isinstance(v, float) else v for v in r]) for r in history.collect()))
+        assert history.select("score_date").distinct().count() == 4
+    assert histories[0] == histories[1] and histories[0]
+
+
+def test_shared_hosts_are_no_companies(spark, tmp_path):
+    i = Steps(spark, DATA)
+    wh = Warehouse(spark, str(tmp_path), slots=2, buckets=2)
+    cut = dt.datetime(2024, 1, 31)
+    clean = flows.vendors.ip_range_clean(i.ip_range, AS_OF)
+    host = clean.filter("length(normalized_company_domain) > 1").groupBy("normalized_company_domain").count().orderBy(F.desc("count")).first()[0]
+    vendor = spark.createDataFrame([("7.7.7.7", host, f"x.org,{host}", 1.0)], "ip_address string, company_domain string, company_domain_array string, distribution_percentage double")
+    wh.replace("maps/shared_domains", spark.createDataFrame([(host,)], "domain string"))
+    wh.replace("vendor/ip_companies", vendor)
+    wh.replace("bid/log", i.bid_log)
+    wh.replace("maps/geos", i.geos)
+    flows.ip_ranges(wh, i.ip_range, AS_OF)
+    assert wh.read("vendor/ip_ranges").filter("normalized_company_domain = 'Shared'").count() == clean.filter(F.col("normalized_company_domain") == host).count()
+    flows.vendor_companies(wh, AS_OF)
+    flows.bid_stream(wh, cut, AS_OF, first_day=START)
+    named = F.col("normalized_company_domain").isin(host, "Shared")
+    for table in ("maps/ip_domain", "maps/device_domain", "bid/company_activity"):
+        assert wh.read(table).filter(named).isEmpty() and not wh.read(table).isEmpty(), table
+
+
 def test_sources_only_meet_the_bid_rows(spark):
     """A lead and an e-mail row of one key stay apart unless a bid row brings them together."""
     day = dt.date(2024, 1, 20)

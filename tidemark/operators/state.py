@@ -1,7 +1,8 @@
 """Table state as pure functions: merge, insert-only merge, delete.
 
 Parquet tables have no MERGE or DELETE, so each operator takes the current
-table and returns the next one; ``tidemark.sources.tables`` writes it.
+table, or the partitions of it that a source touches, and returns the next
+content; ``tidemark.sources.Warehouse`` reads and overwrites those partitions only.
 
 Keys listed in ``null_safe`` match NULL with NULL.  On the other keys a NULL
 never matches, so such rows stay in the target and are inserted again.
@@ -55,12 +56,16 @@ def _spread_unmatchable(df: DataFrame, keys: Sequence[str], null_safe: Sequence[
     return df.withColumn(_SPREAD, F.when(unmatchable, F.xxhash64(*df.columns)).otherwise(F.lit(0)))
 
 
-def _join_columns(df: DataFrame, keys: Sequence[str], null_safe: Sequence[str]) -> tuple[DataFrame, list[str]]:
+def _join_columns(
+    df: DataFrame, keys: Sequence[str], null_safe: Sequence[str], co_located: bool = False
+) -> tuple[DataFrame, list[str]]:
     """Columns that compare plainly: a NULL-safe key becomes its text and a NULL mark.
 
     Spark would rewrite ``<=>`` in the join alone, and then shuffle the output of
     the key window once more.
     """
+    if co_located:
+        return df, list(keys)
     df = _spread_unmatchable(df, keys, null_safe)
     names = [_SPREAD]
     for k in keys:
@@ -87,6 +92,7 @@ def upsert(
     null_safe: Sequence[str] = (),
     insert_missing: bool = True,
     unique_source: bool = False,
+    co_located: bool = False,
 ) -> DataFrame:
     """Merge ``source`` into ``target``: change matched rows, add the others.
 
@@ -97,13 +103,18 @@ def upsert(
     error, whichever columns are used: the check is a filter that passes every
     row or fails.  ``unique_source=True`` skips it where the source is grouped by
     the keys already.
+
+    ``co_located=True`` joins on the keys alone, so a target stored in buckets of
+    them is not shuffled; rows with a NULL key then meet in one task.
     """
+    if co_located and null_safe:
+        raise ValueError("co-located keys compare plainly")
     if not isinstance(update, Mapping):
         update = {c: F.col(f"s.{c}") for c in update}
     columns = target.columns
     # the key window below uses the partitioning and order the join needs anyway
-    t, on = _join_columns(target, keys, null_safe)
-    s, _ = _join_columns(source, keys, null_safe)
+    t, on = _join_columns(target, keys, null_safe, co_located)
+    s, _ = _join_columns(source, keys, null_safe, co_located)
     t, s = t.withColumn(_SEEN, F.lit(True)), s.withColumn(_SEEN, F.lit(True))
     if unique_source:
         s = s.withColumn(_COPIES, F.lit(1))

@@ -149,13 +149,13 @@ def ip_location_latest(user_activity: DataFrame) -> DataFrame:
     )
 
 
-def ip_location_upsert(target: DataFrame, cache: DataFrame) -> DataFrame:
+def ip_location_upsert(target: DataFrame, cache: DataFrame, *, co_located: bool = False) -> DataFrame:
     """Latest locations into the cumulative map (the cache has one row per address)."""
-    return upsert(target, cache, ["ip"], ["date_updated", *LOCATION], unique_source=True)
+    return upsert(target, cache, ["ip"], ["date_updated", *LOCATION], unique_source=True, co_located=co_located)
 
 
 def ip_location_best_source(
-    target: DataFrame, bid_locations: DataFrame, ip_ranges: DataFrame, threshold: int = 0
+    target: DataFrame, bid_locations: DataFrame, ip_ranges: DataFrame, threshold: int = 0, *, co_located: bool = False
 ) -> DataFrame:
     """Range-file location where all its confidences reach the threshold, else the bid's.
 
@@ -185,14 +185,16 @@ def ip_location_best_source(
     )
     best = matches.groupBy("ip").agg(F.min("m").alias("m"))
     best = best.select("ip", "m.loc.date_updated", *[f"m.loc.{c}" for c in LOCATION])
-    return upsert(target, best, ["ip"], ["date_updated", *LOCATION], unique_source=True)
+    return upsert(target, best, ["ip"], ["date_updated", *LOCATION], unique_source=True, co_located=co_located)
 
 
 # -- address to company ---------------------------------------------------------------
 
 
-def ip_domain_obs_from_ranges(target: DataFrame, user_activity: DataFrame, ip_ranges: DataFrame) -> DataFrame:
-    """New (address, company) observations from the range file."""
+def ip_domain_obs_from_ranges(
+    target: DataFrame, user_activity: DataFrame, ip_ranges: DataFrame, *, only_new: bool = False
+) -> DataFrame:
+    """New (address, company) observations from the range file; hosts marked as shared count for none."""
     ips = (
         user_activity.filter(F.length("user_ip") > 0)
         .select(F.col("user_ip").alias("ip"))
@@ -216,6 +218,7 @@ def ip_domain_obs_from_ranges(target: DataFrame, user_activity: DataFrame, ip_ra
         found,
         ["ip", "normalized_company_domain", "date"],
         target_filter=F.col("source") == RANGE_SOURCE,
+        only_new=only_new,
     )
 
 
@@ -502,7 +505,7 @@ def company_activity_consume(cache: DataFrame, enriched: DataFrame) -> DataFrame
 
 # -- URLs and the scrape queue -----------------------------------------------------------
 
-def _url_merge(target: DataFrame, source: DataFrame, *, unique_source: bool) -> DataFrame:
+def _url_merge(target: DataFrame, source: DataFrame, *, unique_source: bool, co_located: bool = False) -> DataFrame:
     same_day = F.col("s.last_seen") == F.col("t.last_seen")
     return upsert(
         target,
@@ -516,6 +519,7 @@ def _url_merge(target: DataFrame, source: DataFrame, *, unique_source: bool) ->
             ),
         },
         unique_source=unique_source,
+        co_located=co_located,
     )
 
 
@@ -545,9 +549,9 @@ def unique_urls(target: DataFrame, activity: DataFrame) -> DataFrame:
     return _url_merge(target, url_stats(activity), unique_source=True)
 
 
-def unique_urls_merge(target: DataFrame, cache: DataFrame) -> DataFrame:
-    """URL cache into the cumulative table, same rule."""
-    return _url_merge(target, cache, unique_source=False)
+def unique_urls_merge(target: DataFrame, cache: DataFrame, *, co_located: bool = False) -> DataFrame:
+    """URL cache into the cumulative table, same rule; co-located, the cache must have one row per page."""
+    return _url_merge(target, cache, unique_source=co_located, co_located=co_located)
 
 
 def never_scraped(urls: DataFrame, results: DataFrame) -> DataFrame:

@@ -78,7 +78,9 @@ def one_answer_per_ip(answers: DataFrame) -> DataFrame:
     )
 
 
-def lookup_latest(target: DataFrame, lookup_output: DataFrame, *, drop_null_keys: bool = False) -> DataFrame:
+def lookup_latest(
+    target: DataFrame, lookup_output: DataFrame, *, drop_null_keys: bool = False, co_located: bool = False
+) -> DataFrame:
     """All answers, one row per address, merged into the staging table.
 
     ``drop_null_keys`` is the incremental-model edition, which loses rows
@@ -87,12 +89,14 @@ def lookup_latest(target: DataFrame, lookup_output: DataFrame, *, drop_null_keys
     source = one_answer_per_ip(lookup_output)
     if drop_null_keys:
         source = source.dropna(subset=["user_ip"])
-    return upsert(target, source, ["user_ip"], ANSWER, unique_source=True)
+    return upsert(target, source, ["user_ip"], ANSWER, unique_source=True, co_located=co_located)
 
 
-def lookup_mappings(target: DataFrame, success: DataFrame, *, drop_null_keys: bool = False) -> DataFrame:
+def lookup_mappings(
+    target: DataFrame, success: DataFrame, *, drop_null_keys: bool = False, co_located: bool = False
+) -> DataFrame:
     """Successful answers, one row per address, merged into the mapping table."""
-    return lookup_latest(target, success, drop_null_keys=drop_null_keys)
+    return lookup_latest(target, success, drop_null_keys=drop_null_keys, co_located=co_located)
 
 
 def website_domain(response: Column) -> Column:
@@ -163,11 +167,12 @@ def one_location_per_ip(locations: DataFrame, fields: Sequence[str] = LOCATION)
 
 
 def lookup_location_upsert(
-    target: DataFrame, locations: DataFrame, *, drop_null_keys: bool = False
+    target: DataFrame, locations: DataFrame, *, drop_null_keys: bool = False, co_located: bool = False
 ) -> DataFrame:
     """Looked-up locations into the cumulative map."""
     if drop_null_keys:
         locations = locations.dropna(subset=["ip"])
     return upsert(
-        target, one_location_per_ip(locations), ["ip"], ["date_updated", *LOCATION], unique_source=True
+        target, one_location_per_ip(locations), ["ip"], ["date_updated", *LOCATION], unique_source=True,
+        co_located=co_located,
     )

@@ -54,22 +54,45 @@ def pixel_views(pixel_raw: DataFrame) -> DataFrame:
 
 def pixel_user_activity(target: DataFrame, pixel_raw: DataFrame) -> DataFrame:
     """New views added to the cumulative counts."""
+    return add_views(target, pixel_views(pixel_raw))
+
+
+def views_of_loads(views: DataFrame, load: str) -> DataFrame:
+    """The cumulative counts of some days from what each load added to them.
+
+    The same rows as merging load by load: a key with a NULL never matches, so it stays a row for
+    each load (column ``load``).
+    """
+    keys = ["client_id", "user_ip", "date", "user_agent", "site_url"]
+    missing = F.lit(False)
+    for k in keys:
+        missing = missing | F.col(k).isNull()
+    apart = F.when(missing, F.col(load)).alias("__apart")
+    return views.groupBy(*keys, apart).agg(F.sum("pageviews").alias("pageviews")).drop("__apart")
+
+
+def add_views(target: DataFrame, views: DataFrame) -> DataFrame:
+    """Counted views (``pixel_views``) added to the cumulative counts."""
     return upsert(
         target,
-        pixel_views(pixel_raw),
+        views,
         ["user_ip", "date", "user_agent", "site_url", "client_id"],
         {"pageviews": F.col("s.pageviews") + F.col("t.pageviews")},
         unique_source=True,
     )
 
 
-def pixel_unique_urls(target: DataFrame, user_activity: DataFrame) -> DataFrame:
-    """URL statistics; last day and frequency are replaced."""
+def pixel_unique_urls(target: DataFrame, user_activity: DataFrame, *, co_located: bool = False) -> DataFrame:
+    """URL statistics; last day and frequency are replaced.
+
+    ``user_activity`` holds all views of its pages, as their numbers are replaced.
+    """
     pages = user_activity.filter(F.length("site_url") > 1).select(
         F.col("site_url").alias("page_url"), _publisher("site_url").alias("publisher_domain_normalized"), "date"
     )
     return upsert(
-        target, bidstream.url_stats(pages), ["page_url"], ["last_seen", "frequency"], unique_source=True
+        target, bidstream.url_stats(pages), ["page_url"], ["last_seen", "frequency"], unique_source=True,
+        co_located=co_located,
     )
 
 
@@ -81,10 +104,12 @@ def pixel_scrape_queue(
     return bidstream.enqueue(queue, fresh.select("page_url").distinct(), as_of)
 
 
-def pixel_ip_domain_obs(target: DataFrame, user_activity: DataFrame, ip_ranges: DataFrame) -> DataFrame:
+def pixel_ip_domain_obs(
+    target: DataFrame, user_activity: DataFrame, ip_ranges: DataFrame, *, only_new: bool = False
+) -> DataFrame:
     """New (address, company) observations from the range file; IPv6 is left out."""
     v4 = user_activity.filter(~F.col("user_ip").contains(":"))
-    return bidstream.ip_domain_obs_from_ranges(target, v4, ip_ranges)
+    return bidstream.ip_domain_obs_from_ranges(target, v4, ip_ranges, only_new=only_new)
 
 
 def pixel_company_rollup(activity: DataFrame, ip_domain: DataFrame, ip_location: DataFrame) -> DataFrame:

@@ -190,6 +190,22 @@ def _inside_lookback(age: Column) -> Column:
     return (age > 0) & (age <= SCORE_LOOKBACK_DAYS)
 
 
+def score_days(scoring_input: DataFrame, days: DataFrame) -> DataFrame:
+    """Scores of all days in ``days`` (column ``score_date``) in one job.
+
+    A row counts for the days that look back on it: those of the ``SCORE_LOOKBACK_DAYS`` after its
+    own that ``days`` has.  The range of days is a one-row summary, so no row is multiplied beyond it.
+    """
+    wanted = days.select("score_date").filter(F.col("score_date").isNotNull()).distinct()
+    first, last = wanted.agg(F.min("score_date")).scalar(), wanted.agg(F.max("score_date")).scalar()
+    start = F.greatest(F.date_add("date", 1), first)
+    end = F.least(F.date_add("date", SCORE_LOOKBACK_DAYS), last)
+    rows = scoring_input.filter(F.col("date").isNotNull()).withColumns({"__start": start, "__end": end})
+    rows = rows.filter(F.col("__start") <= F.col("__end"))
+    rows = rows.withColumn("score_date", F.explode(F.sequence("__start", "__end"))).drop("__start", "__end")
+    return _score(rows.join(wanted, "score_date"))
+
+
 def score_backfill(scoring_input: DataFrame, score_dates: Sequence[dt.date]) -> DataFrame:
     """Scores for a list of days in one job.
 
@@ -217,11 +233,23 @@ def scores_history_merge(history: DataFrame, scores: DataFrame) -> DataFrame:
     return upsert(history, scores, SCORE_KEYS, SCORES)
 
 
-def backfill_dates(prescoring_cache: DataFrame, global_min: dt.date, today: dt.date) -> list[dt.date]:
-    """Days to score again: after the earliest cached day (not before the global start) up to today."""
-    earliest = prescoring_cache.agg(F.min("date").cast("date").alias("m")).first()["m"]
-    start = max(global_min, earliest) if earliest else global_min
-    return [today - dt.timedelta(days=i) for i in range((today - start).days)]
+def backfill_days(prescoring_cache: DataFrame, global_min: dt.date, today: dt.date) -> DataFrame:
+    """Days to score again, as ``score_date``: after the earliest cached day up to today.
+
+    None is before the day after ``global_min``; without cached rows that day is the first.
+    """
+    # greatest skips the NULL of an empty cache
+    after = F.greatest(F.lit(global_min), F.min("date").cast("date"))
+    bounds = prescoring_cache.agg(F.date_add(after, 1).alias("first"))
+    days = bounds.filter(F.col("first") <= F.lit(today)).select(
+        F.explode(F.sequence("first", F.lit(today))).alias("score_date")
+    )
+    return days
+
+
+def scores_of_days(target: DataFrame, scoring_input: DataFrame, days: DataFrame) -> DataFrame:
+    """Scores of all ``days`` merged into the output; series with a NULL key are added anew."""
+    return upsert(target, score_days(scoring_input, days), SCORE_KEYS, SCORES, unique_source=True)
 
 
 def lookback_date(min_score_date: dt.date) -> dt.date:

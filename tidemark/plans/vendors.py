@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import domain_normalizer, ip_to_number, normalize_city
-from tidemark.operators import insert_new
+from tidemark.operators import insert_new, mark_shared
 
 # Fixed values
 COUNTRIES = ("USA", "CAN", "GBR", "DEU", "SWE", "NLD", "NOR", "FRA", "ESP")
@@ -22,9 +22,13 @@ LEAD_TEXT = [
 ]
 
 
-def ip_range_clean(raw: DataFrame, as_of: dt.date, countries: Sequence[str] = COUNTRIES) -> DataFrame:
+def ip_range_clean(
+    raw: DataFrame, as_of: dt.date, countries: Sequence[str] = COUNTRIES, shared: DataFrame | None = None
+) -> DataFrame:
     """Ranges with numeric bounds and normal forms, for the countries served.
 
+    Domains on the list ``shared`` (column ``domain``) become the marker that the maps leave out.
+
     Rows with neither company nor domain are dropped, and so are generic host
     names; a row without a domain does not pass the host-name test either.
     """
@@ -48,32 +52,43 @@ def ip_range_clean(raw: DataFrame, as_of: dt.date, countries: Sequence[str] = CO
         "company_name",
         domain_normalizer(F.col("domain_name")).alias("normalized_company_domain"),
     )
+    if shared is not None:
+        rows = mark_shared(rows, "normalized_company_domain", shared)
     return rows.filter(
         F.col("normalized_country_code").isin(*countries)
         & ~F.col("normalized_company_domain").startswith(GENERIC_NAME_PREFIX)
     )
 
 
-def vendor_ip_domain_obs(target: DataFrame, vendor_ip: DataFrame, as_of: dt.date) -> DataFrame:
-    """Main and other companies of each vendor address, observed once a day."""
+def vendor_ip_domain_obs(
+    target: DataFrame, vendor_ip: DataFrame, as_of: dt.date, shared: DataFrame | None = None, *, only_new: bool = False
+) -> DataFrame:
+    """Main and other companies of each vendor address, observed once a day.
+
+    Domains on the list ``shared`` (column ``domain``) belong to no company and are left out.
+    """
     names = F.concat(
         F.array("company_domain"),
         F.coalesce(F.split("company_domain_array", ","), F.array().cast("array<string>")),
     )
     domain = F.col("normalized_company_domain")
-    found = (
+    named = (
         vendor_ip.select(
             F.col("ip_address").alias("ip"),
             F.explode(names).alias("name"),
             F.col("distribution_percentage").alias("source_confidence"),
         )
         .select("ip", domain_normalizer(F.col("name")).alias("normalized_company_domain"), "source_confidence")
-        .filter((domain != "Shared") & (F.length(domain) > 1))
+    )
+    if shared is not None:
+        named = mark_shared(named, "normalized_company_domain", shared)
+    found = (
+        named.filter((domain != "Shared") & (F.length(domain) > 1))
         .distinct()
         .withColumns({"source": F.lit(VENDOR_SOURCE), "date": F.lit(as_of)})
     )
     today = (F.col("source") == VENDOR_SOURCE) & (F.col("date") == F.lit(as_of))
-    return insert_new(target, found, ["ip", "normalized_company_domain"], target_filter=today)
+    return insert_new(target, found, ["ip", "normalized_company_domain"], target_filter=today, only_new=only_new)
 
 
 def lead_rows(cache: DataFrame) -> DataFrame:

@@ -8,12 +8,12 @@ from tidemark.sources.files import (
     pixel_load,
     scrape_load,
 )
-from tidemark.sources.tables import ConcurrentWrite, drop_versions, load_table, save_table, table_exists
+from tidemark.sources.tables import drop_partitions, drop_versions, load_table, save_table, table_exists
 from tidemark.sources.warehouse import Warehouse
 
 __all__ = [
-    "ConcurrentWrite",
     "Warehouse",
+    "drop_partitions",
     "drop_versions",
     "email_load",
     "ip_range_load",

@@ -63,23 +63,32 @@ def email_load(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).option("mode", "FAILFAST").option("header", "true").csv(path)
 
 
-def lead_load(spark: SparkSession, path: str, schema: str = LEADS) -> DataFrame:
-    """Lead files, leaving out every file that holds a broken row.
-
-    Broken rows are counted per file in one pass and the files removed by name,
-    so nothing is collected and nothing cached.  The count touches every column:
-    the reader only checks columns that a query uses.
-    """
+def marked_rows(reader, path: str, schema: str) -> DataFrame:
+    """Rows of CSV files with their broken text, ``__bad``, and file; ``reader`` is a batch or stream reader."""
     declared = StructType.fromDDL(schema)
-    names = declared.fieldNames()
     rows = (
-        spark.read.schema(StructType([*declared.fields, StructField("__bad", StringType())]))
+        reader.schema(StructType([*declared.fields, StructField("__bad", StringType())]))
         .option("header", "true")
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", "__bad")
         .csv(path)
-        .withColumn("__file", F.col("_metadata.file_path"))
     )
+    return rows.withColumn("__file", F.col("_metadata.file_path"))
+
+
+def lead_load(spark: SparkSession, path: str, schema: str = LEADS) -> DataFrame:
+    """Lead files, leaving out every file that holds a broken row."""
+    return whole_files(marked_rows(spark.read, path, schema))
+
+
+def whole_files(rows: DataFrame) -> DataFrame:
+    """The rows of files without a broken one, of rows as ``marked_rows`` gives them.
+
+    Broken rows are counted per file in one pass and the files removed by name,
+    so nothing is collected and nothing cached.  The count touches every column:
+    the reader only checks columns that a query uses.
+    """
+    names = [c for c in rows.columns if c not in ("__bad", "__file")]
     parsed = F.length(F.concat_ws("", *[F.col(c).cast("string") for c in names])) >= 0
     per_file = rows.groupBy("__file").agg(F.count(F.when(F.col("__bad").isNotNull() & parsed, 1)).alias("__n_bad"))
     broken = per_file.filter(F.col("__n_bad") > 0).select("__file")

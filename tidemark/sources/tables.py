@@ -1,37 +1,22 @@
-"""Parquet tables that can be replaced, and added to, while they are being read.
+"""Parquet tables in version folders: replaced as a whole, added to, or changed by partition.
 
-A table is a set of folders with Parquet files and a log of numbered commits.  A commit lists the
-folders that make up the table, so the version a running query reads is never touched, a failed
-write is ignored, and an append, or a change of some partitions, writes only new folders.  A commit
-is published by a rename that fails if its number is taken: of two writers that start from one
-version the second gets ``ConcurrentWrite`` and nothing is lost.
+A table is a folder of numbered versions; the newest complete one is the table.  A replacement
+writes the next folder, so a query that reads the version before is not disturbed and a failed
+write is ignored.  Appends and changed partitions go into the current folder by Spark's own append
+and dynamic partition overwrite.  There is one writer at a time: commits between writers are the
+business of a table format, which this is not.
 """
 
 from __future__ import annotations
 
 import json
-import uuid
-from dataclasses import asdict, dataclass, field
 
-from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-_LOG = "_commits"
-
-
-class ConcurrentWrite(RuntimeError):
-    """Another writer has changed the table since it was read."""
-
-
-@dataclass(frozen=True)
-class Commit:
-    """One version: its folders below the root, its schema, and the last run of each named writer."""
-
-    number: int = 0
-    folders: tuple[str, ...] = ()
-    schema: str = ""
-    runs: dict[str, str] = field(default_factory=dict)
+#: Written into a version's folder when it is complete; holds its columns.
+_SCHEMA = "_schema"
 
 
 def _fs(spark: SparkSession, name: str):
@@ -41,157 +26,116 @@ def _fs(spark: SparkSession, name: str):
 
 def _names(spark: SparkSession, folder: str) -> list[str]:
     path, fs = _fs(spark, folder)
-    return [s.getPath().getName() for s in fs.listStatus(path)] if fs.exists(path) else []
+    return sorted(s.getPath().getName() for s in fs.listStatus(path)) if fs.exists(path) else []
 
 
-def _file(root: str, number: int) -> str:
-    return f"{root}/{_LOG}/{number:012d}"
+def _exists(spark: SparkSession, name: str) -> bool:
+    path, fs = _fs(spark, name)
+    return fs.exists(path)
 
 
-def _commits(spark: SparkSession, root: str) -> list[int]:
-    """Numbers of the commits, oldest first."""
-    return sorted(int(n) for n in _names(spark, f"{root}/{_LOG}") if n.isdigit())
+def remove(spark: SparkSession, name: str) -> None:
+    path, fs = _fs(spark, name)
+    fs.delete(path, True)
 
 
-def _commit(spark: SparkSession, root: str, number: int) -> Commit:
-    path, fs = _fs(spark, _file(root, number))
-    stream = fs.open(path)
-    try:
-        found = json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
-    finally:
-        stream.close()
-    return Commit(**(found | {"folders": tuple(found["folders"])}))
-
+def versions(spark: SparkSession, root: str) -> list[str]:
+    """Names of the version folders, oldest first, finished or not."""
+    return [n for n in _names(spark, root) if n[:1] == "v" and n[1:].isdigit()]
 
-def current(spark: SparkSession, root: str) -> Commit:
-    """The newest commit; number 0 and no folders before the first write."""
-    numbers = _commits(spark, root)
-    return _commit(spark, root, numbers[-1]) if numbers else Commit()
 
-
-def _publish(spark: SparkSession, root: str, commit: Commit) -> bool:
-    """Whether the commit's number was still free; if so it is the newest version now."""
-    draft, fs = _fs(spark, f"{root}/{_LOG}/draft-{uuid.uuid4().hex}")
-    stream = fs.create(draft, True)
-    stream.write(json.dumps(asdict(commit)).encode())
-    stream.close()
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    how = spark.sparkContext._gateway.new_array(hadoop.Options.Rename, 1)
-    how[0] = hadoop.Options.Rename.NONE
-    target = hadoop.Path(_file(root, commit.number))
-    try:
-        conf = spark._jsc.hadoopConfiguration()
-        hadoop.FileContext.getFileContext(fs.getUri(), conf).rename(draft, target, how)
-    except Py4JJavaError as e:
-        fs.delete(draft, False)
-        if "FileAlreadyExists" in e.java_exception.getClass().getName():
-            return False
-        raise
-    return True
+def current(spark: SparkSession, root: str) -> str | None:
+    """Name of the newest complete version."""
+    return next((n for n in reversed(versions(spark, root)) if _exists(spark, f"{root}/{n}/{_SCHEMA}")), None)
 
 
 def table_exists(spark: SparkSession, root: str) -> bool:
-    return bool(_commits(spark, root))
+    return current(spark, root) is not None
 
 
-def read_commit(spark: SparkSession, root: str, commit: Commit, schema: StructType | str | None = None) -> DataFrame:
-    """The table as of a commit, with the columns of ``schema`` (its own if there is none)."""
-    if schema is None:
-        schema = StructType.fromJson(json.loads(commit.schema))
-    if not commit.folders:
-        return spark.createDataFrame([], schema)
-    names = schema.names if isinstance(schema, StructType) else spark.createDataFrame([], schema).columns
-    found = spark.read.schema(schema).option("basePath", root).parquet(*[f"{root}/{f}" for f in commit.folders])
-    return found.select(*[f"`{c}`" for c in names])
+def _schema(spark: SparkSession, folder: str) -> StructType:
+    path, fs = _fs(spark, f"{folder}/{_SCHEMA}")
+    stream = fs.open(path)
+    try:
+        return StructType.fromJson(json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")))
+    finally:
+        stream.close()
 
 
 def load_table(spark: SparkSession, root: str, schema: StructType | str | None = None) -> DataFrame:
     """Current version of the table; an empty frame of ``schema`` if there is none."""
-    now = current(spark, root)
-    if not now.number:
+    version = current(spark, root)
+    if version is None:
         if schema is None:
             raise FileNotFoundError(f"no complete version of {root}")
         return spark.createDataFrame([], schema)
-    return read_commit(spark, root, now, schema)
-
-
-def _write(df: DataFrame, root: str, partition_by: tuple[str, ...]) -> tuple[str, ...]:
-    """Folder of a new batch, then those of its partitions if it has any."""
-    batch = f"__batch=b{uuid.uuid4().hex}"
-    # few files for each partition, a large one split over tasks
-    rows = df.hint("rebalance", *partition_by) if partition_by else df
-    rows.write.partitionBy(*partition_by).parquet(f"{root}/{batch}")
-    folders = [batch]
-    for _ in partition_by:
-        folders = [f"{f}/{n}" for f in folders for n in _names(df.sparkSession, f"{root}/{f}") if "=" in n]
-    return (batch, *folders) if partition_by else (batch,)
-
-
-def commit_table(
-    df: DataFrame,
-    root: str,
-    mode: str = "replace",
-    partition_by: tuple[str, ...] = (),
-    *,
-    base: int | None = None,
-    run: tuple[str, str] | None = None,
-) -> Commit:
-    """Write ``df`` as in ``save_table`` and return the commit.
-
-    ``base`` is the version that ``df`` was made from (the one found at the start if None); a
-    table that has moved on since raises ``ConcurrentWrite``.  Appends without a ``base`` go on top
-    of whatever is there.  ``run`` is a writer's name and the id of its run: if that is the last
-    run of this writer that the table holds, nothing is written, so a repeated run changes nothing.
+    stored = _schema(spark, f"{root}/{version}")
+    found = spark.read.schema(stored).parquet(f"{root}/{version}")
+    wanted = spark.createDataFrame([], schema).columns if schema is not None else stored.names
+    return found.select(*[f"`{c}`" for c in wanted])
+
+
+def _spread(df: DataFrame, partition_by: tuple[str, ...]) -> DataFrame:
+    """Few files for each partition, a large one split over tasks."""
+    return df.hint("rebalance", *partition_by) if partition_by else df
+
+
+def save_table(df: DataFrame, root: str, mode: str = "replace", partition_by: tuple[str, ...] = ()) -> DataFrame:
+    """Write ``df`` as the table's content and return the stored table.
+
+    ``replace`` writes the next version, ``append`` adds files to the current one, ``partitions``
+    replaces the partitions that ``df`` has rows of and leaves the files of the others, ``empty``
+    replaces the content by no rows of the same schema.  ``df`` may read the table in every mode.
     """
     if mode not in ("replace", "append", "partitions", "empty"):
         raise ValueError(f"unknown mode {mode!r}")
     spark = df.sparkSession
-    now = current(spark, root)
-    if run and now.runs.get(run[0]) == run[1]:
-        return now
-    if base is not None and base != now.number:
-        raise ConcurrentWrite(f"{root}: version {now.number} has replaced version {base}")
-    written = () if mode == "empty" else _write(df, root, partition_by)
-    fresh = written[1:] if partition_by else written
-    touched = {f.partition("/")[2] for f in fresh}
-    while True:
-        kept = ()
+    version = current(spark, root)
+    if mode in ("append", "partitions") and version is not None:
+        writer = _spread(df, partition_by).write.partitionBy(*partition_by)
         if mode == "append":
-            kept = now.folders
-        elif mode == "partitions":
-            kept = tuple(f for f in now.folders if f.partition("/")[2] not in touched)
-        schema = now.schema if kept else df.schema.json()
-        # without any partition the empty batch stands for the table
-        done = Commit(now.number + 1, kept + fresh or written, schema, now.runs | dict([run] if run else []))
-        if _publish(spark, root, done):
-            return done
-        if mode != "append" or base is not None:
-            raise ConcurrentWrite(f"{root}: another writer has published version {done.number}")
-        now = current(spark, root)
-
-
-def save_table(df: DataFrame, root: str, mode: str = "replace", partition_by: tuple[str, ...] = (), **options) -> DataFrame:
-    """Write ``df`` as the table's content and return the stored table.
+            writer.mode("append").parquet(f"{root}/{version}")
+        else:
+            writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(f"{root}/{version}")
+        return load_table(spark, root, df.schema)
+    taken = versions(spark, root)
+    folder = f"{root}/v{int(taken[-1][1:]) + 1 if taken else 1:08d}"
+    rows = df.limit(0) if mode == "empty" else _spread(df, partition_by)
+    # a folder that another writer has begun is an error
+    rows.write.partitionBy(*partition_by).parquet(folder)
+    path, fs = _fs(spark, f"{folder}/{_SCHEMA}")
+    stream = fs.create(path, True)
+    stream.write(df.schema.json().encode())
+    stream.close()
+    return load_table(spark, root, df.schema)
 
-    ``replace`` writes the next version, ``append`` adds files to the current
-    one, ``partitions`` replaces the partitions that ``df`` has rows of and leaves
-    the files of the others, ``empty`` replaces the content by no rows of the same
-    schema.  ``options`` are those of ``commit_table``.
-    """
-    done = commit_table(df, root, mode, partition_by, **options)
-    return read_commit(df.sparkSession, root, done, df.schema)
+
+def drop_partitions(spark: SparkSession, root: str, column: str, values: list) -> int:
+    """Remove whole partitions of a table stored by ``column``; returns how many there were."""
+    version = current(spark, root)
+    wanted = {f"{column}={v if v is not None else '__HIVE_DEFAULT_PARTITION__'}" for v in values}
+    found = [n for n in _names(spark, f"{root}/{version}") if n in wanted] if version else []
+    for name in found:
+        remove(spark, f"{root}/{version}/{name}")
+    return len(found)
+
+
+def touched(source: DataFrame, column: str) -> tuple[list, F.Column]:
+    """Partitions that ``source`` has rows of, and the filter that reads these alone."""
+    values = [r[0] for r in source.select(column).distinct().collect()]
+    known = [v for v in values if v is not None]
+    inside = F.col(column).isin(known)
+    return values, inside | F.col(column).isNull() if len(known) < len(values) else inside
 
 
 def drop_versions(spark: SparkSession, root: str, keep: int = 1) -> int:
-    """Remove all but the newest ``keep`` versions and the folders that only those used.
+    """Remove all but the newest ``keep`` complete versions, and what failed writes left before them.
 
     Call it when no query reads them any more; returns the number of folders removed.
     """
-    numbers = _commits(spark, root)
-    old, new = numbers[: -max(keep, 1)], numbers[-max(keep, 1) :]
-    used = {f for n in new for f in _commit(spark, root, n).folders}
-    gone = {f for n in old for f in _commit(spark, root, n).folders} - used
-    for name in [*(f"{root}/{f}" for f in sorted(gone)), *(_file(root, n) for n in old)]:
-        path, fs = _fs(spark, name)
-        fs.delete(path, True)
-    return len(gone)
+    found = versions(spark, root)
+    complete = [n for n in found if _exists(spark, f"{root}/{n}/{_SCHEMA}")]
+    old = [n for n in found if n < complete[-max(keep, 1) :][0]] if complete else []
+    for name in old:
+        remove(spark, f"{root}/{name}")
+    return len(old)

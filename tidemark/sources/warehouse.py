@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import contextlib
+import hashlib
+from collections.abc import Callable, Iterator, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.sources.tables import Commit, commit_table, current, read_commit
+from tidemark.operators import delete_matching
+from tidemark.sources.tables import _names, current, drop_partitions, load_table, remove, save_table, touched
 
 _LOCATION = (
     "normalized_country_code string, normalized_region_code string, normalized_city_name string, normalized_zip string"
@@ -70,6 +73,7 @@ SCHEMAS: dict[str, str] = {
     "maps/device_domain": "bitoid string, normalized_company_domain string, score double",
     "maps/geos": _LOCATION,
     "maps/isp_domains": "domain string",
+    "maps/shared_domains": "domain string",
     "maps/bad_publishers": "publisher_domain_normalized string",
     "maps/country_iso": "isocode_2 string, isocode_3 string",
     "maps/regions": "region_name string, region_isocode_2 string",
@@ -91,6 +95,8 @@ SCHEMAS: dict[str, str] = {
     "lead/prescoring": f"date date, {_EMAIL_TOPIC}, normalized_company_domain string, leadsift_score int",
     # pixel
     "pixel/raw": "pixel_record struct<userId:string,ip:string,date:string,userAgent:string,thirdPartyId:string>",
+    # what each load added to the activity
+    "pixel/views": "client_id string, user_ip string, date date, user_agent string, site_url string, pageviews bigint",
     "pixel/user_activity": "client_id string, user_ip string, date date, user_agent string, site_url string, pageviews bigint",
     "pixel/unique_urls": _URLS,
     "pixel/company_activity_cache": _COMPANY_ACTIVITY,
@@ -140,72 +146,254 @@ SCHEMAS: dict[str, str] = {
     ),
     "score/output": _SCORES,
     "score/history": _SCORES,
+    "score/days": "score_date date",
 }
 
 
-#: Cumulative tables stored by day: a run reads and writes the days it touches.
-BY_DAY = ("bid/user_activity_cache", "bid/user_activity", "bid/company_activity", "maps/device_ip_obs", "maps/device_domain_obs")
+#: Tables stored by day, and the day's column: a run reads and writes the days it touches.
+BY_DAY = {
+    "bid/user_activity_cache": "date",
+    "bid/user_activity": "date",
+    "bid/company_activity_cache": "date",
+    "bid/company_activity": "date",
+    "bid/prescoring_cache": "date",
+    "bid/prescoring": "date",
+    "maps/device_ip_obs": "date",
+    "maps/device_domain_obs": "date",
+    "pixel/views": "date",
+    "pixel/user_activity": "date",
+    "pixel/company_activity_cache": "date",
+    "pixel/company_activity": "date",
+    "pixel/prescoring_cache": "date",
+    "pixel/prescoring": "date",
+    "score/history": "score_date",
+}
+
+#: Cumulative tables without a day in their key, and that key: bucketed by it, and parted by its hash.
+BY_KEY = {
+    "bid/ip_location": "ip",
+    "maps/ip_location": "ip",
+    "maps/ip_domain_obs": "ip",
+    "bid/unique_urls": "page_url",
+    "pixel/unique_urls": "page_url",
+    "lookup/output": "user_ip",
+    "lookup/mappings": "user_ip",
+}
+
+#: Tables that loads add to: a load has a partition of its own, which its repetition overwrites.
+BY_LOAD = (
+    "bid/log", "bid/user_activity_cache", "pixel/raw", "pixel/views", "lead/cache", "email/clicks", "email/opens", "page/scrape_output",
+    "page/title_output_cache", "page/topic_output_cache", "lookup/success", "lookup/locations", "vendor/ip_ranges_raw",
+)
+LOAD, SLOT = "__load", "__slot"
 
 
 class Warehouse:
-    """Tables under one root folder.
+    """Tables under one root folder, each stored by day, by key, by load, or as a whole.
 
-    A table is replaced only if no other writer has changed it since this warehouse last read or
-    wrote it; otherwise ``ConcurrentWrite`` is raised, and the run is to be repeated.
+    ``slots`` partitions and ``buckets`` buckets are what a new table by key gets; one that exists
+    keeps its own.  A merge reads and overwrites only the partitions that its source touches, and
+    in tables by key joins the stored buckets as they are.  A frame read before a partition was
+    overwritten may miss its files: read again after a merge.
     """
 
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root.rstrip("/")
-        self._seen: dict[str, int] = {}
+    def __init__(self, spark: SparkSession, root: str, *, slots: int = 32, buckets: int = 32):
+        self.spark, self.root, self.slots, self.buckets = spark, root.rstrip("/"), slots, buckets
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
-    def version(self, name: str) -> int:
-        """Number of the current version, 0 before the first write."""
-        return current(self.spark, self.path(name)).number
+    def version(self, name: str) -> str:
+        """Name of the current version, empty before the first write."""
+        return current(self.spark, self.path(name)) or ""
 
     def read(self, name: str) -> DataFrame:
         """Current content, empty before the first write."""
-        return self._at(name, current(self.spark, self.path(name)))
-
-    def _at(self, name: str, commit: Commit) -> DataFrame:
-        self._seen[name] = commit.number
-        return read_commit(self.spark, self.path(name), commit, SCHEMAS[name])
+        if name in BY_KEY:
+            return self._keyed(name).select(*self._columns(name))
+        return load_table(self.spark, self.path(name), SCHEMAS[name])
 
     def shaped(self, name: str, df: DataFrame) -> DataFrame:
         """Columns in the declared order and types."""
         declared = self.spark.createDataFrame([], SCHEMAS[name])
         return df.select(*[df[c].cast(declared.schema[c].dataType).alias(c) for c in declared.columns])
 
-    def _save(self, name: str, df: DataFrame, mode: str, **options) -> DataFrame:
-        by = ("date",) if name in BY_DAY else ()
-        return self._at(name, commit_table(self.shaped(name, df), self.path(name), mode, by, **options))
+    def _columns(self, name: str) -> list[str]:
+        return self.spark.createDataFrame([], SCHEMAS[name]).columns
 
-    def replace(self, name: str, df: DataFrame, run: tuple[str, str] | None = None) -> DataFrame:
-        """``df`` as the next version; ``run`` as in ``commit_table``."""
-        return self._save(name, df, "replace", base=self._seen.get(name), run=run)
+    # -- tables by day, by load, or as a whole ----------------------------------------------------
 
-    def append(self, name: str, df: DataFrame, run: tuple[str, str] | None = None) -> DataFrame:
-        """The table and ``df``; ``run`` as in ``commit_table``."""
-        return self._save(name, df, "append", run=run)
+    def _by(self, name: str) -> tuple[str, ...]:
+        load, day = (LOAD,) if name in BY_LOAD else (), (BY_DAY[name],) if name in BY_DAY else ()
+        return load + day
 
-    def days_of(self, name: str, source: DataFrame) -> DataFrame:
-        """The table's rows of the days that ``source`` has, read from these days' files only."""
-        days = [r[0] for r in source.select("date").distinct().collect() if r[0] is not None]
-        return self.read(name).filter(F.col("date").isin(days))
+    def _save(self, name: str, df: DataFrame, mode: str, load: str = "all") -> DataFrame:
+        rows = self.shaped(name, df)
+        if name in BY_LOAD:
+            rows = rows.withColumn(LOAD, F.lit(load))
+        return save_table(rows, self.path(name), mode, self._by(name)).select(*self._columns(name))
 
-    def insert(self, name: str, merge: Callable[..., DataFrame], source: DataFrame, *more: DataFrame) -> DataFrame:
-        """An insert-only merge whose key holds the source's ``date``: only new rows are written.
+    def replace(self, name: str, df: DataFrame) -> DataFrame:
+        """``df`` as the next version."""
+        if name in BY_KEY:
+            self._write_keyed(name, df, "static")
+            return self.read(name)
+        return self._save(name, df, "replace")
 
-        ``merge`` is called with the table, ``source``, ``more`` and ``only_new=True``.  A NULL day
-        never matches, so such rows are new.
+    def append(self, name: str, df: DataFrame, load: str | None = None) -> DataFrame:
+        """The table and ``df``.
+
+        In tables by load, ``load`` names the partition: a repeated load overwrites what it wrote.
         """
-        fresh = merge(self.days_of(name, source), source, *more, only_new=True)
-        return self._save(name, fresh, "append", base=self._seen[name])
+        if name in BY_LOAD and load is not None:
+            return self._save(name, df, "partitions", load)
+        if name in BY_KEY:
+            raise ValueError(f"{name} is stored by key: use insert or merge")
+        return self._save(name, df, "append")
 
     def empty(self, *names: str) -> None:
-        """No rows left; rows that another writer has added since the last read are an error."""
+        """No rows left."""
         for name in names:
-            nothing = self.spark.createDataFrame([], SCHEMAS[name])
-            self._save(name, nothing, "empty", base=self._seen.get(name))
+            self.replace(name, self.spark.createDataFrame([], SCHEMAS[name]))
+
+    # -- tables by key ----------------------------------------------------------------------------
+
+    def _slot(self, key: Column, slots: int) -> Column:
+        return F.pmod(F.xxhash64(key), F.lit(slots)).cast("int")
+
+    def _layout(self, name: str) -> tuple[int, int]:
+        """Partitions and buckets: those of the stored table, which its folder names."""
+        for found in _names(self.spark, self.path(name)):
+            slots, _, buckets = found.partition("x")
+            if slots.isdigit() and buckets.isdigit():
+                return int(slots), int(buckets)
+        return self.slots, self.buckets
+
+    def _table(self, name: str) -> str:
+        """Name under which this session's catalog has the table; made known if it is not."""
+        slots, buckets = self._layout(name)
+        folder = f"{self.path(name)}/{slots}x{buckets}"
+        table = f"tidemark_{hashlib.md5(folder.encode()).hexdigest()[:20]}"
+        key = BY_KEY[name]
+        # files are listed rather than kept by the catalog, so other sessions' partitions are seen
+        with self._setting("spark.sql.hive.manageFilesourcePartitions", "false"):
+            self.spark.sql(
+                f"create table if not exists {table} ({SCHEMAS[name]}, {SLOT} int) using parquet partitioned by ({SLOT}) "
+                f"clustered by ({key}) sorted by ({key}) into {buckets} buckets location '{folder}'"
+            )
+        return table
+
+    @contextlib.contextmanager
+    def _setting(self, key: str, value: str) -> Iterator[None]:
+        before = self.spark.conf.get(key, None)
+        self.spark.conf.set(key, value)
+        try:
+            yield
+        finally:
+            self.spark.conf.unset(key) if before is None else self.spark.conf.set(key, before)
+
+    def _keyed(self, name: str) -> DataFrame:
+        table = self._table(name)
+        self.spark.catalog.refreshTable(table)
+        return self.spark.table(table)
+
+    def _write_keyed(self, name: str, df: DataFrame, mode: str) -> None:
+        """``static`` replaces the table, ``dynamic`` the slots that ``df`` has rows of, ``append`` adds."""
+        key, (slots, buckets) = BY_KEY[name], self._layout(name)
+        # one task for each bucket, as in the stored table, so no task writes parts of many buckets
+        rows = self.shaped(name, df).withColumn(SLOT, self._slot(F.col(key), slots)).repartition(buckets, key)
+        writer = rows.write.mode("append" if mode == "append" else "overwrite")
+        with self._setting("spark.sql.sources.partitionOverwriteMode", "static" if mode == "static" else "dynamic"):
+            writer.insertInto(self._table(name))
+
+    # -- changes of the partitions that a source touches -------------------------------------------
+
+    def _part(self, name: str, source: DataFrame, column: str | None) -> tuple[DataFrame, str]:
+        """``source`` with the partition of each row, and that column's name."""
+        if name in BY_KEY:
+            slots, _ = self._layout(name)
+            return source.withColumn(SLOT, self._slot(F.col(column or BY_KEY[name]), slots)), SLOT
+        if name in BY_LOAD or name not in BY_DAY:
+            raise ValueError(f"{name} is not stored by day or key")
+        day = BY_DAY[name]
+        return (source.withColumn(day, F.col(column)) if column else source), day
+
+    def touching(self, source: DataFrame, column: str) -> Column:
+        """Filter for the values of ``column`` that ``source`` has."""
+        return touched(source, column)[1]
+
+    def part_of(self, name: str, source: DataFrame, column: str | None = None) -> DataFrame:
+        """The table's rows of the partitions that ``source`` has rows of, read from their files only.
+
+        ``column`` is the source's column with the table's key or day, if it has another name there.
+        """
+        marked, part = self._part(name, source, column)
+        _, inside = touched(marked, part)
+        whole = self._keyed(name) if name in BY_KEY else load_table(self.spark, self.path(name), SCHEMAS[name])
+        return whole.filter(inside).select(*self._columns(name))
+
+    def insert(self, name: str, merge: Callable[..., DataFrame], source: DataFrame, *more, column: str | None = None) -> DataFrame:
+        """An insert-only merge: new rows are added, no stored file is written again.
+
+        ``merge`` is called with the touched part of the table, ``source``, ``more`` and
+        ``only_new=True``; a row of the source only ever matches rows of its own key or day.
+        """
+        fresh = merge(self.part_of(name, source, column), source, *more, only_new=True)
+        if name in BY_KEY:
+            self._write_keyed(name, fresh, "append")
+        else:
+            self._save(name, fresh, "append")
+        return self.read(name)
+
+    def merge(self, name: str, merge: Callable[..., DataFrame], source: DataFrame, *more, column: str | None = None, **options) -> DataFrame:
+        """A merge with updates: the touched partitions are overwritten, the others stay as they are.
+
+        ``merge`` returns the next content of the touched part and never moves a row to another.
+        """
+        changed = merge(self.part_of(name, source, column), source, *more, **options)
+        if name in BY_KEY:
+            self._write_keyed(name, changed, "dynamic")
+        else:
+            self._save(name, changed, "partitions")
+        return self.read(name)
+
+    def delete(self, name: str, doomed: DataFrame, keys: Sequence[str], *, null_safe: Sequence[str] = ()) -> DataFrame:
+        """Delete the rows whose keys occur in ``doomed``; partitions without such rows stay as they are."""
+        if name in BY_LOAD:
+            raise ValueError(f"{name} is stored by load")
+        whole = self._keyed(name) if name in BY_KEY else load_table(self.spark, self.path(name), SCHEMAS[name])
+        part = SLOT if name in BY_KEY else BY_DAY[name]
+        on = [F.col(f"t.{k}").eqNullSafe(F.col(f"d.{k}")) if k in null_safe else F.col(f"t.{k}") == F.col(f"d.{k}") for k in keys]
+        hit = whole.alias("t").join(doomed.select(*keys).alias("d"), on, "left_semi")
+        values, inside = touched(hit, part)
+        if not values:
+            return self.read(name)
+        rest = delete_matching(whole.filter(inside), doomed, keys, null_safe=null_safe)
+        # a partition that loses all its rows is not in the result, so nothing would overwrite it
+        left, _ = touched(rest, part)
+        if name in BY_KEY:
+            self._write_keyed(name, rest, "dynamic")
+            slots, buckets = self._layout(name)
+            for slot in set(values) - set(left):
+                remove(self.spark, f"{self.path(name)}/{slots}x{buckets}/{SLOT}={slot}")
+        else:
+            self._save(name, rest, "partitions")
+            drop_partitions(self.spark, self.path(name), part, list(set(values) - set(left)))
+        return self.read(name)
+
+    def loads(self, name: str) -> DataFrame:
+        """A table by load with the load of each row, as ``__load``."""
+        if not self.version(name):
+            return self.read(name).withColumn(LOAD, F.lit("all"))
+        return load_table(self.spark, self.path(name)).select(*self._columns(name), LOAD)
+
+    def drop_days(self, name: str, days: DataFrame) -> DataFrame:
+        """Delete whole days of a table by day: their folders go, nothing is read or written."""
+        values, _ = touched(days.withColumnRenamed(days.columns[0], BY_DAY[name]), BY_DAY[name])
+        known = [v for v in values if v is not None]
+        loads = _names(self.spark, f"{self.path(name)}/{self.version(name)}") if name in BY_LOAD else [""]
+        for load in loads:
+            if load == "" or load.startswith(f"{LOAD}="):
+                for day in known:
+                    remove(self.spark, "/".join(x for x in (self.path(name), self.version(name), load, f"{BY_DAY[name]}={day}") if x))
+        return self.read(name)

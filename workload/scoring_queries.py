@@ -156,8 +156,17 @@ def _(i):
     f"select ({DAY} - r.range::int)::date as score_date from (select greatest(date '2024-01-04', min(date)) as lo from in_prescoring_bid) m, range(0, 30) r where r.range < {DAY} - m.lo",
 )
 def _(i):
-    days = scoring.backfill_dates(i.prescoring_bid, dt.date(2024, 1, 4), AS_OF)
-    return i.prescoring_bid.sparkSession.createDataFrame([(d,) for d in days], "score_date date")
+    return scoring.backfill_days(i.prescoring_bid, dt.date(2024, 1, 4), AS_OF)
+
+
+@query(
+    "score_days",
+    " union all ".join(f"select {OUT} from {p}" for p in ("o_scores", "o_scores_mid", "o_scores_early")),
+)
+def _(i):
+    days = scoring.backfill_days(i.prescoring_bid, dt.date(2024, 1, 4), AS_OF)
+    some = days.filter(F.col("score_date").isin(AS_OF, dt.date(2024, 1, 20), dt.date(2024, 1, 12)))
+    return scoring.score_days(i.scoring_input, some)
 
 
 # -- caches into the cumulative tables
