@@ -32,9 +32,9 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each group of near duplicates: 0.9 of three-word shingles, as op 8."""
+    """Keeps one document of each group of near duplicates: 0.8 or more of their five-word shingles."""
     small_batches(spark)
-    return ngram_join.one_of_each(docs)
+    return ngram_join.one_of_each(docs, width=5, similarity=(4, 5))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
