@@ -238,6 +238,8 @@ def covered(docs: DataFrame, span: int = SPAN, seed: int = SEED, most_contexts:
     ``runs`` are covered places as pairs of start and end, unordered and maybe overlapping.
     """
     often = occurrences(docs, span, seed).groupBy("seed").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("seed")
+    # a stored side, so that a seed with very many occurrences can be split over tasks
+    often = stored(often, "seeds")
     # found again rather than stored: most seeds occur once
     found = stored(occurrences(docs, span, seed).join(often, "seed"), "occurrences")
     # the place of any occurrence: its context has the same bytes everywhere
