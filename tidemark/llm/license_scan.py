@@ -30,7 +30,7 @@ WIDTH, CONTAINED = 5, 0.8
 ROWS, MISS = 1, 1e-6
 #: Templates at most: they are sent to every task.
 MAX_TEMPLATES = 20_000
-CACHE_WORDS = 200_000
+CACHE_BYTES = 40 << 20
 
 #: Notices of common licences (fixed values).
 TEMPLATES = {
@@ -78,7 +78,7 @@ class Scanner:
         if len(templates) > MAX_TEMPLATES:
             raise ValueError(f"more than {MAX_TEMPLATES} templates")
         self.width, self.contained, self.rows = width, contained, rows
-        self._hash = Words(xxhash.xxh64_intdigest, CACHE_WORDS)
+        self._hash = Words(xxhash.xxh64_intdigest, CACHE_BYTES)
         self.names, self.sets = list(templates), []
         for name in self.names:
             tokens = np.unique(self.shingles(templates[name])[0])

@@ -51,7 +51,8 @@ FIRST_ROUND, MORE = 64, 16
 BROADCAST_KEYS = 2_000_000
 #: Tokens that a map task counts at a time, and bits of a token's hash that counting looks at.
 CHUNK_TOKENS, COUNT_BITS = 1_000_000, 40
-CACHE_WORDS = 50_000
+#: Bytes that a worker keeps of hashed words, in each of two generations.
+CACHE_BYTES = 32 << 20
 
 _K1, _K2, _K3 = (np.uint64(k) for k in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xBF58476D1CE4E5B9))
 
@@ -67,7 +68,7 @@ class Shingler:
 
     def __init__(self, width: int = WIDTH):
         self.width = width
-        self._hash = Words(xxhash.xxh64_intdigest, CACHE_WORDS)
+        self._hash = Words(xxhash.xxh64_intdigest, CACHE_BYTES)
 
     def tokens(self, text: str | None) -> np.ndarray:
         """Sorted distinct hashes: of all ``width`` words in a row, or of the whole if it has fewer."""
