@@ -1,13 +1,14 @@
 """The scheduled runs end to end on stored tables, twice where state matters."""
 
 import datetime as dt
+import os
 
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import DATA
 from tidemark.plans import flows, scoring
-from tidemark.sources import Warehouse
+from tidemark.sources import Warehouse, model_batch_export
 from tidemark.sources.warehouse import SCHEMAS
 from workload.steps import Steps
 
@@ -221,6 +222,41 @@ def test_shared_hosts_are_no_companies(spark, tmp_path):
         assert wh.read(table).filter(named).isEmpty() and not wh.read(table).isEmpty(), table
 
 
+def test_incremental_model_equals_rebuild(spark, tmp_path):
+    """Answers in three parts, one of them twice, give the tables of one full run; a repetition writes nothing."""
+    answers = Steps(spark, DATA).lookup_output.dropna(subset=["user_ip"]).withColumn("part", F.pmod(F.xxhash64("user_ip", "last_query_date"), F.lit(3)))
+    whole, parts = (Warehouse(spark, str(tmp_path / n), slots=4, buckets=2) for n in ("whole", "parts"))
+    whole.replace("lookup/output", Steps(spark, DATA).empty(SCHEMAS["lookup/output"]))
+    for wh, batches in ((whole, [F.lit(True)]), (parts, [F.col("part") == k for k in (0, 1, 2, 2)])):
+        for batch in batches:
+            wh.replace("lookup/output_raw", answers.filter(batch).drop("part"))
+            before = _files(wh.path("lookup/mappings"))
+            flows.lookup_answers(wh, AS_OF, incremental=True)
+    assert before == _files(parts.path("lookup/mappings"))
+    # the latest run's answer counts, so rows are compared by address
+    for name in ("lookup/output", "lookup/mappings"):
+        found = [wh.read(name) for wh in (whole, parts)]
+        assert [r.count() for r in found] == [r.select("user_ip").distinct().count() for r in found]
+        assert sorted(r[0] for r in found[0].select("user_ip").collect()) == sorted(r[0] for r in found[1].select("user_ip").collect())
+
+
+def _files(root):
+    return {(at, n) for at, _, names in os.walk(root) for n in names if n.endswith(".parquet")}
+
+
+def test_export_limited_in_bytes(spark, tmp_path):
+    rows = [(f"u{k}", "x" * (k % 90), AS_OF) for k in range(500)] + [("big", "y" * 900, AS_OF), ("none", None, AS_OF)]
+    cache = spark.createDataFrame(rows, "page_url string, page_title string, date_inserted date").repartition(3)
+    path = tmp_path / "out"
+    assert model_batch_export(cache, ["page_url", "page_title"], str(path), 1000, 1000, 600)
+    sizes = sorted(f.stat().st_size for f in path.rglob("part-*.json"))
+    # only the one larger row is a file above the limit, and files are not much smaller than need be
+    assert sizes[-2] <= 600 < sizes[-1] and len(sizes) < 2.5 * sum(sizes) / 600 + 6
+    back = spark.read.schema("page_url string, page_title string").json(str(path))
+    assert sorted(r[0] for r in back.collect()) == sorted(r[0] for r in rows)
+    assert not model_batch_export(cache.limit(0), ["page_url"], str(path), 10, 10, 600)
+
+
 def test_sources_only_meet_the_bid_rows(spark):
     """A lead and an e-mail row of one key stay apart unless a bid row brings them together."""
     day = dt.date(2024, 1, 20)

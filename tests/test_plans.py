@@ -84,3 +84,30 @@ def test_candidates_are_a_top_k(w):
 def test_unused_columns_are_not_read(w):
     df = bidstream.ip_location_latest(w.read("bid/user_activity")).select("ip", F.col("date_updated"))
     assert "page_url" not in plan(df)
+
+
+def raw_side(df) -> str:
+    """The part of the plan below the lowest shuffle, where all rows still are."""
+    return plan(df).rsplit("Exchange", 1)[1]
+
+
+def test_texts_are_picked_from_grouped_rows(w):
+    """The smallest or latest text makes Spark sort; raw rows are hashed before."""
+    activity = w.read("bid/user_activity")
+    for df in (bidstream.ip_location_latest(activity), bidstream.url_stats(activity)):
+        text = check(df)
+        assert "SortAggregate" not in raw_side(df) and "HashAggregate" in raw_side(df)
+        assert text.count("Exchange hashpartitioning") == 2 and "Join" not in text
+
+
+def test_history_is_not_shuffled_to_find_new_pages(w):
+    """Scraped and classified pages are read in their buckets, by key column only."""
+    results, topics = w.read("page/results"), w.read("page/topics")
+    urls = w.read("bid/unique_urls").withColumn("page_url", F.concat("page_url", F.lit("")))
+    fresh = check(bidstream.never_scraped(urls, results))
+    right = fresh.split("SortMergeJoin", 1)[1]
+    history = right[right.rindex("FileScan") :]
+    assert "Bucketed: true" in history and "content" not in history.split("ReadSchema")[1]
+    assert fresh.count("Exchange hashpartitioning") == 1
+    scraped = w.read("page/scrape_output")
+    assert check(content.topic_input(w.read("page/topic_input"), scraped, topics, AS_OF)).count("Bucketed: true") == 1

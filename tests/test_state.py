@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import plan, rows
-from tidemark.operators import delete_matching, insert_new, upsert
+from tidemark.operators import apply_changes, change_set, delete_matching, insert_new, upsert
 from tidemark.sources import load_table, save_table, table_exists
 
 SCHEMA = "k string, g string, v int"
@@ -157,3 +157,15 @@ def test_merge_shuffles_each_side_once(spark, tmp_path, null_safe):
         assert len(out.collect()) == (3 if null_safe else 4)
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+@pytest.mark.parametrize("drop", [False, True])
+def test_change_set_equals_merge(spark, drop):
+    target = frame(spark, ("a", "x", 1), ("b", "x", 2), (None, "x", 3), ("c", None, None))
+    source = frame(spark, ("a", "x", 1), ("b", "y", 5), (None, "z", 6), ("d", "w", 7), ("c", None, None))
+    updates, inserts = change_set(target, source, ["k"], ["g", "v"], drop_null_keys=drop)
+    # rows that stay as they are are not written
+    assert rows(updates) == [("b", "y", 5)]
+    assert rows(inserts) == ([] if drop else [(None, "z", 6)]) + [("d", "w", 7)]
+    want = upsert(target, source.dropna(subset=["k"]) if drop else source, ["k"], ["g", "v"])
+    assert rows(apply_changes(target, updates, inserts, ["k"])) == rows(want)

@@ -13,10 +13,12 @@ from tidemark.operators.relational import (
     topics_from_json,
 )
 from tidemark.operators.running import running_mean_stddev
-from tidemark.operators.state import delete_matching, insert_new, upsert
+from tidemark.operators.state import apply_changes, change_set, delete_matching, insert_new, upsert
 
 __all__ = [
     "anti",
+    "apply_changes",
+    "change_set",
     "delete_matching",
     "flatten_topics",
     "high_water_mark",

@@ -176,6 +176,35 @@ def insert_new(
     return rows if only_new else target.unionByName(rows)
 
 
+def change_set(
+    target: DataFrame,
+    source: DataFrame,
+    keys: Sequence[str],
+    update: Sequence[str],
+    *,
+    drop_null_keys: bool = False,
+) -> tuple[DataFrame, DataFrame]:
+    """What merging ``source`` (one row a key) changes: the new form of changed rows, and new rows.
+
+    Rows that would stay as they are belong to neither.  A NULL key never matches, so its row is new;
+    ``drop_null_keys`` leaves such rows out.  Columns that the source lacks are NULL in new rows.
+    """
+    if drop_null_keys:
+        source = source.dropna(subset=list(keys))
+    inserts = insert_new(target, source, keys, only_new=True)
+    both = target.alias("t").join(source.alias("s"), _key_match("t", "s", keys, ()))
+    differs = reduce(lambda a, b: a | b, (~F.col(f"t.{c}").eqNullSafe(F.col(f"s.{c}")) for c in update))
+    updates = both.filter(differs).select(
+        *[(F.col(f"s.{c}").cast(_nullable(target.schema[c].dataType)) if c in update else F.col(f"t.{c}")).alias(c) for c in target.columns]
+    )
+    return updates, inserts
+
+
+def apply_changes(target: DataFrame, updates: DataFrame, inserts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The target after a ``change_set``."""
+    return delete_matching(target, updates, keys).unionByName(updates).unionByName(inserts)
+
+
 def delete_matching(
     target: DataFrame, doomed: DataFrame, keys: Sequence[str], *, null_safe: Sequence[str] = ()
 ) -> DataFrame:

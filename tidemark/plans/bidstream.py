@@ -127,8 +127,9 @@ def ip_location_latest(user_activity: DataFrame) -> DataFrame:
     """Latest bid location of each address.
 
     Newest day first; within the day an incomplete location ranks before the
-    others, then the joined location text, largest first.  One ``max`` over a
-    struct replaces a sort of each address's history.
+    others, then the joined location text, largest first.  Each location's last
+    day comes first, in a hashed grouping of all rows; the ``max`` over a struct,
+    for which Spark sorts, then sees one row for each address and location.
     """
     location = ["bw_country_normalized", "bw_region_normalized", "bw_city_normalized", "bw_zip_normalized"]
     parts = [F.col(c) for c in location]
@@ -141,7 +142,7 @@ def ip_location_latest(user_activity: DataFrame) -> DataFrame:
             *[p.alias(n) for p, n in zip(parts, LOCATION)],
         )
     )
-    rows = user_activity.filter(F.length("user_ip") > 0)
+    rows = user_activity.filter(F.length("user_ip") > 0).groupBy("user_ip", *location).agg(F.max("date").alias("date"))
     return (
         rows.groupBy(F.col("user_ip").alias("ip"))
         .agg(best.alias("b"))
@@ -524,14 +525,22 @@ def _url_merge(target: DataFrame, source: DataFrame, *, unique_source: bool, co_
 
 
 def url_stats(activity: DataFrame) -> DataFrame:
-    """First and last day, row count and publisher of each page (a missing URL is a page too)."""
-    stats = activity.groupBy("page_url").agg(
-        F.min("date").alias("first_seen"),
-        F.max("date").alias("last_seen"),
-        F.count(F.lit(1)).alias("frequency"),
-    )
-    publisher = page_publisher(activity).withColumnRenamed("page_url", "__url")
-    return stats.join(publisher, F.col("page_url").eqNullSafe(F.col("__url"))).select(
+    """First and last day, row count and publisher of each page (a missing URL is a page too).
+
+    All rows are hashed once, by page and publisher; the smallest publisher, as in
+    ``page_publisher``, is chosen among these few.
+    """
+    publisher = F.col("publisher_domain_normalized")
+    pairs = activity.groupBy("page_url", publisher).agg(
+        F.min("date").alias("first_seen"), F.max("date").alias("last_seen"), F.count(F.lit(1)).alias("frequency")
+    )
+    stats = pairs.groupBy("page_url").agg(
+        F.min("first_seen").alias("first_seen"),
+        F.max("last_seen").alias("last_seen"),
+        F.sum("frequency").alias("frequency"),
+        F.coalesce(F.min(F.nullif(publisher, F.lit(""))), F.min(publisher)).alias("publisher_domain_normalized"),
+    )
+    return stats.select(
         "page_url",
         F.xxhash64("page_url").alias("page_url_hash"),
         "publisher_domain_normalized",

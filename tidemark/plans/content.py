@@ -58,9 +58,9 @@ def scrape_results(
     return upsert(target, source, ["page_url"], RESULT_COLUMNS, unique_source=True)
 
 
-def scrape_results_merge(target: DataFrame, cache: DataFrame) -> DataFrame:
-    """Results cache into the cumulative table."""
-    return upsert(target, cache, ["page_url"], RESULT_COLUMNS)
+def scrape_results_merge(target: DataFrame, cache: DataFrame, *, co_located: bool = False) -> DataFrame:
+    """Results cache into the cumulative table; co-located, the cache must have one row per page."""
+    return upsert(target, cache, ["page_url"], RESULT_COLUMNS, unique_source=co_located, co_located=co_located)
 
 
 def scrape_results_consume(cache: DataFrame, results: DataFrame) -> DataFrame:
@@ -300,7 +300,7 @@ def model_input_prune(cache: DataFrame, answered: DataFrame) -> DataFrame:
     return delete_matching(cache, answered, ["page_url"])
 
 
-def title_results(target: DataFrame, title_output: DataFrame, as_of: dt.date) -> DataFrame:
+def title_results(target: DataFrame, title_output: DataFrame, as_of: dt.date, *, co_located: bool = False) -> DataFrame:
     """Title-model answers merged by URL; error pages are skipped.
 
     Of several answers for a URL the smallest by title and labels is used.
@@ -315,10 +315,12 @@ def title_results(target: DataFrame, title_output: DataFrame, as_of: dt.date) ->
         .agg(F.min(F.struct(*fields)).alias("r"))
         .select("page_url", "r.*", F.lit(as_of).alias("date_classified"))
     )
-    return upsert(target, source, ["page_url"], [*fields, "date_classified"], unique_source=True)
+    return upsert(
+        target, source, ["page_url"], [*fields, "date_classified"], unique_source=True, co_located=co_located
+    )
 
 
-def topic_results(target: DataFrame, topic_output: DataFrame, as_of: dt.date) -> DataFrame:
+def topic_results(target: DataFrame, topic_output: DataFrame, as_of: dt.date, *, co_located: bool = False) -> DataFrame:
     """Topic-model answers merged by URL (the smallest of several)."""
     source = (
         topic_output.groupBy("page_url")
@@ -326,7 +328,8 @@ def topic_results(target: DataFrame, topic_output: DataFrame, as_of: dt.date) ->
         .select("page_url", "r.*", F.lit(as_of).alias("date_classified"))
     )
     return upsert(
-        target, source, ["page_url"], ["content", "intent_topics", "date_classified"], unique_source=True
+        target, source, ["page_url"], ["content", "intent_topics", "date_classified"], unique_source=True,
+        co_located=co_located,
     )
 
 
@@ -336,7 +339,8 @@ def review_label(text: Column) -> Column:
 
 
 def label_context(
-    target: DataFrame, scrape_output: DataFrame, as_of: dt.date, body_words: int | None = CONTEXT_BODY_WORDS
+    target: DataFrame, scrape_output: DataFrame, as_of: dt.date, body_words: int | None = CONTEXT_BODY_WORDS,
+    *, co_located: bool = False,
 ) -> DataFrame:
     """Review/comparison label of title plus first body words (None: all), merged by URL."""
     pages = one_scrape_per_url(scrape_output.filter(F.col("statuscode") == OK))
@@ -352,5 +356,6 @@ def label_context(
         )
     )
     return upsert(
-        target, source, ["page_url"], ["page_title", "context", "date_classified"], unique_source=True
+        target, source, ["page_url"], ["page_title", "context", "date_classified"], unique_source=True,
+        co_located=co_located,
     )

@@ -201,19 +201,29 @@ def lookup_requests(w: Warehouse, as_of: dt.date, limit: int = lookup.CANDIDATE_
     return check_stored("lookup/input", w.replace("lookup/input", wanted))
 
 
-def lookup_answers(w: Warehouse, as_of: dt.date) -> None:
-    """Use the answers that arrived in ``lookup/output_raw``."""
+def lookup_answers(w: Warehouse, as_of: dt.date, *, incremental: bool = False) -> None:
+    """Use the answers that arrived in ``lookup/output_raw``.
+
+    ``incremental`` is the model edition: rows without an address are lost, and of the staging and
+    mapping tables only partitions with a changed or new answer are written.
+    """
     answers = w.read("lookup/output_raw")
     success = w.append("lookup/success", lookup.lookup_success(answers))
-    w.merge("lookup/output", lookup.lookup_latest, answers, co_located=True)
-    mappings = w.merge("lookup/mappings", lookup.lookup_mappings, success, co_located=True)
-    obs = w.merge("maps/ip_domain_obs", lookup.lookup_domain_obs, success, column="user_ip")
+    if incremental:
+        for name, source in (("lookup/output", answers), ("lookup/mappings", success)):
+            updates, inserts = lookup.answer_changes(w.part_of(name, source), source)
+            mappings = w.change(name, updates, inserts, ["user_ip"])
+    else:
+        w.merge("lookup/output", lookup.lookup_latest, answers, co_located=True)
+        mappings = w.merge("lookup/mappings", lookup.lookup_mappings, success, co_located=True)
+    lost = {"drop_null_keys": incremental}
+    obs = w.merge("maps/ip_domain_obs", lookup.lookup_domain_obs, success, column="user_ip", **lost)
     w.replace("maps/ip_domain", bidstream.ip_domain_scores(obs, as_of, recency_floor=None, guard_zero=True))
     places = w.append(
         "lookup/locations",
         lookup.normalize_location(mappings, w.read("maps/country_iso"), w.read("maps/regions")),
     )
-    w.merge("maps/ip_location", lookup.lookup_location_upsert, places, co_located=True)
+    w.merge("maps/ip_location", lookup.lookup_location_upsert, places, co_located=True, **lost)
     w.empty("lookup/input", "lookup/output_raw", "lookup/success", "lookup/locations")
 
 
@@ -245,6 +255,7 @@ def page_content(
     push_limit: int = content.PUSH_LIMIT,
     model_limit: int = content.PUSH_LIMIT,
     model_file_rows: int = 100_000,
+    model_file_bytes: int | None = None,
     incoming: dict[str, str] | None = None,
 ) -> None:
     """Scraper and model outputs to results, labels, model batches and the next scrape batch.
@@ -258,7 +269,7 @@ def page_content(
     w.replace("page/queue", content.scrape_increment(queue, f"{batch_path}/scrape", as_of, push_limit))
 
     cache = w.replace("page/results_cache", content.scrape_results(w.read("page/results_cache"), scraped, as_of))
-    results = w.replace("page/results", content.scrape_results_merge(w.read("page/results"), cache))
+    results = w.merge("page/results", content.scrape_results_merge, cache, co_located=True)
 
     title_answers, topic_answers = w.read("page/title_output_cache"), w.read("page/topic_output_cache")
     for kind, answers, make in (
@@ -268,10 +279,10 @@ def page_content(
         wanted = make(w.read(f"page/{kind}_input"), scraped, w.read(f"page/{kind}s"), as_of)
         stored = w.replace(f"page/{kind}_input", content.model_input_prune(wanted, answers))
         columns = [c for c in stored.columns if c != "date_inserted"]
-        model_batch_export(stored, columns, f"{batch_path}/{kind}", model_limit, model_file_rows)
-    w.replace("page/titles", content.title_results(w.read("page/titles"), title_answers, as_of))
-    topics = w.replace("page/topics", content.topic_results(w.read("page/topics"), topic_answers, as_of))
-    w.replace("page/context", content.label_context(w.read("page/context"), scraped, as_of))
+        model_batch_export(stored, columns, f"{batch_path}/{kind}", model_limit, model_file_rows, model_file_bytes)
+    w.merge("page/titles", content.title_results, title_answers, as_of, co_located=True)
+    topics = w.merge("page/topics", content.topic_results, topic_answers, as_of, co_located=True)
+    w.merge("page/context", content.label_context, scraped, as_of, column="url", co_located=True)
 
     ngrams = w.replace("page/ngrams", content.page_ngrams(w.read("page/ngrams"), cache))
     reference = w.read("page/reference_topics")

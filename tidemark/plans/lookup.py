@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators import upsert
+from tidemark.operators import change_set, upsert
 from tidemark.plans.bidstream import LOCATION
 
 # Fixed values
@@ -92,6 +92,13 @@ def lookup_latest(
     return upsert(target, source, ["user_ip"], ANSWER, unique_source=True, co_located=co_located)
 
 
+def answer_changes(
+    target: DataFrame, lookup_output: DataFrame, *, drop_null_keys: bool = True
+) -> tuple[DataFrame, DataFrame]:
+    """What the answers change in a staging table, as the incremental model does it: rows without an address are lost."""
+    return change_set(target, one_answer_per_ip(lookup_output), ["user_ip"], ANSWER, drop_null_keys=drop_null_keys)
+
+
 def lookup_mappings(
     target: DataFrame, success: DataFrame, *, drop_null_keys: bool = False, co_located: bool = False
 ) -> DataFrame:

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -106,12 +106,42 @@ def model_batch(cache: DataFrame, columns: Sequence[str], limit: int, key: str =
     return ordered_limit(cache, limit, "date_inserted", key, descending=False).select(*columns)
 
 
+def by_bytes(rows: DataFrame, most: int) -> DataFrame:
+    """``rows`` with the number of the file each one goes to, ``file``: none larger than ``most`` bytes.
+
+    A row's size is that of its JSON line.  Sums run inside each partition, so nothing is ordered
+    across them.  Rows up to half the limit fill files by half limits of their running sum, so the last
+    one cannot pass the limit; each larger row is a file of its own, above the limit if it alone is.
+    """
+    sized = rows.select(
+        "*", (F.octet_length(F.to_json(F.struct(*rows.columns))) + 1).cast("long").alias("__bytes"),
+        F.spark_partition_id().alias("__part"), F.monotonically_increasing_id().alias("__at"),
+    )
+    half = max(most // 2, 1)
+    large = F.col("__bytes") > half
+    before = F.sum(F.when(large, 0).otherwise(F.col("__bytes"))).over(
+        Window.partitionBy("__part").orderBy("__at").rowsBetween(Window.unboundedPreceding, -1)
+    )
+    small_file = F.concat_ws("-", "__part", F.expr(f"coalesce(__before, 0) div {half}"))
+    named = sized.withColumn("__before", before)
+    return named.select(
+        *rows.columns, F.when(large, F.concat_ws("-", F.lit("row"), "__at")).otherwise(small_file).alias("file")
+    )
+
+
 def model_batch_export(
-    cache: DataFrame, columns: Sequence[str], path: str, limit: int, max_records_per_file: int
+    cache: DataFrame, columns: Sequence[str], path: str, limit: int, max_records_per_file: int,
+    max_bytes_per_file: int | None = None,
 ) -> bool:
-    """Write a model batch; False when there was nothing to write."""
-    batch = model_batch(cache, columns, limit)
+    """Write a model batch; False when there was nothing to write.
+
+    With ``max_bytes_per_file`` each file is in a folder ``file=…`` below ``path``, as ``by_bytes`` names it.
+    """
     if cache.isEmpty():
         return False
-    batch.write.mode("overwrite").option("maxRecordsPerFile", max_records_per_file).json(path)
+    writer = model_batch(cache, columns, limit)
+    if max_bytes_per_file is not None:
+        writer = by_bytes(writer, max_bytes_per_file)
+    out = writer.write.mode("overwrite").option("maxRecordsPerFile", max_records_per_file)
+    (out if max_bytes_per_file is None else out.partitionBy("file")).json(path)
     return True

@@ -9,8 +9,8 @@ from collections.abc import Callable, Iterator, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators import delete_matching
-from tidemark.sources.tables import _names, current, drop_partitions, load_table, remove, save_table, touched
+from tidemark.operators import apply_changes, delete_matching
+from tidemark.sources.tables import _exists, _names, current, drop_partitions, load_table, remove, save_table, touched
 
 _LOCATION = (
     "normalized_country_code string, normalized_region_code string, normalized_city_name string, normalized_zip string"
@@ -178,6 +178,10 @@ BY_KEY = {
     "pixel/unique_urls": "page_url",
     "lookup/output": "user_ip",
     "lookup/mappings": "user_ip",
+    "page/results": "page_url",
+    "page/titles": "page_url",
+    "page/topics": "page_url",
+    "page/context": "page_url",
 }
 
 #: Tables that loads add to: a load has a partition of its own, which its repetition overwrites.
@@ -204,7 +208,7 @@ class Warehouse:
         return f"{self.root}/{name}"
 
     def version(self, name: str) -> str:
-        """Name of the current version, empty before the first write."""
+        """Name of the current version, empty before the first write; not of a table by key."""
         return current(self.spark, self.path(name)) or ""
 
     def read(self, name: str) -> DataFrame:
@@ -236,7 +240,7 @@ class Warehouse:
     def replace(self, name: str, df: DataFrame) -> DataFrame:
         """``df`` as the next version."""
         if name in BY_KEY:
-            self._write_keyed(name, df, "static")
+            self._write_keyed(name, df, "replace")
             return self.read(name)
         return self._save(name, df, "replace")
 
@@ -261,18 +265,25 @@ class Warehouse:
     def _slot(self, key: Column, slots: int) -> Column:
         return F.pmod(F.xxhash64(key), F.lit(slots)).cast("int")
 
-    def _layout(self, name: str) -> tuple[int, int]:
-        """Partitions and buckets: those of the stored table, which its folder names."""
-        for found in _names(self.spark, self.path(name)):
-            slots, _, buckets = found.partition("x")
-            if slots.isdigit() and buckets.isdigit():
-                return int(slots), int(buckets)
-        return self.slots, self.buckets
+    def _versions(self, name: str) -> list[tuple[int, int, int]]:
+        """Number, partitions and buckets of the versions, which their folders name; oldest first."""
+        found = [n[1:].replace(".", "x").split("x") for n in _names(self.spark, self.path(name)) if n[:1] == "v"]
+        return sorted((int(n), int(slots), int(buckets)) for n, slots, buckets in found)
 
-    def _table(self, name: str) -> str:
+    def _folder(self, name: str, version: tuple[int, int, int]) -> str:
+        return f"{self.path(name)}/v{version[0]:08d}.{version[1]}x{version[2]}"
+
+    def _layout(self, name: str) -> tuple[int, int, int]:
+        """The newest complete version, or the first one that would be written."""
+        for version in reversed(self._versions(name)):
+            if _exists(self.spark, f"{self._folder(name, version)}/_SUCCESS"):
+                return version
+        return 0, self.slots, self.buckets
+
+    def _table(self, name: str, version: tuple[int, int, int] | None = None) -> str:
         """Name under which this session's catalog has the table; made known if it is not."""
-        slots, buckets = self._layout(name)
-        folder = f"{self.path(name)}/{slots}x{buckets}"
+        version = version or self._layout(name)
+        folder, buckets = self._folder(name, version), version[2]
         table = f"tidemark_{hashlib.md5(folder.encode()).hexdigest()[:20]}"
         key = BY_KEY[name]
         # files are listed rather than kept by the catalog, so other sessions' partitions are seen
@@ -298,20 +309,26 @@ class Warehouse:
         return self.spark.table(table)
 
     def _write_keyed(self, name: str, df: DataFrame, mode: str) -> None:
-        """``static`` replaces the table, ``dynamic`` the slots that ``df`` has rows of, ``append`` adds."""
-        key, (slots, buckets) = BY_KEY[name], self._layout(name)
+        """``replace`` writes the next version, ``dynamic`` the slots that ``df`` has rows of, ``append`` adds."""
+        key, version = BY_KEY[name], self._layout(name)
+        # the first write makes the first version, whatever it is
+        mode = mode if version[0] else "replace"
+        if mode == "replace":
+            taken = self._versions(name)
+            version = (taken[-1][0] + 1 if taken else 1, *version[1:])
+        _, slots, buckets = version
         # one task for each bucket, as in the stored table, so no task writes parts of many buckets
         rows = self.shaped(name, df).withColumn(SLOT, self._slot(F.col(key), slots)).repartition(buckets, key)
-        writer = rows.write.mode("append" if mode == "append" else "overwrite")
-        with self._setting("spark.sql.sources.partitionOverwriteMode", "static" if mode == "static" else "dynamic"):
-            writer.insertInto(self._table(name))
+        # only a write of the whole folder leaves the mark of a complete version
+        with self._setting("spark.sql.sources.partitionOverwriteMode", "static" if mode == "replace" else "dynamic"):
+            rows.write.mode("append" if mode == "append" else "overwrite").insertInto(self._table(name, version))
 
     # -- changes of the partitions that a source touches -------------------------------------------
 
     def _part(self, name: str, source: DataFrame, column: str | None) -> tuple[DataFrame, str]:
         """``source`` with the partition of each row, and that column's name."""
         if name in BY_KEY:
-            slots, _ = self._layout(name)
+            slots = self._layout(name)[1]
             return source.withColumn(SLOT, self._slot(F.col(column or BY_KEY[name]), slots)), SLOT
         if name in BY_LOAD or name not in BY_DAY:
             raise ValueError(f"{name} is not stored by day or key")
@@ -357,6 +374,13 @@ class Warehouse:
             self._save(name, changed, "partitions")
         return self.read(name)
 
+    def change(self, name: str, updates: DataFrame, inserts: DataFrame, keys: Sequence[str]) -> DataFrame:
+        """Apply a ``change_set``: only partitions with a changed or new row are overwritten."""
+        changed = updates.unionByName(inserts)
+        if changed.isEmpty():
+            return self.read(name)
+        return self.merge(name, lambda part, _: apply_changes(part, updates, inserts, keys), changed)
+
     def delete(self, name: str, doomed: DataFrame, keys: Sequence[str], *, null_safe: Sequence[str] = ()) -> DataFrame:
         """Delete the rows whose keys occur in ``doomed``; partitions without such rows stay as they are."""
         if name in BY_LOAD:
@@ -373,9 +397,8 @@ class Warehouse:
         left, _ = touched(rest, part)
         if name in BY_KEY:
             self._write_keyed(name, rest, "dynamic")
-            slots, buckets = self._layout(name)
             for slot in set(values) - set(left):
-                remove(self.spark, f"{self.path(name)}/{slots}x{buckets}/{SLOT}={slot}")
+                remove(self.spark, f"{self._folder(name, self._layout(name))}/{SLOT}={slot}")
         else:
             self._save(name, rest, "partitions")
             drop_partitions(self.spark, self.path(name), part, list(set(values) - set(left)))
