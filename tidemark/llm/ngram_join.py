@@ -45,8 +45,9 @@ FREQUENT, TABLE_TOKENS = 16, 1 << 20
 PAIRED = 24
 #: Nodes of a signature up to which all its pairs are compared at once.
 SMALL_GROUP = 16
-#: Partners in the first round after that; each further round has 16 times as many.
-FIRST_ROUND, MORE = 64, 16
+#: Partners in the first round after that; each further round has 8 times as many.  Few at first, as
+#: most nodes are connected by their first similar partner and need no other.
+FIRST_ROUND, MORE = 8, 8
 #: Node keys up to which a side is sent to all tasks (8 bytes each).
 BROADCAST_KEYS = 2_000_000
 #: Tokens that a map task counts at a time, and bits of a token's hash that counting looks at.
