@@ -6,6 +6,7 @@ import random
 import re
 import struct
 import zlib
+from fractions import Fraction
 
 import numpy as np
 import public_tokenizers
@@ -383,9 +384,68 @@ def test_source_mix(spark, odd, none, docs):
         taken = sum(len(r.draws or []) for r in out)
         assert source_mix.mixed(df).count() == taken and source_mix.mixed(df).columns == df.columns
     assert source_mix.mix_plan(none).count() == 0 and source_mix.mixed(none).count() == 0
-    assert source_mix.targets([100, 100, 100]) == [187.5, 75.0, 37.5]
-    assert source_mix.targets([10, 100, 100]) == [30.0, 120.0, 60.0]
-    assert source_mix.targets([]) == []
+
+
+def _mix_targets(spark, sizes, weights=source_mix.WEIGHTS):
+    sources = spark.createDataFrame(list(enumerate(sizes)), "no bigint, source_size bigint")
+    return [r.target for r in source_mix.with_targets(sources, weights).orderBy("no").collect()]
+
+
+def _plain_targets(sizes, weights):
+    """Shares by weight, lowered one source at a time, the one most over its limit first."""
+    weight = {k: weights[k % len(weights)] for k in range(len(sizes))}
+    out, left = {}, Fraction(sum(sizes))
+    while len(out) < len(sizes):
+        rest = sum(weight[k] for k in weight if k not in out)
+        share = {k: left * weight[k] / rest for k in weight if k not in out}
+        worst = max(share, key=lambda k: share[k] - 3 * sizes[k])
+        if share[worst] <= 3 * sizes[worst]:
+            return [float(out.get(k, share.get(k))) for k in weight]
+        out[worst] = Fraction(3 * sizes[worst])
+        left -= out[worst]
+    return [float(out[k]) for k in weight]
+
+
+def test_mix_targets(spark):
+    assert _mix_targets(spark, [100, 100, 100]) == [187.5, 75.0, 37.5]
+    assert _mix_targets(spark, [10, 100, 100]) == [30.0, 120.0, 60.0]
+    assert _mix_targets(spark, []) == [] and _mix_targets(spark, [0, 0]) == [0.0, 0.0]
+    rng = random.Random(8)
+    for weights in ((5, 2, 1), (1,), (7, 1, 3, 90)):
+        # sizes far apart, so that sources reach their limits one after the other
+        sizes = [int(2 ** rng.uniform(0, 30)) if rng.random() > 0.1 else 0 for _ in range(40)]
+        assert _mix_targets(spark, sizes, weights) == pytest.approx(_plain_targets(sizes, weights), rel=1e-12)
+
+
+def test_mix_of_many_sources(spark, monkeypatch):
+    """Names beyond the size to broadcast, in groups split by tasks; a third of all documents in one source."""
+    rows = [(k, "w " * (k % 7), "hot" if k % 3 == 0 else None if k % 500 == 1 else f"site{k % 901}.example") for k in range(6000)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    whole = {r.doc_id: (r.size, r.source_size, r.target, r.taken) for r in source_mix.mix_plan(df).collect()}
+    monkeypatch.setattr(source_mix, "BROADCAST_BYTES", 0)
+    monkeypatch.setattr(source_mix, "HOT_PART", 100)
+    monkeypatch.setattr(source_mix, "GROUP", 32)
+    out = source_mix.mix_plan(df).collect()
+    assert {r.doc_id: (r.size, r.source_size, r.target, r.taken) for r in out} == whole and len(out) == len(rows)
+    names = sorted({r[2] for r in rows if r[2]}, key=lambda n: n.encode()) + [None]
+    sizes = [0] * len(names)
+    for _, text, name in rows:
+        sizes[names.index(name)] += len(text.split())
+    assert {r.source: r.source_size for r in out} == dict(zip(names, sizes))
+    plain = dict(zip(names, _plain_targets(sizes, source_mix.WEIGHTS)))
+    assert all(r.target == pytest.approx(plain[r.source], rel=1e-12) for r in out)
+
+
+def test_shards_of_many_sources(spark, monkeypatch):
+    monkeypatch.setattr(source_mix, "GROUP", 32)
+    rng = random.Random(9)
+    count = {k: rng.choice((0, 1, 2, 40)) for k in range(500)}
+    drawn = spark.createDataFrame([(k, j) for k, n in count.items() for j in range(n)], "no bigint, place bigint")
+    ends = {r.no: r.ends for r in source_mix._shard_ends(drawn, len(count), 7, 1).collect()}
+    assert {k: e[-1] for k, e in ends.items()} == {k: n for k, n in count.items() if n}
+    assert all(e == sorted(e) and len(e) == 7 for e in ends.values())
+    shards = np.diff(np.array([[0, *e] for e in ends.values()]), axis=1).sum(axis=0)
+    assert shards.max() - shards.min() <= 2
 
 
 def test_split_tree():
