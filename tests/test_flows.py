@@ -72,6 +72,8 @@ def test_all_runs(spark, w, tmp_path):
             "normalized_city_name", "normalized_zip"]
     assert company.count() == company.select(*keys).distinct().count()
     assert not w.read("bid/prescoring_cache").isEmpty()
+    open_rows = w.read("bid/company_activity_cache")
+    assert open_rows.count() == open_rows.select(*keys).distinct().count()
     # every labelled page has left the cache
     labelled = w.read("page/topics").filter(F.size("intent_topics") > 0).select("page_url")
     labelled = labelled.join(w.read("page/titles"), "page_url").join(w.read("page/context"), "page_url")

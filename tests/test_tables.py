@@ -2,6 +2,8 @@
 
 import datetime as dt
 import os
+from collections import namedtuple
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,6 +13,7 @@ from tidemark.operators.ranges import LEVELS, ip_range_join
 from tidemark.plans import bidstream, enrichment, lookup, scoring
 from tidemark.sources import Warehouse, drop_partitions, drop_versions, load_table, save_table
 from tidemark.sources.warehouse import BY_DAY, BY_KEY, BY_LOAD, SCHEMAS
+from workload.base import shared_folder
 
 LOCATION = "normalized_country_code string, normalized_region_code string, normalized_city_name string, normalized_zip string"
 
@@ -241,3 +244,16 @@ def test_range_cells(spark):
     want = sorted((n, lo, hi) for n in ips for lo, hi in spans if lo <= n <= hi)
     assert sorted(map(tuple, got.select("n", "ip_range_start_numeric", "ip_range_end_numeric").collect())) == want
     assert 2 ** max(LEVELS) <= 65_536
+
+
+def test_shared_folder_is_named_on_a_cluster():
+    def of(master, **conf):
+        conf = {"spark.sql.warehouse.dir": "/warehouse", **{k.replace("_", "."): v for k, v in conf.items()}}
+        return FakeSession(SimpleNamespace(get=lambda key, default=None: conf.get(key, default)), SimpleNamespace(master=master))
+
+    FakeSession = namedtuple("FakeSession", "conf sparkContext")
+    assert shared_folder(of("spark://host:7077", spark_checkpoint_dir="s3a://shared/steps")) == "s3a://shared/steps"
+    assert shared_folder(of("local[8]")) == "/warehouse/_steps"
+    for master in ("yarn", "spark://host:7077", "local-cluster[3,2,1024]"):
+        with pytest.raises(ValueError, match="checkpoint"):
+            shared_folder(of(master))

@@ -143,7 +143,8 @@ def bid_stream(
     )
     w.replace("bid/unique_urls_cache", bidstream.scrape_queue_prune(urls, queue, results))
 
-    enriched = enrichment.enrich_activity(company, *_labels(w))
+    # the slice comes from a grouping and replaces its days, so the cache repeats no row
+    enriched = enrichment.enrich_activity(company, *_labels(w), activity_distinct=True)
     rollup = enrichment.prescoring_rollup(enriched)
     w.merge("bid/prescoring_cache", enrichment.prescoring_merge, rollup, key_mode)
     # a row is enriched exactly when its page has labels

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 from collections.abc import Callable
 from functools import partial
 
@@ -105,6 +106,8 @@ def canonical(df: DataFrame) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder all executors see: the cluster's checkpoint folder, or one in the warehouse."""
+    """Folder all executors see: the cluster's checkpoint folder; on one machine, one in the warehouse."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
+    if not configured and not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     return configured or f"{spark.conf.get('spark.sql.warehouse.dir')}/_steps"
