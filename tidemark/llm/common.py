@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ctypes
+import re
 import uuid
 from collections.abc import Iterator
 
@@ -28,10 +29,12 @@ def small_batches(spark: SparkSession) -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """Folder that the driver and all executors see.
 
-    The cluster names it in ``spark.checkpoint.dir``; where that is unset, as in
-    tests, a folder in the warehouse serves.
+    The cluster names it in ``spark.checkpoint.dir``.  On a single machine, where that may be unset,
+    a folder in the warehouse serves; elsewhere the warehouse may be local too, so that is an error.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
+    if not configured and not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     return configured or f"{spark.conf.get('spark.sql.warehouse.dir')}/_steps"
 
 
