@@ -370,6 +370,49 @@ def test_license_scan(spark, none, odd):
         assert (1 - share) ** license_scan.bands_for(n) <= 1e-6
 
 
+def windows_by_brute_force(templates, text):
+    """``license, share, first word`` of the best window, all windows compared."""
+
+    def shingles(t):
+        words = re.findall(r"[a-z0-9]+", t.lower())
+        return [tuple(words[k : k + 5]) for k in range(len(words) - 4)]
+
+    grams, out = shingles(text), set()
+    for name, template in templates.items():
+        wanted = set(shingles(template))
+        step = 1 << license_scan.template_class(len(wanted))
+        halves = -(-len(grams) // step)
+        shares = [(len(wanted & set(grams[k * step : (k + 2) * step])) / len(wanted), -k * step) for k in range(max(halves - 1, min(halves, 1)))]
+        if shares and max(shares)[0] >= license_scan.CONTAINED:
+            out.add((name, *max(shares)))
+    return {(name, share, -start) for name, share, start in out}
+
+
+def test_whole_licence_texts(spark):
+    """Whole, cut, edited and joined licence texts in other words, held against every window."""
+    rng, texts = random.Random(8), license_scan.built_in()
+    whole = {name: text.split() for name, text in texts.items() if name.endswith("-text")}
+    assert len(whole) >= 16
+
+    def other(n):
+        return ["".join(rng.choice("mnopqr") for _ in range(5)) for _ in range(n)]
+
+    rows = []
+    for words in whole.values():
+        n = len(words)
+        edited = [w if rng.random() > 0.01 else "zz" for w in words]
+        for body in (words, words[: int(n * 0.9)], words[: int(n * 0.6)], edited, [w.upper() for w in words]):
+            rows.append(" ".join(other(rng.randint(0, 3000)) + body + other(rng.randint(0, 500))))
+    rows += [" ".join(whole["mit-text"] + other(40) + whole["gpl-3-text"] + other(9) + whole["bsd-text"]), *[" ".join(other(k)) for k in (0, 4, 5, 700)]]
+    out = license_scan.license_scan(spark.createDataFrame(list(enumerate(rows)), "doc_id bigint, text string")).collect()
+    got = {}
+    for r in out:
+        got.setdefault(r.doc_id, set()).add((r.license, r.contained, r.first_word))
+    assert got == {k: found for k, t in enumerate(rows) if (found := windows_by_brute_force(texts, t))}
+    for k, name in enumerate(whole):
+        assert name in {x[0] for x in got[5 * k]} and name in {x[0] for x in got[5 * k + 1]}
+
+
 def test_source_mix(spark, odd, none, docs):
     for df in (docs, odd):
         out = source_mix.mix_plan(df).collect()

@@ -6,6 +6,9 @@ windows of ``2^(j+1)`` shingles that overlap by half, so any run of that length
 A window and a template that share a band of minhashes are compared: the template is found if
 the window contains 0.8 of its shingles or more.  The bands are chosen so that a window with
 just that containment shares one with a probability of at least ``1 - 1e-6``.
+
+The built-in templates are notices of a sentence and whole licence texts (``licenses/*.txt``).
+Versions of a licence hold most of each other's text, so both may be found at one place.
 """
 
 from __future__ import annotations
@@ -14,6 +17,7 @@ import math
 import re
 from collections import defaultdict
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -55,7 +59,14 @@ TEMPLATES = {
     "cc-by-4.0": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
 }
 
+def built_in() -> dict[str, str]:
+    """The notices, and the whole licence texts under the names of their files in small letters."""
+    texts = sorted(Path(__file__).with_name("licenses").glob("*.txt"))
+    return TEMPLATES | {f"{path.stem.lower()}-text": path.read_text("utf-8") for path in texts}
+
+
 _WORD = re.compile(rb"[a-z0-9]+")
+_TOP = np.uint64(0xFFFFFFFFFFFFFFFF)
 _K1, _K2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -90,6 +101,10 @@ class Scanner:
             j: max(bands_for(len(s), contained, rows) for s in self.sets if template_class(len(s)) == j)
             for j in self.classes
         }
+        #: Shingles that a text must have at least to hold a template of the class.
+        self.least = {
+            j: min(math.ceil(contained * len(s)) for s in self.sets if template_class(len(s)) == j) for j in self.classes
+        }
         most = max(self.bands.values(), default=0) * rows
         rng = np.random.default_rng(5)
         self._mul = rng.integers(1, 1 << 63, most, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -131,46 +146,47 @@ class Scanner:
     def candidates(self, tokens: list[np.ndarray]) -> list[set[tuple[int, int]]]:
         """``(template, first shingle of the window)`` of the windows of each text that share a band.
 
-        The texts lie one after another, filled up to whole blocks, so that a hash is computed
-        once for all texts and classes.
+        The texts lie one after another, the longest first, so that those long enough for a class
+        are a prefix and a hash is computed once for all texts and classes.
         """
         out: list[set[tuple[int, int]]] = [set() for _ in tokens]
-        some = [k for k, t in enumerate(tokens) if len(t)]
+        some = sorted((k for k, t in enumerate(tokens) if len(t)), key=lambda k: -len(tokens[k]))
         if not some or not self.classes:
             return out
-        most, top = 1 << self.classes[-1], np.uint64(0xFFFFFFFFFFFFFFFF)
         lengths = np.array([len(tokens[k]) for k in some])
-        room = -(-lengths // most) * most
-        ends = np.cumsum(room)
-        flat, blank = np.zeros(ends[-1], np.uint64), np.ones(ends[-1], bool)
-        for k, start, n in zip(some, ends - room, lengths, strict=True):
-            flat[start : start + n] = tokens[k]
-            blank[start : start + n] = False
+        flat = np.concatenate([tokens[k] for k in some])
+        # half windows of each text that is long enough for the class; class 0 is single shingles
+        counts = {0: lengths}
+        for j in self.classes:
+            enough = np.searchsorted(-lengths, -self.least[j], side="right")
+            counts[j] = -(-lengths[:enough] >> j)
+        ends = {j: np.cumsum(c) for j, c in counts.items()}
+        starts: dict[tuple[int, int], np.ndarray] = {}
         for band in range(max(self.bands.values())):
-            lows, step = [], 1
-            for h in self._hashes(band):
-                values = self._minhash(flat, h)
-                values[blank] = top
-                lows.append(values)
-            for j in self.classes:
-                lows = [np.minimum.reduceat(v, np.arange(0, len(v), (1 << j) // step)) for v in lows]
-                step = 1 << j
-                wanted = self._keys.get((j, band))
-                if wanted is None:
-                    continue
+            wanted = [j for j in self.classes if band < self.bands[j] and len(counts[j])]
+            if not wanted:
+                continue
+            shingles = flat[: ends[0][len(counts[wanted[0]]) - 1]]
+            lows = [self._minhash(shingles, h) for h in self._hashes(band)]
+            for below, j in zip([0, *wanted], wanted):
+                if (below, j) not in starts:
+                    first = np.repeat((ends[below] - counts[below])[: len(counts[j])], counts[j])
+                    nth = np.arange(len(first)) - np.repeat(ends[j] - counts[j], counts[j])
+                    starts[below, j] = first + (nth << (j - below))
+                last = ends[below][len(counts[j]) - 1]
+                lows = [np.minimum.reduceat(low[:last], starts[below, j]) for low in lows]
                 mins = []
                 for low in lows:
-                    after = np.append(low[1:], top)
-                    after[ends // step - 1] = top  # the next block is another text's
+                    after = np.append(low[1:], _TOP)
+                    after[ends[j] - 1] = _TOP  # the next half window is another text's
                     mins.append(np.minimum(low, after))
-                keys = self._key(mins)
-                at = np.minimum(np.searchsorted(wanted, keys), len(wanted) - 1)
-                for w in np.flatnonzero(wanted[at] == keys):
-                    text = int(np.searchsorted(ends, w * step, side="right"))
-                    start = int(w * step - (ends[text] - room[text]))
+                keys, known = self._key(mins), self._keys[j, band]
+                at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
+                for w in np.flatnonzero(known[at] == keys):
+                    text = int(np.searchsorted(ends[j], w, side="right"))
                     # a last half window lies within the one before it
-                    start = min(start, max(0, (-(-int(lengths[text]) // step) - 2) * step))
-                    out[some[text]].update((k, start) for k in self.index[j, band][int(keys[w])])
+                    nth = min(int(w - ends[j][text] + counts[j][text]), max(0, int(counts[j][text]) - 2))
+                    out[some[text]].update((k, nth << j) for k in self.index[j, band][int(keys[w])])
         return out
 
     def scan(self, texts: list[str | None]) -> list[list[tuple[str, float, int, int]]]:
@@ -201,7 +217,7 @@ def license_scan(
     gives an empty result; further columns of the input are ignored.
     """
     rows = pick(docs, doc_id=doc_id, text=text)
-    shared = docs.sparkSession.sparkContext.broadcast(dict(TEMPLATES if templates is None else templates))
+    shared = docs.sparkSession.sparkContext.broadcast(dict(built_in() if templates is None else templates))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scanner = Scanner(shared.value)

@@ -169,7 +169,7 @@ def _license_sql() -> str:
     """Exact containment in every window, for the built-in templates."""
     rows = ", ".join(
         f"('{name}', '{text.replace(chr(39), chr(39) * 2)}', {license_scan.template_class(len(license_scan.Scanner({name: text}).sets[0]))})"
-        for name, text in license_scan.TEMPLATES.items()
+        for name, text in license_scan.built_in().items()
     )
     lower = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
     return f"""
