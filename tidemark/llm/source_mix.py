@@ -185,7 +185,9 @@ def source_table(
     for r in sorted(found.groupBy("part").agg(F.count(F.lit(1)).alias("n")).collect()):  # one row per partition
         first.append((r["part"], count))
         count += r["n"]
-    starts = spark.createDataFrame(first, "part int, first bigint")
+    # an Arrow table: rows from a list would start Python workers of their own on the executors
+    parts, firsts = pa.array([p for p, _ in first], pa.int32()), pa.array([n for _, n in first], pa.int64())
+    starts = spark.createDataFrame(pa.table({"part": parts, "first": firsts}))
     blocks = max(1, min(blocks, MOST_DRAWS // ((MOST + 1) * max(count, 1))))
     numbers = found.join(F.broadcast(starts), "part").select(
         (F.col("first") + F.col("place")).alias("no"), "source", "source_size", "docs",
