@@ -268,6 +268,17 @@ def test_link_between_large_groups(spark):
     assert sorted((tuple(r) for r in got), key=key) == want
 
 
+def test_later_rounds_look_up_only_nodes_outside(spark, monkeypatch):
+    """Nodes of a group's largest component take its label by group; only the others are looked up by node."""
+    looked, met, plain, more = [], [], ngram_join._looked_up, ngram_join._more_pairs
+    monkeypatch.setattr(ngram_join, "_looked_up", lambda rows, labels: looked.append(rows.count()) or plain(rows, labels))
+    monkeypatch.setattr(ngram_join, "_more_pairs", lambda rows, *rest: met.append(rows.count()) or more(rows, *rest))
+    docs = spark.createDataFrame(list(enumerate(_bridged(89))), "doc_id bigint, text string")
+    assert {r.component_id for r in ngram_join.ngram_components(docs).collect()} == {0}
+    assert len(looked) == len(met) > 1 and looked[0] == met[0]
+    assert all(x < 0.6 * y for x, y in zip(looked[1:], met[1:], strict=True))
+
+
 def test_one_of_each(odd, docs):
     got = ngram_join.one_of_each(odd)
     assert got.columns == odd.columns

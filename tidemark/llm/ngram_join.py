@@ -409,31 +409,45 @@ def _first_pairs(groups: DataFrame, large: DataFrame, similarity: tuple[int, int
     return pairs.union(stars.select("b", "node")).distinct()
 
 
+def _looked_up(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """``rows`` with the ``label`` of each node, its own key if it has no link."""
+    return rows.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+
+
 def _more_pairs(
-    large: DataFrame, labels: DataFrame, before: DataFrame | None, low: int, high: int, similarity: tuple[int, int]
-) -> tuple[DataFrame, DataFrame] | None:
-    """Pairs of unconnected nodes with a common signature, each with some of its partners; and
-    ``sig, was``: a node of each group's largest component.
+    rows: DataFrame, labels: DataFrame, before: DataFrame | None, low: int, high: int, similarity: tuple[int, int]
+) -> tuple[DataFrame, DataFrame, DataFrame] | None:
+    """Pairs of unconnected nodes with a common signature, each with some of its partners;
+    ``sig, was``: a node of each group's largest component; and the ``rows`` of the next round.
+
+    ``rows`` are the members of large groups at first.  Later they are those of the groups that are not
+    connected yet, and ``inside`` marks the nodes of the largest component: as components only grow,
+    these share one label, looked up once for each group, and only the others are looked up by node.
 
     Partners are taken by their hash: those between ``low`` and ``high`` of the group's size.
     One of the two lies outside the group's largest component, as nodes inside it are connected.
     ``before`` is the ``sig, was`` of the round before.  If another component has become the largest
     since, the nodes of the former one have met no partners yet, and meet all below ``high`` now.
     """
-    now = large.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    sizes = now.groupBy("sig", "label").agg(F.count(F.lit(1)).alias("k"))
+    count = F.count(F.lit(1)).alias("k")
     if before is None:
-        sizes = sizes.withColumn("was", F.lit(None).cast("bigint"))
+        now = _looked_up(rows, labels)
+        sizes = now.groupBy("sig", "label").agg(count).withColumn("was", F.lit(None).cast("bigint"))
     else:
+        outer, inner = _looked_up(rows.filter("not inside"), labels), rows.filter("inside")
+        now = outer.unionByName(inner.withColumn("label", F.lit(None).cast("bigint"))).drop("inside")
         # the former largest component under its present label
         moved = before.join(labels.withColumnsRenamed({"node": "was", "label": "at"}), "was", "left")
-        sizes = sizes.join(moved.select("sig", F.coalesce("at", "was").alias("was")), "sig", "left")
+        moved = moved.select("sig", F.coalesce("at", "was").alias("was"))
+        largest = inner.groupBy("sig").agg(count).join(moved, "sig").select("sig", F.col("was").alias("label"), "k")
+        sizes = outer.groupBy("sig", "label").agg(count).unionByName(largest)
+        sizes = sizes.groupBy("sig", "label").agg(F.sum("k").alias("k")).join(moved, "sig")
     main = sizes.groupBy("sig").agg(
         F.max(F.struct("k", F.expr("label <=> was").alias("same"), "label")).alias("main"),
         F.min("label").alias("lo"), F.max("label").alias("hi"), F.max("was").alias("was"),
     )
     main = main.filter("lo <> hi").select("sig", F.col("main.label").alias("main"), "was")
-    now = stored(now.join(main, "sig"), "unconnected")
+    now = stored(now.join(main, "sig").withColumn("label", F.coalesce("label", "was")), "unconnected")
     if now.isEmpty():
         drop_step(now)
         return None
@@ -443,7 +457,8 @@ def _more_pairs(
     met = outside.drop("after", "c", "main", "was").join(partner.withColumnRenamed("label", "other"), "sig")
     met = met.filter((F.col("label") != F.col("other")) & (F.col("place") >= F.col("start")) & _alike("n", "m", similarity))
     pairs = met.select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")).distinct()
-    return pairs, now.select("sig", F.col("main").alias("was")).distinct()
+    then = now.withColumn("inside", F.expr("label = main")).drop("label", "main", "was")
+    return pairs, now.select("sig", F.col("main").alias("was")).distinct(), then
 
 
 def ngram_components(
@@ -514,12 +529,12 @@ def _labels(rows: DataFrame, signed: DataFrame, groups: DataFrame, width: int, s
     pairs = _survivors(_first_pairs(groups, large, similarity), signed, similarity)
     sets = _sets(rows, signed, pairs.select("a").union(pairs.select("b")).union(large.select("node")).toDF("node"), width)
     labels = components(_linked(pairs, sets, similarity))
-    low, high, before = 0, FIRST_ROUND, None
+    low, high, before, unconnected = 0, FIRST_ROUND, None, large
     while low < largest and largest > SMALL_GROUP:
-        found = _more_pairs(large, labels, before, low, high, similarity)
+        found = _more_pairs(unconnected, labels, before, low, high, similarity)
         if found is None:
             break
-        pairs, before = found
+        pairs, before, unconnected = found
         more = _linked(_survivors(pairs, signed, similarity), sets, similarity)
         if not more.isEmpty():
             # what is connected goes on as stars, so a round does not repeat the ones before
