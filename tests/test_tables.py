@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from conftest import plan, rows
 from tidemark.operators.ranges import LEVELS, ip_range_join
 from tidemark.plans import bidstream, enrichment, lookup, scoring
-from tidemark.sources import Warehouse, drop_partitions, drop_versions, load_table, save_table
+from tidemark.sources import Warehouse, drop_partitions, drop_versions, lead_load, load_table, save_table
 from tidemark.sources.warehouse import BY_DAY, BY_KEY, BY_LOAD, SCHEMAS
 from workload.base import shared_folder
 
@@ -257,3 +257,11 @@ def test_shared_folder_is_named_on_a_cluster():
     for master in ("yarn", "spark://host:7077", "local-cluster[3,2,1024]"):
         with pytest.raises(ValueError, match="checkpoint"):
             shared_folder(of(master))
+
+
+def test_lead_load_takes_only_the_columns_of_its_schema(spark, tmp_path):
+    """Folders named like partitions add no column."""
+    rows_ = spark.createDataFrame([("a", 1)], "company string, score int")
+    rows_.write.option("header", "true").csv(str(tmp_path / "leads/part=good"))
+    got = lead_load(spark, str(tmp_path / "leads"), "company string, score int")
+    assert got.columns == ["company", "score"] and [tuple(r) for r in got.collect()] == [("a", 1)]

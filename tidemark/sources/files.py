@@ -73,7 +73,8 @@ def marked_rows(reader, path: str, schema: str) -> DataFrame:
         .option("columnNameOfCorruptRecord", "__bad")
         .csv(path)
     )
-    return rows.withColumn("__file", F.col("_metadata.file_path"))
+    # folders named like partitions add columns that the schema does not have
+    return rows.select(*declared.names, "__bad", F.col("_metadata.file_path").alias("__file"))
 
 
 def lead_load(spark: SparkSession, path: str, schema: str = LEADS) -> DataFrame:
