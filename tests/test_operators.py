@@ -160,6 +160,17 @@ def test_domain_normalizer(spark, text, want):
     assert one(spark, fn.domain_normalizer(F.lit(text).cast("string"))) == want
 
 
+def test_bare_names_are_as_the_pattern_has_them(spark):
+    from tidemark.functions.web import HOST_NAME
+
+    names = ["", "www.", "WWW.www.a.b", "wwwx.org", "Ab.c", "a.b\n", "a\nb", "a.b\r\n", "a\u2028", "a\u0085", "a:", "a:80", "a:80b",
+             "\u00fc.de", "a b", " x.y ", "a?b", "a#", "/a", "http://", "ab+c", "a\tb", None]
+    df = spark.createDataFrame([(n,) for n in names], "name string")
+    whole = F.nullif(F.regexp_extract(F.lower(F.trim("name")), HOST_NAME, 1), F.lit(""))
+    got = df.select("name", fn.domain_normalizer(F.col("name")).alias("got"), whole.alias("want")).collect()
+    assert [(r["name"], r["got"]) for r in got] == [(r["name"], r["want"]) for r in got]
+
+
 @pytest.mark.parametrize(
     "text, want",
     [("0.0.0.1", 1), ("1.2.3.4", 16909060), ("255.255.255.255", 2**32 - 1), ("256.1.1.1", None), ("1.2.3", None),

@@ -54,6 +54,12 @@ def test_rollup_filters_at_the_scan(w):
     assert "LessThanOrEqual(bid_time" in text and text.count("Exchange hashpartitioning") == 1
 
 
+def test_rollup_compares_hashes_before_texts(w):
+    text = plan(bidstream.user_activity_rollup(w.read("bid/log"), dt.datetime(2024, 1, 1)))
+    sorts = [line.split("Sort [", 1)[1] for line in text.splitlines() if " Sort [" in line]
+    assert sorts and all(keys.startswith("__hash") for keys in sorts)
+
+
 def test_scoring(w):
     r = w.read
     check(

@@ -16,11 +16,19 @@ IPV4 = (
 
 # scheme, "www.", then the name up to port, path, query or fragment
 HOST_NAME = r"^(?:[a-z][a-z0-9+.-]*://)?(?:www\.)?([^/?#]*?)(?::[0-9]+)?(?:[/?#]|$)"
+# what may end the name before the text does: its marks, and a last line break
+NAME_ENDS = ":/?#\n\r\u0085\u2028\u2029"
 
 
 def domain_normalizer(host: Column) -> Column:
     """Comparable host name: lower case, no scheme, ``www.``, port or path; NULL if empty."""
-    return F.nullif(F.regexp_extract(F.lower(F.trim(host)), HOST_NAME, 1), F.lit(""))
+    name = F.lower(F.trim(host))
+    # most are bare names already, of which the pattern only takes "www."; matching costs much more
+    bare = F.lit(True)
+    for mark in NAME_ENDS:
+        bare = bare & ~F.contains(name, F.lit(mark))
+    short = F.when(F.startswith(name, F.lit("www.")), F.substring(name, 5, 1 << 30)).otherwise(name)
+    return F.nullif(F.when(bare, short).otherwise(F.regexp_extract(name, HOST_NAME, 1)), F.lit(""))
 
 
 def url_host(url: Column) -> Column:
