@@ -305,6 +305,17 @@ def test_signatures_lose_no_similar_pair():
         assert ngram_join.parity_distance(ngram_join.parity_bits(x), ngram_join.parity_bits(y)) <= len(np.setxor1d(x, y))
 
 
+def test_rounds_let_go_of_finished_steps(spark, monkeypatch):
+    from tidemark.llm import components as module
+
+    rounds, released = [], []
+    monkeypatch.setattr(module, "stored", lambda df, what, kept=module.stored: rounds.append(what) or kept(df, what))
+    monkeypatch.setattr(module, "release", released.append)
+    path = spark.createDataFrame([(k, k + 1) for k in range(20)], "a bigint, b bigint")
+    assert {tuple(r) for r in module.components(path).collect()} == {(k, 0) for k in range(21)}
+    assert len(rounds) > 1 and len(released) == len(rounds)
+
+
 def test_components(spark):
     rng = random.Random(2)
     edges = [(k, k + 1) for k in range(40)] + [(100, 100 + k) for k in range(1, 30)] + [(rng.randint(200, 260), rng.randint(200, 260)) for _ in range(40)]

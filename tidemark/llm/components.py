@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import drop_step, stored
+from tidemark.llm.common import drop_step, release, stored
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -42,6 +42,7 @@ def components(links: DataFrame) -> DataFrame:
         done = stored(_small_star(_large_star(edges)).distinct(), "components")
         if before is not None:
             drop_step(before)
+        release(links.sparkSession)
         if not _unfinished(done):
             return done.select(F.col("a").alias("node"), F.col("b").alias("label")).union(
                 done.select(F.col("b").alias("node"), F.col("b").alias("label")).distinct()

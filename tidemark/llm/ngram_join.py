@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.bpe import Words
-from tidemark.llm.common import drop_step, named, numbered, pick, position, row_key, rows_of, stored, worker_state
+from tidemark.llm.common import drop_step, named, numbered, pick, position, release, row_key, rows_of, stored, worker_state
 from tidemark.llm.components import components
 
 #: Words in a shingle, and the similarity as a fraction.
@@ -526,7 +526,9 @@ def _labels(rows: DataFrame, signed: DataFrame, groups: DataFrame, width: int, s
     """``node, label`` of all nodes with a link."""
     largest = groups.agg(F.max("c")).first()[0] or 0
     large = _large(groups, signed)
+    release(rows.sparkSession)
     pairs = _survivors(_first_pairs(groups, large, similarity), signed, similarity)
+    release(rows.sparkSession)
     sets = _sets(rows, signed, pairs.select("a").union(pairs.select("b")).union(large.select("node")).toDF("node"), width)
     labels = components(_linked(pairs, sets, similarity))
     low, high, before, unconnected = 0, FIRST_ROUND, None, large
@@ -536,6 +538,7 @@ def _labels(rows: DataFrame, signed: DataFrame, groups: DataFrame, width: int, s
             break
         pairs, before, unconnected = found
         more = _linked(_survivors(pairs, signed, similarity), sets, similarity)
+        release(rows.sparkSession)
         if not more.isEmpty():
             # what is connected goes on as stars, so a round does not repeat the ones before
             stars = labels.filter("node <> label").select(F.col("node").alias("a"), F.col("label").alias("b"))
