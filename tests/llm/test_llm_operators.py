@@ -279,6 +279,31 @@ def test_later_rounds_look_up_only_nodes_outside(spark, monkeypatch):
     assert all(x < 0.6 * y for x, y in zip(looked[1:], met[1:], strict=True))
 
 
+def test_near_copies_meet_in_few_groups(spark, monkeypatch):
+    """Near copies of one text share hundreds of signatures; their groups become few, and lose no link."""
+    large, plain = [], ngram_join._large
+    monkeypatch.setattr(ngram_join, "_large", lambda *args: large.append(plain(*args)) or large[0])
+    rows = _near_copies(spark, 60, 1).collect()
+    got = ngram_join.ngram_components(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert sorted((tuple(r) for r in got), key=key) == _plain_components(*zip(*rows, strict=True))
+    assert large[0].count() <= 8 * large[0].select("node").distinct().count()
+
+
+def test_groups_that_overlap_become_one(spark):
+    """No pair of nodes is lost, and groups that share little stay as they are."""
+    rng = random.Random(4)
+    alike = {100 + k: {0, *rng.sample(range(1, 60), 50)} for k in range(9)}
+    apart = {200 + k: {-1, *range(1000 * k + 1000, 1000 * k + 1040)} for k in range(5)}
+    groups = alike | apart | {300: {-2, *range(20)}}
+    rows = [(sig, node, 70, len(nodes), min(nodes)) for sig, nodes in groups.items() for node in nodes]
+    merged = {}
+    for r in ngram_join._merged(spark.createDataFrame(rows, "sig bigint, node bigint, n bigint, c bigint, hub bigint")).collect():
+        merged.setdefault((r.sig, r.c), []).append(r.node)
+    assert all(len(nodes) == len(set(nodes)) == c for (_, c), nodes in merged.items())
+    whole = [set.union(*alike.values()), *apart.values(), groups[300]]
+    assert sorted(map(sorted, merged.values())) == sorted(map(sorted, whole))
+
+
 def test_one_of_each(odd, docs):
     got = ngram_join.one_of_each(odd)
     assert got.columns == odd.columns

@@ -12,8 +12,9 @@ Sets that meet pass two tests that lose nothing before they are compared whole.
 their first common token bounds how many can follow.  And each set has a bitmap of the parity of
 its tokens by hash: two bitmaps cannot differ in more places than the sets do.
 
-Equal sets are one node.  A signature with few nodes gives all its pairs.  One with many gives
-the pairs with its smallest node first; nodes that are connected by then need no test, and the
+Equal sets are one node.  A signature with few nodes gives all its pairs.  Near copies of one text
+share hundreds of signatures, so large groups that overlap become one where that adds no pairs.  A
+large group gives the pairs with its smallest node first; nodes that are connected by then need no test, and the
 rest is tested in rounds that double and redouble until no pair of unconnected nodes with a
 common signature is left.  So no link between components is lost, and a group of a million near
 copies does not give a million million pairs.
@@ -271,10 +272,10 @@ def _signed(rows: DataFrame, frequent: np.ndarray, width: int, similarity: tuple
 
 
 def _groups(signed: DataFrame) -> DataFrame:
-    """Stored ``sig, node, n, after, c``: signatures of two or more nodes.
+    """Stored ``sig, node, n, after, c, hub``: signatures of two or more nodes.
 
-    ``after`` is the number of tokens of the node from a rare token on.  Large groups of equal
-    nodes appear once.
+    ``after`` is the number of tokens of the node from a rare token on, ``hub`` the smallest node of
+    the signature.  Large groups of equal nodes appear once.
     """
     own = signed.select(F.posexplode("own").alias("k", "sig"), "node", "n", "rare")
     own = own.select("sig", "node", "n", F.expr("n - if(k < rare, k, 0)").alias("after"))
@@ -288,12 +289,13 @@ def _groups(signed: DataFrame) -> DataFrame:
     members = stored(every.join(live, "sig").distinct(), "members")
     prints = members.groupBy("sig").agg(
         F.count(F.lit(1)).alias("c"),
+        F.min("node").alias("hub"),
         F.bit_xor(F.xxhash64("node")).alias("x"),
         F.bit_xor(F.xxhash64(F.lit(1), "node")).alias("y"),
     )
     # small groups all stay: their pairs depend on the place of the token
     same = F.when(F.col("c") <= SMALL_GROUP, F.col("sig")).otherwise(F.lit(0))
-    once = prints.groupBy("c", "x", "y", same).agg(F.min("sig").alias("sig")).select("sig", "c")
+    once = prints.groupBy("c", "hub", "x", "y", same).agg(F.min("sig").alias("sig")).select("sig", "c", "hub")
     groups = stored(members.join(once, "sig"), "groups")
     drop_step(members)
     return groups
@@ -376,11 +378,29 @@ def _alike(n: str, m: str, similarity: tuple[int, int]):
     return _near(n, m, similarity) & F.expr(f"({differ}) * {den + num} <= {den - num} * ({n} + {m})")
 
 
+def _merged(large: DataFrame) -> DataFrame:
+    """``sig, node, n, c`` of large groups, those that overlap much as one group.
+
+    Groups with the same smallest node and of about one size become one if the square of its size is
+    no more than theirs add up to.  It holds every pair that they hold, so no link is lost, and no
+    more pairs than they have together.
+    """
+    key = ["hub", "band"]
+    large = large.withColumn("band", F.floor(F.log2("c")))
+    nodes = large.groupBy(*key, "node").agg(F.min("n").alias("n"), F.sum(F.col("c").cast("double")).alias("squares"))
+    sizes = nodes.groupBy(*key).agg(F.count(F.lit(1)).alias("c"), F.sum("squares").alias("squares"))
+    # stored, as both sides below must see one decision
+    whole = stored(sizes.filter("double(c) * c <= squares").select(*key, "c"), "merged")
+    one = nodes.join(whole, key).select(F.xxhash64(*key).alias("sig"), "node", "n", "c")
+    return one.unionByName(large.join(whole, key, "left_anti").select("sig", "node", "n", "c"))
+
+
 def _large(groups: DataFrame, signed: DataFrame) -> DataFrame:
-    """Stored members of large groups with their short bitmaps."""
+    """Stored ``sig, node, n, c`` and short bitmaps: members of large groups."""
     short = signed.filter("node is not null").select("node", *[F.col("short")[k].alias(f"p{k}") for k in range(SHORT)])
     large = groups.filter(F.col("c") > SMALL_GROUP)
-    return stored(large.join(short.join(large.select("node"), "node", "left_semi").distinct(), "node"), "large")
+    short = short.join(large.select("node"), "node", "left_semi").distinct()
+    return stored(_merged(large).join(short, "node"), "large")
 
 
 def _as_partner(rows: DataFrame) -> DataFrame:
@@ -404,7 +424,7 @@ def _first_pairs(groups: DataFrame, large: DataFrame, similarity: tuple[int, int
     near = right.filter(_near("l.n", "r.n", similarity) & enough)
     pairs = near.select(F.col("l.node").alias("a"), F.col("r.node").alias("b"))
     hubs = large.groupBy("sig").agg(F.min("node").alias("node"))
-    hubs = _as_partner(large.join(hubs, ["sig", "node"]).drop("after", "c"))
+    hubs = _as_partner(large.join(hubs, ["sig", "node"]).drop("c"))
     stars = large.join(hubs, "sig").filter(_alike("n", "m", similarity) & (F.col("node") != F.col("b")))
     return pairs.union(stars.select("b", "node")).distinct()
 
@@ -452,9 +472,9 @@ def _more_pairs(
         drop_step(now)
         return None
     place = (F.pmod(F.xxhash64("node", F.lit(7)), F.lit(1 << 40)) / float(1 << 40)) * F.col("c")
-    partner = _as_partner(now.withColumn("place", place).filter(F.col("place") < high).drop("after", "c", "main", "was"))
+    partner = _as_partner(now.withColumn("place", place).filter(F.col("place") < high).drop("c", "main", "was"))
     outside = now.filter("label <> main").withColumn("start", F.when(F.expr("label <=> was"), 0).otherwise(low))
-    met = outside.drop("after", "c", "main", "was").join(partner.withColumnRenamed("label", "other"), "sig")
+    met = outside.drop("c", "main", "was").join(partner.withColumnRenamed("label", "other"), "sig")
     met = met.filter((F.col("label") != F.col("other")) & (F.col("place") >= F.col("start")) & _alike("n", "m", similarity))
     pairs = met.select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")).distinct()
     then = now.withColumn("inside", F.expr("label = main")).drop("label", "main", "was")
@@ -524,15 +544,15 @@ def _labelled(rows: DataFrame, width: int, similarity: tuple[int, int]) -> DataF
 
 def _labels(rows: DataFrame, signed: DataFrame, groups: DataFrame, width: int, similarity: tuple[int, int]) -> DataFrame:
     """``node, label`` of all nodes with a link."""
-    largest = groups.agg(F.max("c")).first()[0] or 0
     large = _large(groups, signed)
+    largest = large.agg(F.max("c")).first()[0] or 0
     release(rows.sparkSession)
     pairs = _survivors(_first_pairs(groups, large, similarity), signed, similarity)
     release(rows.sparkSession)
     sets = _sets(rows, signed, pairs.select("a").union(pairs.select("b")).union(large.select("node")).toDF("node"), width)
     labels = components(_linked(pairs, sets, similarity))
     low, high, before, unconnected = 0, FIRST_ROUND, None, large
-    while low < largest and largest > SMALL_GROUP:
+    while low < largest:
         found = _more_pairs(unconnected, labels, before, low, high, similarity)
         if found is None:
             break
